@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from bindery.functions.binding import bound
 from bindery.functions.text import clean_missing_text
 
 
@@ -21,14 +22,13 @@ def _weighted(c: Column, weights: list[int]) -> Column:
 
 def isbn10_check_digit(first9: Column) -> Column:
     """Modulus-11 digit of nine digits; 10 is written 'X'."""
-    value = F.pmod(F.lit(11) - F.pmod(_weighted(first9, list(range(10, 1, -1))), F.lit(11)), F.lit(11))
-    return F.when(value == 10, "X").otherwise(value.cast("string"))
+    value = F.pmod(-_weighted(first9, list(range(10, 1, -1))), F.lit(11))
+    return F.substring(F.lit("0123456789X"), value + 1, F.lit(1))
 
 
 def isbn13_check_digit(first12: Column) -> Column:
     """Modulus-10 digit of twelve digits with weights 1 and 3."""
-    total = _weighted(first12, [1, 3] * 6)
-    return F.pmod(F.lit(10) - F.pmod(total, F.lit(10)), F.lit(10)).cast("string")
+    return F.pmod(-_weighted(first12, [1, 3] * 6), F.lit(10)).cast("string")
 
 
 def _with_check_digit(first9: Column) -> Column:
@@ -125,11 +125,17 @@ def oclc_to_isbn13(c: Column) -> Column:
     """The first candidate that is a valid ISBN-13, or a valid (padded) ISBN-10 as ISBN-13."""
     as13 = F.transform(
         extract_isbn_candidates(c),
-        lambda x: F.coalesce(F.when(_valid13(x), x), isbn10_to_13_valid(clean_isbn10_padded(x))),
+        lambda x: F.coalesce(F.when(_valid13(x), x), _key_from_isbn10(x)),
     )
     return F.get(F.filter(as13, lambda x: x.isNotNull()), F.lit(0))
 
 
 def build_isbn_key(isbn10: Column, isbn13: Column) -> Column:
     """Key from the ISBN-10 column, else from a valid ISBN-13 column."""
-    return F.coalesce(isbn10_to_13_valid(clean_isbn10_padded(isbn10)), clean_isbn13_valid(isbn13))
+    return F.coalesce(_key_from_isbn10(isbn10), clean_isbn13_valid(isbn13))
+
+
+def _key_from_isbn10(c: Column) -> Column:
+    return bound(
+        clean_isbn10_padded(c), lambda x: F.when(x.isNotNull(), _with_check_digit(F.substring(x, 1, 9)))
+    )

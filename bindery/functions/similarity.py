@@ -1,7 +1,7 @@
 """Pairwise string similarity for Arrow batches: the scoring step of the fuzzy joins.
 
-Strings of a batch are laid out as a padded code matrix, so that one numpy operation advances
-all pairs of the batch by one character.
+Strings of a batch are laid out as padded matrices, so that one numpy operation advances all pairs
+of the batch by one character.
 """
 
 from __future__ import annotations
@@ -17,43 +17,48 @@ from pyspark.sql.types import DoubleType, IntegerType
 # Send the functions themselves, so that executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_CELLS = 4_000_000  # matrix cells handled at a time, bounds memory for long texts
+_CELLS = 4_000_000  # mask words held at a time, bounds memory for long texts
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
-    width = int(lengths.max(initial=0))
-    codes = np.zeros((len(texts), width), dtype=np.int32)
+def _codes(texts: list[str]) -> np.ndarray:
+    """One row of code points per text, padded with 0."""
+    codes = np.zeros((len(texts), max(map(len, texts), default=0)), dtype=np.uint32)
     for i, t in enumerate(texts):
-        codes[i, : len(t)] = np.frombuffer(t.encode("utf-32-le"), dtype=np.int32)
-    return codes, lengths
+        codes[i, : len(t)] = np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32)
+    return codes
 
 
 def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
     """Length of the longest common subsequence of each pair."""
-    out = np.zeros(len(left), dtype=np.int64)
-    order = np.argsort([len(t) for t in right], kind="stable")
-    start = 0
-    while start < len(order):
-        stop = start + 1
-        width = max(len(right[order[start]]), 1)
-        while stop < len(order) and (stop - start + 1) * max(len(right[order[stop]]), width) <= _CELLS:
-            stop += 1
-        rows = order[start:stop]
-        out[rows] = _lcs_block([left[i] for i in rows], [right[i] for i in rows])
-        start = stop
-    return out
+    letters = len(set().union(*left, *right)) + 1
+    words = max(map(len, left), default=0) // 64 + 1
+    step = max(_CELLS // (letters * words), 1)
+    blocks = [_lcs_block(left[i : i + step], right[i : i + step]) for i in range(0, len(left), step)]
+    return np.concatenate(blocks) if blocks else np.zeros(0, dtype=np.int64)
 
 
 def _lcs_block(left: list[str], right: list[str]) -> np.ndarray:
-    a, a_len = _codes(left)
-    b, b_len = _codes(right)
-    best = np.zeros((len(left), b.shape[1] + 1), dtype=np.int32)
+    """Bit-parallel: bit i of a row falls once letter i of the left text is used in the best match."""
+    a, b = _codes(left), _codes(right)
+    _, compact = np.unique(np.concatenate([[0], a.ravel(), b.ravel()]), return_inverse=True)
+    a, b = compact[1 : 1 + a.size].reshape(a.shape), compact[1 + a.size :].reshape(b.shape)
+    words = a.shape[1] // 64 + 1
+    rows = np.arange(len(left))
+    at = np.zeros((len(left), int(compact.max()) + 1, words), dtype=np.uint64)
     for i in range(a.shape[1]):
-        same = (b == a[:, i : i + 1]) & (a[:, i : i + 1] != 0)
-        step = np.maximum(best[:, 1:], best[:, :-1] + same)
-        best[:, 1:] = np.maximum.accumulate(step, axis=1)
-    return best[np.arange(len(left)), b_len].astype(np.int64)
+        at[rows, a[:, i], i // 64] |= np.uint64(1 << (i % 64))
+    at[:, 0, :] = 0  # padding matches nothing
+    free = np.full((len(left), words), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for j in range(b.shape[1]):
+        here = at[rows, b[:, j]]
+        carry = np.zeros(len(left), dtype=np.uint64)
+        for w in range(words):
+            used = free[:, w] & here[:, w]
+            low = free[:, w] + used
+            total = low + carry
+            carry = ((low < used) | (total < carry)).astype(np.uint64)
+            free[:, w] = total | (free[:, w] & ~here[:, w])
+    return 64 * words - np.bitwise_count(free).sum(axis=1, dtype=np.int64)
 
 
 def _indel_percent(lcs: np.ndarray, total: np.ndarray) -> np.ndarray:

@@ -25,24 +25,32 @@ VOLUME_RANGE = r"#\d+-\d+"
 BOX_SET = r"box\s*set|boxed set|boxset|complete collection|complete series"
 
 
+SPACES = r"(?U)\s+"
+
+
 def _blank_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def strip(c: Column) -> Column:
+    """Without leading and trailing whitespace of any kind (``trim`` only knows the blank)."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def _squeeze(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(c, SPACES, " "))
 
 
 def clean_missing_text(c: Column) -> Column:
     """Trimmed text without a trailing '.0' on digits; null for any missing marker."""
-    s = F.trim(c)
+    s = strip(c)
     return F.when(~F.lower(s).isin(*MISSING_TEXTS), F.regexp_replace(s, r"^(\d+)\.0$", "$1"))
 
 
 def norm_text_ascii(c: Column) -> Column:
     """Lower-case, keep a-z, 0-9 and spaces, collapse spaces; null gives ''."""
-    kept = F.regexp_replace(F.trim(F.lower(_blank_if_null(c))), r"[^a-z0-9\s]", "")
-    return F.regexp_replace(kept, r"\s+", " ")
+    kept = F.regexp_replace(strip(F.lower(_blank_if_null(c))), r"(?U)[^a-z0-9\s]", "")
+    return F.regexp_replace(kept, SPACES, " ")
 
 
 def clean_author_name(c: Column) -> Column:
@@ -66,7 +74,7 @@ def norm_title_nfkd(c: Column) -> Column:
     s = F.lower(fold_to_ascii(_blank_if_null(c)))
     for article in ("the", "a", "an"):
         s = F.regexp_replace(s, f"^{article} ", "")
-    return F.trim(s)
+    return strip(s)
 
 
 def first_author_key(authors: Column) -> Column:
@@ -76,7 +84,7 @@ def first_author_key(authors: Column) -> Column:
 
 def word_count(c: Column) -> Column:
     """Whitespace-separated words; 0 for null or blank."""
-    return F.size(F.filter(F.split(_blank_if_null(c), r"\s+"), lambda w: w != ""))
+    return F.size(F.filter(F.split(_blank_if_null(c), SPACES), lambda w: w != ""))
 
 
 def has_description(c: Column, min_words: int = 10) -> Column:
@@ -85,7 +93,7 @@ def has_description(c: Column, min_words: int = 10) -> Column:
 
 def core_title(c: Column) -> Column:
     """The part before the first parenthesis, trimmed."""
-    return F.trim(F.substring_index(_blank_if_null(c), "(", 1))
+    return strip(F.substring_index(_blank_if_null(c), "(", 1))
 
 
 def title_features(c: Column) -> dict[str, Column]:
@@ -122,7 +130,7 @@ def parse_str_list(c: Column, on_failure: str = "empty") -> Column:
     list holding the text itself (blank text then gives an empty list). Null input gives an empty
     list, except for ``null``.
     """
-    s = F.trim(c)
+    s = strip(c)
     as_list = F.when(s.startswith("[") & s.endswith("]"), s)
     # A bare None item is written null; tried only after the text as it stands.
     with_nulls = F.regexp_replace(as_list, r"(?<=[\[,\s])None(?=\s*[,\]])", "null")
@@ -143,7 +151,7 @@ def list_size(items: Column) -> Column:
 
 def has_tag(items: Column, tag: str) -> Column:
     """Tag present after lower-casing and trimming each item."""
-    return F.coalesce(F.exists(items, lambda t: F.lower(F.trim(t)) == tag), F.lit(False))
+    return F.coalesce(F.exists(items, lambda t: strip(F.lower(t)) == tag), F.lit(False))
 
 
 def has_any_keyword(c: Column, words: list[str]) -> Column:

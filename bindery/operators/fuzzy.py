@@ -2,9 +2,10 @@
 
 Both joins first combine copies: only distinct titles are compared, whatever number of rows share
 them. Candidate titles come from a prefix filter: two strings that reach the threshold must share
-a computable number of tokens, so they share at least one among each side's few rarest tokens.
-The join on those tokens carries the length and overlap bounds in its condition, so pairs that
-cannot reach the threshold are dropped inside the join. What is left is scored in Arrow batches.
+a computable number of tokens, so they share at least one among each side's rarest tokens. The
+join on those tokens carries bounds on length and on missing tokens (bit counts of hashed token
+sets) in its condition, so pairs that cannot reach the threshold are dropped inside the join. What
+is left is scored in Arrow batches.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bindery.functions.binding import bound
 from bindery.functions.similarity import indel_score, jaro_winkler_score, partial_score
 from bindery.functions.text import norm_title_nfkd
 from bindery.operators.keyed import keep_best_per_key, lookup_join
@@ -49,15 +51,25 @@ def sorted_tokens(title: Column) -> Column:
 
 def _numbered(items: Column) -> Column:
     """Make the items of an array distinct by appending their occurrence number."""
-    return F.transform(
-        items,
-        lambda x, i: F.concat_ws("\u0001", x, F.size(F.filter(F.slice(items, 1, i + 1), lambda y: y == x))),
-    )
+
+    def number(all_items: Column) -> Column:
+        def nth(x: Column, i: Column) -> Column:
+            upto = F.filter(F.slice(all_items, 1, i + 1), lambda y: y == x)
+            return F.concat_ws("\u0001", x, F.size(upto))
+
+        return F.transform(all_items, nth)
+
+    return bound(items, number)
 
 
 def _pieces(text: Column, size: int) -> Column:
-    starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
-    return F.when(F.length(text) >= size, F.transform(starts, lambda i: F.substring(text, i, F.lit(size))))
+    """All substrings of a length, left to right."""
+
+    def cut(t: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(t) - (size - 1))
+        return F.when(F.length(t) >= size, F.transform(starts, lambda i: F.substring(t, i, F.lit(size))))
+
+    return F.coalesce(bound(text, cut), F.array().cast("array<string>"))
 
 
 def bigram_tokens(text: Column) -> Column:
@@ -66,7 +78,32 @@ def bigram_tokens(text: Column) -> Column:
 
 
 def letter_tokens(text: Column) -> Column:
-    return _numbered(F.coalesce(_pieces(text, 1), F.array().cast("array<string>")))
+    return _numbered(_pieces(text, 1))
+
+
+def _bitmap(tokens: Column, prefix: str) -> dict[str, Column]:
+    """256 bits in four columns, one bit per hashed token."""
+
+    none = F.lit(0).cast("long")
+
+    def word(w: int) -> Column:
+        def put(acc: Column, t: Column) -> Column:
+            h = F.xxhash64(t)
+            at = F.pmod(F.shiftright(h, 2), F.lit(64)).cast("int")
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), at)
+            return acc.bitwiseOR(F.when(F.pmod(h, F.lit(4)) == w, bit).otherwise(none))
+
+        return bound(tokens, lambda ts: F.aggregate(ts, none, put))
+
+    return {f"{prefix}{w}": word(w) for w in range(4)}
+
+
+def _missing(a: str, b: str, prefix: str) -> Column:
+    """At most this many tokens of side ``a`` are absent from side ``b`` (hash collisions lower it)."""
+    total = F.lit(0)
+    for w in range(4):
+        total = total + F.bit_count(F.col(f"{a}{prefix}{w}").bitwiseAND(F.bitwise_not(F.col(f"{b}{prefix}{w}"))))
+    return total
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -74,6 +111,10 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _rank_tokens(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Order the ``tokens`` of every ``title`` by rarity over both sides."""
     both = left.select("tokens").unionByName(right.select("tokens"))
@@ -118,15 +159,16 @@ def _tiled_join(left: DataFrame, right: DataFrame, condition: Column) -> DataFra
 
     l = spread(left, "_rows", "_cols", "l_")
     r = spread(right, "_cols", "_rows", "r_")
-    # Catalyst moves the condition into the inner join itself.
-    return l.join(r, ["key", "rows", "cols"]).filter(condition)
+    # The work per byte is high, so the partition number is fixed: adaptive coalescing, which goes
+    # by bytes, would leave few tasks. Catalyst moves the condition into the inner join itself.
+    cell = ["key", "rows", "cols"]
+    l, r = (side.repartition(_parts(left), *cell) for side in (l, r))
+    return l.join(r, cell).filter(condition)
 
 
 def _first_shared() -> Column:
     """The rarest token both prefixes hold; a pair is kept only at this key, so it appears once."""
-    mine = F.slice(F.col("l_tokens"), F.lit(1), F.col("l_prefix"))
-    other = F.slice(F.col("r_tokens"), F.lit(1), F.col("r_prefix"))
-    return F.get(F.array_intersect(mine, other), F.lit(0))
+    return F.get(F.array_intersect("l_rarest", "r_rarest"), F.lit(0))
 
 
 def similar_titles(left: DataFrame, right: DataFrame, lowest: int) -> DataFrame:
@@ -142,29 +184,37 @@ def similar_titles(left: DataFrame, right: DataFrame, lowest: int) -> DataFrame:
     slope = (3 * h - 1) / (1 - h)  # fewest shared bigrams per character, over all fitting lengths
 
     def titles(df: DataFrame) -> DataFrame:
-        return df.select("title").filter("title <> ''").distinct().withColumn("tokens", bigram_tokens(F.col("title")))
+        distinct = materialize(df.select("title").filter("title <> ''").distinct(), "distinct-titles")
+        return distinct.withColumn("tokens", bigram_tokens(F.col("title")))
 
     def with_prefix(df: DataFrame) -> DataFrame:
         m = F.length("title")
         shared = F.ceil(m * slope + 1 - 1e-9)
-        return materialize(df.withColumn("prefix", (m + 2 - shared).cast("int")), "titles")
+        rarest = F.slice(F.col("tokens"), F.lit(1), (m + 2 - shared).cast("int"))
+        bits = _bitmap(F.col("tokens"), "bigram") | _bitmap(letter_tokens(F.col("title")), "letter")
+        kept = [rarest.alias("rarest"), m.alias("len"), *[c.alias(k) for k, c in bits.items()]]
+        return materialize(df.select("title", *kept), "titles")
 
     l, r = (with_prefix(side) for side in _rank_tokens(titles(left), titles(right)))
-    total = F.length("l_title") + F.length("r_title")
-    needed = F.ceil(total * h - 1e-9)
+    m, n = F.col("l_len"), F.col("r_len")
+    needed = F.ceil((m + n) * h - 1e-9)
+    bigrams = needed * 3 - (m + n) + 1
     condition = (
-        (F.least(F.length("l_title"), F.length("r_title")) >= needed)
-        & (_first_shared() == F.col("key"))
-        & (F.size(F.array_intersect("l_tokens", "r_tokens")) >= needed * 3 - total + 1)
+        (F.least(m, n) >= needed)
+        & (_missing("l_", "r_", "letter") <= m - needed)
+        & (_missing("r_", "l_", "letter") <= n - needed)
+        & (_missing("l_", "r_", "bigram") <= m + 1 - bigrams)
+        & (_missing("r_", "l_", "bigram") <= n + 1 - bigrams)
     )
-    pairs = _tiled_join(_postings(l), _postings(r), condition)
-    scored = pairs.select("l_title", "r_title").withColumn("t_score", indel_score("l_title", "r_title"))
+    # A pair may meet at several tokens; most copies are combined before the shuffle.
+    met = _tiled_join(_postings(l), _postings(r), condition).select("l_title", "r_title")
+    pairs = met.distinct().repartition(_parts(left), "l_title", "r_title")
+    scored = pairs.withColumn("t_score", indel_score("l_title", "r_title"))
     return scored.filter(F.col("t_score") >= lowest)
 
 
-
 def _postings(titles: DataFrame) -> DataFrame:
-    return titles.withColumn("key", F.explode(F.slice(F.col("tokens"), F.lit(1), F.col("prefix"))))
+    return titles.withColumn("key", F.explode("rarest")).drop("rarest")
 
 
 def fuzzy_title_author_join(
@@ -187,15 +237,16 @@ def fuzzy_title_author_join(
     b = base.select(
         F.col(base_id), sorted_tokens(F.col(base_title)).alias("l_title"), F.col(base_author).alias("l_author")
     ).filter("l_title <> ''")
-    distinct_base = b.select("l_title", "l_author").distinct()
-    distinct_labels = (
+    distinct_base = materialize(b.select("l_title", "l_author").distinct(), "base-titles")
+    distinct_labels = materialize(
         labels.select(
             sorted_tokens(F.col(label_title)).alias("r_title"),
             F.col(label_author).alias("r_author"),
             F.col(label_id).alias("_label"),
         )
         .groupBy("r_title", "r_author")
-        .agg(F.min("_label").alias("_label"))
+        .agg(F.min("_label").alias("_label")),
+        "label-titles",
     )
     titles = materialize(
         similar_titles(
@@ -302,15 +353,15 @@ def _jaro_winkler_pairs(left: DataFrame, right: DataFrame, threshold: float, tol
     need_any, need_low = 3 * jaro_any - 1, 3 * jaro_low - 1
     if need_low <= 1:
         raise ValueError("a similarity this low guarantees no shared letters")
-    titles_l = left.select("title").distinct().withColumn("tokens", letter_tokens(F.col("title")))
-    titles_r = right.select("title").distinct().withColumn("tokens", letter_tokens(F.col("title")))
+    titles_l, titles_r = (
+        side.select("title").distinct().withColumn("tokens", letter_tokens(F.col("title"))) for side in (left, right)
+    )
 
     def prepared(side: DataFrame, ranked: DataFrame) -> DataFrame:
         m = F.length("title")
         fewest = F.ceil(m * (need_low - 1) - 1e-9)  # over all lengths that can reach the threshold
-        return materialize(
-            side.join(ranked, "title").withColumn("prefix", (m + 1 - fewest).cast("int")), "letters"
-        )
+        rarest = F.slice(F.col("tokens"), F.lit(1), (m + 1 - fewest).cast("int"))
+        return materialize(side.join(ranked, "title").withColumn("rarest", rarest), "letters")
 
     ranked_l, ranked_r = _rank_tokens(titles_l, titles_r)
     l, r = prepared(left, ranked_l), prepared(right, ranked_r)
@@ -330,7 +381,7 @@ def _jaro_winkler_pairs(left: DataFrame, right: DataFrame, threshold: float, tol
 
     def postings(side: DataFrame, bands: Column) -> DataFrame:
         start = F.when(F.length("title") >= 2, F.array(F.concat(F.lit("2:"), F.substring("title", 1, 2))))
-        rare = F.transform(F.slice(F.col("tokens"), F.lit(1), F.col("prefix")), lambda t: F.concat(F.lit("r:"), t))
+        rare = F.transform("rarest", lambda t: F.concat(F.lit("r:"), t))
         blocks = F.concat(F.coalesce(start, F.array().cast("array<string>")), rare)
         out = side.withColumn("_block", F.explode(blocks)).withColumn("_band", F.explode(bands))
         return out.withColumn("key", F.concat_ws("\u0004", "author", "_band", "_block")).drop("_band")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bindery.functions.isbn import norm_isbn10_loose, norm_isbn13_loose
 from bindery.functions.text import first_author_key, norm_author, norm_title
-from bindery.operators.keyed import keep_best_per_key, lookup_join
+from bindery.operators.keyed import hot_keys, keep_best_per_key, lookup_join
 from bindery.operators.projection import coalesce_blank_aware
 
 
@@ -177,25 +177,31 @@ def cascade_join(
 
     Keys of a row that is already matched are nulled, so it takes no part in later joins.
     """
-    out = base.withColumns(
-        {**{v: F.lit(None).cast(passes[0].right.schema[v].dataType) for v in values},
-         "match_pass": F.lit(None).cast("string")}
+    # All keys are computed up front, and hot keys are counted on the base itself: the plan grows
+    # by one join per pass, not by a copy of all earlier passes.
+    names = [[f"_key{p}_{i}" for i in range(len(p_.base_keys()))] for p, p_ in enumerate(passes)]
+    all_keys = {n: k for ns, p in zip(names, passes) for n, k in zip(ns, p.base_keys())}
+    keyed = base.withColumns(all_keys)
+    out = keyed.withColumns(
+        {
+            **{v: F.lit(None).cast(passes[0].right.schema[v].dataType) for v in values},
+            "match_pass": F.lit(None).cast("string"),
+        }
     )
-    for p in passes:
-        names = [f"_key{i}" for i in range(len(p.base_keys()))]
-        right = p.right.withColumns(dict(zip(names, p.right_keys()))).dropna(subset=names)
-        right = keep_best_per_key(right, names, order).select(
-            *names, *[F.col(v).alias(f"_p_{v}") for v in values], F.lit(p.name).alias("_p")
+    still_open = F.col("match_pass").isNull()
+    for p, ns in zip(passes, names):
+        right = p.right.withColumns(dict(zip(ns, p.right_keys()))).dropna(subset=ns)
+        right = keep_best_per_key(right, ns, order).select(
+            *ns, *[F.col(v).alias(f"_p_{v}") for v in values], F.lit(p.name).alias("_p")
         )
-        still_open = F.col("match_pass").isNull()
-        keyed = out.withColumns({n: F.when(still_open, k) for n, k in zip(names, p.base_keys())})
-        joined = lookup_join(keyed, right, names, row_id=[row_id])
+        asking = out.withColumns({n: F.when(still_open, F.col(n)) for n in ns})
+        joined = lookup_join(asking, right, ns, hot=hot_keys(keyed, ns), row_id=[row_id])
         out = joined.withColumns(
             {
                 **{v: F.coalesce(v, f"_p_{v}") for v in values},
                 "match_pass": F.coalesce("match_pass", "_p"),
             }
-        ).drop(*names, "_p", *[f"_p_{v}" for v in values])
+        ).drop(*ns, "_p", *[f"_p_{v}" for v in values])
     return out
 
 
@@ -251,9 +257,10 @@ def enrich_description_staged(
     """First non-blank text over source tables (each unique by key), else ''."""
     out = base
     names = []
+    hot = hot_keys(base, [key])
     for i, (table, text) in enumerate(sources):
         names.append(f"_src{i}")
-        out = lookup_join(out, table.select(key, F.col(text).alias(f"_src{i}")), [key])
+        out = lookup_join(out, table.select(key, F.col(text).alias(f"_src{i}")), [key], hot=hot)
     filled = [F.when(F.trim(n) != "", F.col(n)) for n in names]
     return out.withColumn(target, F.coalesce(*filled, F.lit(""))).drop(*names)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bindery.operators.keyed import key_difference, lookup_join
+from bindery.operators.keyed import key_difference
 
 
 def incremental_cache(
@@ -24,7 +24,7 @@ def incremental_cache(
     """
     out = key_difference(wanted, cache, key)
     for i, (_, table) in enumerate(sources):
-        out = lookup_join(out, table.select(key, F.col(value).alias(f"_v{i}")), [key])
+        out = out.join(table.select(key, F.col(value).alias(f"_v{i}")), key, "left")  # both sides unique
     found = [F.when(F.col(f"_v{i}").isNotNull(), F.lit(name)) for i, (name, _) in enumerate(sources)]
     values = [F.col(f"_v{i}") for i in range(len(sources))]
     return out.select(
