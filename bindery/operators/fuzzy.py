@@ -208,7 +208,8 @@ def similar_titles(left: DataFrame, right: DataFrame, lowest: int) -> DataFrame:
     )
     # A pair may meet at several tokens; most copies are combined before the shuffle.
     met = _tiled_join(_postings(l), _postings(r), condition).select("l_title", "r_title")
-    pairs = met.distinct().repartition(_parts(left), "l_title", "r_title")
+    # Written out, since Catalyst would else move the scoring below the distinct.
+    pairs = materialize(met.distinct().repartition(_parts(left), "l_title"), "title-pairs")
     scored = pairs.withColumn("t_score", indel_score("l_title", "r_title"))
     return scored.filter(F.col("t_score") >= lowest)
 

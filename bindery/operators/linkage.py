@@ -12,6 +12,7 @@ from bindery.functions.isbn import norm_isbn10_loose, norm_isbn13_loose
 from bindery.functions.text import first_author_key, norm_author, norm_title
 from bindery.operators.keyed import hot_keys, keep_best_per_key, lookup_join
 from bindery.operators.projection import coalesce_blank_aware
+from bindery.session import materialize
 
 
 def keyed_left_join(
@@ -177,11 +178,12 @@ def cascade_join(
 
     Keys of a row that is already matched are nulled, so it takes no part in later joins.
     """
-    # All keys are computed up front, and hot keys are counted on the base itself: the plan grows
-    # by one join per pass, not by a copy of all earlier passes.
+    # The passes run on a narrow table of ids and keys, written once; the base itself is shuffled
+    # only for the last join. Hot keys are counted on that table, so the plan grows by one join
+    # per pass and not by a copy of all earlier passes.
     names = [[f"_key{p}_{i}" for i in range(len(p_.base_keys()))] for p, p_ in enumerate(passes)]
     all_keys = {n: k for ns, p in zip(names, passes) for n, k in zip(ns, p.base_keys())}
-    keyed = base.withColumns(all_keys)
+    keyed = materialize(base.select(row_id, *[k.alias(n) for n, k in all_keys.items()]), "cascade-keys")
     out = keyed.withColumns(
         {
             **{v: F.lit(None).cast(passes[0].right.schema[v].dataType) for v in values},
@@ -202,7 +204,7 @@ def cascade_join(
                 "match_pass": F.coalesce("match_pass", "_p"),
             }
         ).drop(*ns, "_p", *[f"_p_{v}" for v in values])
-    return out
+    return base.join(out, row_id, "left")
 
 
 def pass_coverage(joined: DataFrame, passes: Sequence[str]) -> DataFrame:

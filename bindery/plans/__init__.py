@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("scalars", "rows", "joins")
+MODULES = ("scalars", "rows", "joins", "audit", "files", "models")
 
 
 def load_all() -> None:

@@ -15,10 +15,10 @@ class Tables:
     """The Parquet tables of one folder, as attributes."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self._folder = spark, folder.rstrip("/")
+        self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
 def query(name: str, sql: str | None = None):

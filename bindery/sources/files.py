@@ -42,23 +42,23 @@ def scan_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     return standardize_names(spark.read.options(header=True, multiLine=True, escape='"', inferSchema=False).csv(path))
 
 
-def scan_csv_encoded(spark: SparkSession, path: str, schema: str, encoding: str) -> DataFrame:
-    """CSV in a single-byte encoding; rows with too many or too few fields are dropped."""
-    fields = _schema(schema)
+def _with_overflow(spark: SparkSession, path: str, schema: str, encoding: str) -> DataFrame:
+    """One more column than the schema: it is filled only in rows with too many fields."""
+    fields = T.StructType([*_schema(schema).fields, T.StructField("_overflow", T.StringType())])
     return spark.read.schema(fields).options(
-        header=True, encoding=encoding, escape='"', mode="DROPMALFORMED", enforceSchema=True
+        header=True, encoding=encoding, escape='"', mode="PERMISSIVE", columnPruning=False
     ).csv(path)
 
 
+def scan_csv_encoded(spark: SparkSession, path: str, schema: str, encoding: str) -> DataFrame:
+    """CSV in a single-byte encoding; rows with too many fields are dropped, short rows get nulls."""
+    return _with_overflow(spark, path, schema, encoding).filter("_overflow is null").drop("_overflow")
+
+
 def count_malformed(spark: SparkSession, path: str, schema: str, encoding: str) -> DataFrame:
     """Rows read and rows ``scan_csv_encoded`` drops."""
-    fields = T.StructType([*_schema(schema).fields, T.StructField("_corrupt_record", T.StringType())])
-    raw = spark.read.schema(fields).options(
-        header=True, encoding=encoding, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record"
-    ).csv(path)
-    # The parser must see every column, or it would not notice a malformed row.
-    bad = F.when(F.col("_corrupt_record").isNotNull(), F.xxhash64(*raw.columns))
-    return raw.agg(F.count(F.xxhash64(*raw.columns)).alias("n_rows"), F.count(bad).alias("n_malformed"))
+    rows = _with_overflow(spark, path, schema, encoding)
+    return rows.agg(F.count("*").alias("n_rows"), F.count("_overflow").alias("n_malformed"))
 
 
 def scan_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -84,22 +84,26 @@ def scan_jsonl_semi(
     return keep_best_per_key(df, [key], order)
 
 
-def _file_key() -> F.Column:
-    return F.regexp_extract(F.col("_metadata.file_name"), f"^(.*){KEYED_MAP_SUFFIX.replace('.', '[.]')}$", 1)
+def explode_json_map(df: DataFrame, key: str, text: str) -> DataFrame:
+    """A JSON map of time to rank per row, as rows (key, ts, rank)."""
+    maps = df.select(key, F.from_json(text, "map<string,int>").alias("m"))
+    return maps.select(key, F.explode("m").alias("ts", "rank"))
 
 
 def scan_keyed_json_maps(spark: SparkSession, folder: str, key: str = "asin") -> DataFrame:
     """One file per key with a JSON map of time to rank, as rows (key, ts, rank)."""
     files = spark.read.option("pathGlobFilter", f"*{KEYED_MAP_SUFFIX}").text(folder, wholetext=True)
-    maps = files.select(_file_key().alias(key), F.from_json("value", "map<string,int>").alias("m"))
-    return maps.select(key, F.explode("m").alias("ts", "rank")).withColumn("ts", F.col("ts").try_cast("long"))
+    named = files.select(F.replace("_metadata.file_name", F.lit(KEYED_MAP_SUFFIX), F.lit("")).alias(key), "value")
+    return explode_json_map(named, key, "value").withColumn("ts", F.col("ts").try_cast("long"))
 
 
-def list_source_keys(spark: SparkSession, folder: str, key: str = "asin") -> DataFrame:
+def list_source_keys(
+    spark: SparkSession, folder: str, key: str = "asin", suffix: str = KEYED_MAP_SUFFIX
+) -> DataFrame:
     """The keys that have a file; file contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{KEYED_MAP_SUFFIX}").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select(F.replace(name, F.lit(KEYED_MAP_SUFFIX), F.lit("")).alias(key)).distinct()
+    return files.select(F.replace(name, F.lit(suffix), F.lit("")).alias(key)).distinct()
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
