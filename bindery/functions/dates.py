@@ -5,23 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted date patterns, month first as in the source texts.
-DATE_PATTERNS = (
-    "M/d/yy",
-    "M/d/yyyy",
-    "MMMM d yyyy",
-    "MMMM d, yyyy",
-    "MMM d yyyy",
-    "MMM d, yyyy",
-    "MMMM yyyy",
-    "MMM yyyy",
-    "d MMMM yyyy",
-    "d MMM yyyy",
-    "yyyy-M-d",
-    "yyyy-M",
-    "yyyy/M/d",
-    "M-d-yyyy",
-)
+from bindery.functions.binding import bound
+
+# Accepted date patterns, month first as in the source texts, each with its shape.
+# A pattern is only tried on text of its shape, since a failed parse costs far more than a match.
+DATE_PATTERNS = {
+    "M/d/yy": r"^\d{1,2}/\d{1,2}/\d{2}$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "MMMM d yyyy": r"^[A-Za-z]{3,} \d{1,2} \d{4}$",
+    "MMM d yyyy": r"^[A-Za-z]{3} \d{1,2} \d{4}$",
+    "MMMM d, yyyy": r"^[A-Za-z]{3,} \d{1,2}, \d{4}$",
+    "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+    "MMMM yyyy": r"^[A-Za-z]{3,} \d{4}$",
+    "MMM yyyy": r"^[A-Za-z]{3} \d{4}$",
+    "d MMMM yyyy": r"^\d{1,2} [A-Za-z]{3,} \d{4}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$",
+    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "yyyy-M": r"^\d{4}-\d{1,2}$",
+    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    "M-d-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+}
 
 
 def pub_month(c: Column) -> Column:
@@ -34,9 +38,16 @@ def pub_month(c: Column) -> Column:
     is_tuple = s.startswith("(") & s.endswith(")")
     first = F.regexp_extract(s, r"^\(\s*['\"]?(\d{1,2})['\"]?\s*,", 1).try_cast("int")
     plain = F.regexp_replace(s, r"(\d+)(st|nd|rd|th)", "$1")
-    tries = [F.month(F.try_to_date(plain, p)) for p in DATE_PATTERNS]
-    tries.append(F.month(F.to_date(F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss")))))
-    month = F.when(is_tuple, F.when(first.between(1, 12), first)).otherwise(F.coalesce(*tries))
+
+    def parsed(text: Column) -> Column:
+        return F.coalesce(
+            *[
+                F.when(text.rlike(shape), F.month(F.try_to_timestamp(text, F.lit(pattern))))
+                for pattern, shape in DATE_PATTERNS.items()
+            ]
+        )
+
+    month = F.when(is_tuple, F.when(first.between(1, 12), first)).otherwise(bound(plain, parsed))
     return F.coalesce(month, F.lit(0))
 
 

@@ -51,30 +51,33 @@ def _valid13(s: Column) -> Column:
 
 
 def is_valid_isbn10(c: Column) -> Column:
-    return _valid10(_keep_digits_and_x(clean_missing_text(c)))
+    return bound(_keep_digits_and_x(clean_missing_text(c)), _valid10)
 
 
 def is_valid_isbn13(c: Column) -> Column:
-    return _valid13(F.regexp_replace(clean_missing_text(c), "[^0-9]", ""))
+    return bound(F.regexp_replace(clean_missing_text(c), "[^0-9]", ""), _valid13)
 
 
 def clean_isbn10_padded(c: Column) -> Column:
     """The first valid of: the text as it is, the text left-padded with zeros to ten characters."""
-    s = _keep_digits_and_x(clean_missing_text(c))
-    padded = F.when(F.length(s).between(1, 9), F.lpad(s, 10, "0"))
-    return F.coalesce(F.when(_valid10(s), s), F.when(_valid10(padded), padded))
+
+    def first_valid(s: Column) -> Column:
+        padded = F.when(F.length(s).between(1, 9), F.lpad(s, 10, "0"))
+        return F.coalesce(F.when(_valid10(s), s), bound(padded, lambda p: F.when(_valid10(p), p)))
+
+    return bound(_keep_digits_and_x(clean_missing_text(c)), first_valid)
 
 
 def isbn10_to_13_valid(c: Column) -> Column:
     """ISBN-13 of a valid ISBN-10, else null."""
     s = _keep_digits_and_x(clean_missing_text(c))
-    return F.when(_valid10(s), _with_check_digit(F.substring(s, 1, 9)))
+    return bound(s, lambda x: F.when(_valid10(x), _with_check_digit(F.substring(x, 1, 9))))
 
 
 def clean_isbn13_valid(c: Column) -> Column:
     """Digits of a valid ISBN-13, else null."""
     s = F.regexp_replace(clean_missing_text(c), "[^0-9]", "")
-    return F.when(_valid13(s), s)
+    return bound(s, lambda x: F.when(_valid13(x), x))
 
 
 def clean_isbn13_len(c: Column) -> Column:
@@ -86,31 +89,35 @@ def clean_isbn13_len(c: Column) -> Column:
 def norm_isbn13_loose(c: Column) -> Column:
     """Part before the first point, digits and X only, accepted at length 13."""
     s = _keep_digits_and_x(F.substring_index(F.trim(c), ".", 1))
-    return F.when(F.length(s) == 13, s)
+    return bound(s, lambda x: F.when(F.length(x) == 13, x))
 
 
 def norm_isbn10_loose(c: Column) -> Column:
     """Part before the first point, digits and X only, zero-padded, accepted at length 10."""
     s = _keep_digits_and_x(F.substring_index(F.trim(c), ".", 1))
-    return F.when(F.length(s) <= 10, F.lpad(s, 10, "0"))
+    return bound(s, lambda x: F.when(F.length(x) <= 10, F.lpad(x, 10, "0")))
+
+
+def _loose13(x: Column) -> Column:
+    fits = (F.length(x) == 10) & x.rlike("^[0-9]{9}")
+    return F.when(fits, _with_check_digit(F.substring(x, 1, 9)))
 
 
 def isbn10_to_13_loose(c: Column) -> Column:
     """Conversion without validating the ISBN-10; null if the first nine are not digits."""
-    return F.when((F.length(c) == 10) & c.rlike("^[0-9]{9}"), _with_check_digit(F.substring(c, 1, 9)))
+    return bound(c, _loose13)
 
 
 def oclc_isbn_loose(c: Column) -> Column:
     """ISBN-13 of a mixed column by length alone."""
-    s = _keep_digits_and_x(c)
-    return F.when(F.length(s) == 13, s).when(F.length(s) == 10, isbn10_to_13_loose(s))
+    return bound(_keep_digits_and_x(c), lambda x: F.when(F.length(x) == 13, x).otherwise(_loose13(x)))
 
 
 def split_mixed_isbn(c: Column) -> tuple[Column, Column]:
     """(ISBN-10, ISBN-13) of a mixed column, without padding."""
     s = _keep_digits_and_x(F.substring_index(c, ".", 1))
-    ten = F.when(F.length(s) == 10, s)
-    return ten, F.when(F.length(s) == 10, isbn10_to_13_loose(s)).when(F.length(s) == 13, s)
+    ten = bound(s, lambda x: F.when(F.length(x) == 10, x))
+    return ten, bound(s, lambda x: F.when(F.length(x) == 13, x).otherwise(_loose13(x)))
 
 
 def extract_isbn_candidates(c: Column) -> Column:

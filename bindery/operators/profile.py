@@ -6,6 +6,8 @@ from __future__ import annotations
 import itertools
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from bindery.operators.keyed import lookup_join
 from bindery.operators.ordered import cumulative_share, exact_quantiles
 
 PROBS = (0.25, 0.5, 0.75)
+SUMMING_TASKS = 16
 
 
 def _domain(df: DataFrame, name: str, values: Sequence) -> DataFrame:
@@ -218,23 +221,47 @@ def describe_all(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) ->
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r for every unordered pair (long form, a before b), pairwise complete, in one pass.
+    """Pearson r for every unordered pair (long form, a before b), pairwise complete.
 
-    r is null if either column is constant on the common rows.
+    r is null if either column is constant on the common rows. Each task adds up one matrix of
+    products, whose size depends on the number of columns only; a second level of tasks adds those
+    up, and the driver gets a few of them. Values are centred first, against cancellation.
     """
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    pairs = list(itertools.combinations(range(len(columns)), 2))
-    aggs = []
-    for i, j in pairs:
-        a, b = F.col(columns[i]), F.col(columns[j])
-        a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-        spread = F.stddev_pop(a) * F.stddev_pop(b)
-        aggs.append(F.try_divide(F.covar_pop(a, b), spread).alias(f"{i}|{j}"))
-    names = F.array(*[F.lit(c) for c in columns])
-    rows = wide.agg(*aggs).unpivot([], [f"{i}|{j}" for i, j in pairs], "pair", "r")
-    i = F.split_part("pair", F.lit("|"), F.lit(1)).cast("int")
-    j = F.split_part("pair", F.lit("|"), F.lit(2)).cast("int")
-    return rows.select(F.get(names, i).alias("a"), F.get(names, j).alias("b"), "r")
+    centre = wide.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]).first()
+    means = np.array(list(centre))
+    p = len(columns)
+
+    def products(batches):
+        total = np.zeros((3 * p, 3 * p))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float, na_value=np.nan)
+            known = ~np.isnan(x)
+            x = np.where(known, x - means, 0.0)
+            block = np.hstack([known, x, x * x])
+            total += block.T @ block
+        yield pd.DataFrame({"g": [total.ravel()]})
+
+    def add_up(batches):
+        total = np.zeros(9 * p * p)
+        for batch in batches:
+            for g in batch["g"]:
+                total += g
+        yield pd.DataFrame({"g": [total]})
+
+    schema = T.StructType([T.StructField("g", T.ArrayType(T.DoubleType()))])
+    sums = wide.mapInPandas(products, schema).repartition(SUMMING_TASKS).mapInPandas(add_up, schema)
+    g = sum(np.array(r["g"]) for r in sums.collect()).reshape(3, p, 3, p)
+    n, sx, sxx, sxy = g[0, :, 0, :], g[1, :, 0, :], g[2, :, 0, :], g[1, :, 1, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean, var = sx / n, sxx / n - (sx / n) ** 2
+        r = (sxy / n - mean * mean.T) / np.sqrt(var * var.T)
+        flat = ~(var > np.maximum(1e-12 * sxx / n, 1e-24 * means[:, None] ** 2))
+    rows = [
+        (columns[i], columns[j], None if flat[i, j] or flat[j, i] else float(r[i, j]))
+        for i, j in itertools.combinations(range(p), 2)
+    ]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def correlated_pairs(matrix: DataFrame, threshold: float = 0.5) -> DataFrame:

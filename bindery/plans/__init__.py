@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("scalars", "rows", "joins", "audit", "files", "models")
+MODULES = ("scalars", "rows", "joins", "audit", "files", "models", "flows")
 
 
 def load_all() -> None:

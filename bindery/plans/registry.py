@@ -50,7 +50,7 @@ _SUM10 = " + ".join(f"{10 - i} * cast(substr(b, {i + 1}, 1) as int)" for i in ra
 _SUM13 = "9 + 7 * 3 + 8 + " + " + ".join(
     f"{3 if i % 2 == 0 else 1} * cast(substr(b, {i + 1}, 1) as int)" for i in range(9)
 )
-CHECK10 = f"(case (11 - ({_SUM10}) % 11) % 11 when 10 then 'X' else cast((11 - ({_SUM10}) % 11) % 11 as string) end)"
+CHECK10 = f"substr('0123456789X', (11 - ({_SUM10}) % 11) % 11 + 1, 1)"
 CHECK13 = f"cast((10 - ({_SUM13}) % 10) % 10 as string)"
 
 # An ISBN field as messy as the real ones: broken check digits, hyphens, dropped zeros, '.0', suffixes.
