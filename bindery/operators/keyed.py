@@ -63,7 +63,9 @@ def lookup_join(
     step = left.join(F.broadcast(hot_right), on, "left").withColumn(
         "_spread", F.when(direct, spread).otherwise(F.lit(0))
     )
-    cold = right.select(*on, F.lit(0).alias("_spread"), F.struct(*values).alias("_cold"))
+    # Always 0, but not a constant: Catalyst would drop a constant from the keys of the shuffle.
+    zero = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int")
+    cold = right.select(*on, zero.alias("_spread"), F.struct(*values).alias("_cold"))
     joined = step.join(cold, [*on, "_spread"], "left")
     return joined.select(
         *[F.col(c) for c in left.columns],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,12 +42,22 @@ def scan_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     return standardize_names(spark.read.options(header=True, multiLine=True, escape='"', inferSchema=False).csv(path))
 
 
+def _from_windows_1252(c: Column) -> Column:
+    """Repair text of that encoding that was read as Latin-1, which differs in 0x80 to 0x9F only."""
+    pairs = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+    known = [(a, b) for a, b in pairs if b]
+    return F.translate(c, "".join(a for a, _ in known), "".join(b for _, b in known))
+
+
 def _with_overflow(spark: SparkSession, path: str, schema: str, encoding: str) -> DataFrame:
     """One more column than the schema: it is filled only in rows with too many fields."""
     fields = T.StructType([*_schema(schema).fields, T.StructField("_overflow", T.StringType())])
-    return spark.read.schema(fields).options(
-        header=True, encoding=encoding, escape='"', mode="PERMISSIVE", columnPruning=False
+    windows = encoding.lower() in ("windows-1252", "cp1252")  # not among the charsets Spark accepts
+    df = spark.read.schema(fields).options(
+        header=True, encoding="ISO-8859-1" if windows else encoding, escape='"', mode="PERMISSIVE", columnPruning=False
     ).csv(path)
+    texts = [f.name for f in fields if windows and isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: _from_windows_1252(F.col(c)) for c in texts}) if texts else df
 
 
 def scan_csv_encoded(spark: SparkSession, path: str, schema: str, encoding: str) -> DataFrame:

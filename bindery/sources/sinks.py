@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,7 +13,7 @@ def sink_csv(df: DataFrame, path: str) -> None:
     flat.write.mode("overwrite").options(header=True, escape='"', quoteAll=False, emptyValue='""').csv(path)
 
 
-def list_literal(items) -> F.Column:
+def list_literal(items: Column) -> Column:
     """Array to text such as ``['a', "b's"]``."""
 
     def quoted(x):
