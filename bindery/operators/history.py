@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from bindery.functions.isbn import oclc_isbn_loose
 from bindery.operators.keyed import above_share, lookup_join
 from bindery.operators.ordered import exact_quantiles
+from bindery.session import materialize
 
 
 def author_cells(df: DataFrame, author: str, year: str, label: str, row_id: str) -> DataFrame:
@@ -80,6 +81,8 @@ def max_author_prior(
     single = df.select(
         row_id, F.explode_outer(authors).alias("_name"), F.col(year).alias("_year"), F.col(label).alias("_label")
     ).select(row_id, F.nullif(clean(F.col("_name")), F.lit("")).alias("_author"), "_year", "_label")
+    # Read three times below, so the exploding and cleaning is done once.
+    single = materialize(single, "authors")
     cells = author_cells(single, "_author", "_year", "_label", row_id)
     hot = above_share(cells, "_n").select("_author", "_year")
     counted = lookup_join(
