@@ -130,7 +130,7 @@ def _rank_tokens(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFram
     return ordered(left), ordered(right)
 
 
-def _tiled_join(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
+def _tiled_join(left: DataFrame, right: DataFrame, condition: Column, own: tuple[str, ...] = ("title",)) -> DataFrame:
     """Join postings (``key``, ...) of both sides; the columns are prefixed l_ and r_.
 
     A key with many postings is split into a grid: each left row goes to one row of the grid and
@@ -147,11 +147,11 @@ def _tiled_join(left: DataFrame, right: DataFrame, condition: Column) -> DataFra
         .filter("_rows > 0 and _cols > 0")  # keys of one side only have no pairs
     )
     sizes = _small(materialize(sizes, "tile-sizes"))
-    own = F.pmod(F.xxhash64("title"), F.lit(1 << 30)).cast("int")
+    place = F.pmod(F.xxhash64(*own), F.lit(1 << 30)).cast("int")
 
     def spread(side: DataFrame, mine: str, other: str, prefix: str) -> DataFrame:
         placed = side.join(sizes, "key").withColumns(
-            {mine[1:]: own % F.col(mine), other[1:]: F.explode(F.sequence(F.lit(0), F.col(other) - 1))}
+            {mine[1:]: place % F.col(mine), other[1:]: F.explode(F.sequence(F.lit(0), F.col(other) - 1))}
         )
         return placed.select(
             "key", "rows", "cols", *[F.col(c).alias(prefix + c) for c in side.columns if c != "key"]
@@ -260,19 +260,25 @@ def fuzzy_title_author_join(
     # Upper bound of the author score from the letters in common, checked before exact scoring.
     lower_author = F.greatest(
         F.lit(float(rule.author_floor)),
-        (F.lit(rule.threshold) - F.col("t_score") * rule.title_weight) / rule.author_weight,
+        (F.lit(rule.threshold) - F.col("l_t_score") * rule.title_weight) / rule.author_weight,
     ) - 0.5
     common = F.size(F.array_intersect("l_letters", "r_letters"))
     shorter = F.least(F.length("l_author"), F.length("r_author"))
-    bound = F.when(F.greatest(F.length("l_author"), F.length("r_author")) == 0, 100.0).otherwise(
+    highest = F.when(F.greatest(F.length("l_author"), F.length("r_author")) == 0, 100.0).otherwise(
         F.coalesce(F.try_divide(common * 200.0, shorter + common), F.lit(0.0))
     )
-    left = titles.join(distinct_base.withColumn("l_letters", letter_tokens(F.col("l_author"))), "l_title")
-    right = distinct_labels.withColumn("r_letters", letter_tokens(F.col("r_author")))
-    pairs = left.join(
-        right.withColumnRenamed("r_title", "_r_title"),
-        (F.col("r_title") == F.col("_r_title")) & (bound + 1e-9 >= lower_author),
-    ).select("l_title", "l_author", "r_author", "t_score", "_label")
+    left = titles.join(distinct_base, "l_title").select(
+        F.col("r_title").alias("key"), F.col("l_title").alias("title"), F.col("l_author").alias("author"),
+        "t_score", letter_tokens(F.col("l_author")).alias("letters"),
+    )
+    right = distinct_labels.select(
+        F.col("r_title").alias("key"), F.col("r_author").alias("author"), "_label",
+        letter_tokens(F.col("r_author")).alias("letters"),
+    )
+    # A title with very many authors on both sides is split like a frequent token.
+    pairs = _tiled_join(
+        materialize(left, "author-left"), materialize(right, "author-right"), highest + 1e-9 >= lower_author, ("author",)
+    ).select("l_title", "l_author", "r_author", F.col("l_t_score").alias("t_score"), F.col("r__label").alias("_label"))
     score = F.col("t_score") * F.lit(rule.title_weight) + F.col("a_score") * F.lit(rule.author_weight)
     accepted = (
         pairs.withColumn("a_score", partial_score("l_author", "r_author"))

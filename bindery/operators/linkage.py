@@ -132,7 +132,9 @@ def exact_key_merge(
 def anti_consumed_labels(labels: DataFrame, merged: DataFrame, key: str) -> DataFrame:
     """Label rows whose key the exact pass did not use; rows without a key stay."""
     used = merged.filter(F.col("match_method") == "exact_isbn").select(key).distinct()
-    return labels.join(used, key, "left_anti")
+    # Rows without a key take no part in the join, where they would all meet in one task.
+    keyed = labels.filter(F.col(key).isNotNull()).join(used, key, "left_anti")
+    return keyed.unionByName(labels.filter(F.col(key).isNull()))
 
 
 def apply_match_patch(

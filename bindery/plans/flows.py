@@ -20,6 +20,7 @@ from bindery.functions.numbers import coerce_double
 from bindery.functions.text import first_author_key, norm_author, norm_text_ascii, norm_title
 from bindery.operators import filters, linkage, ml
 from bindery.operators.fuzzy import FuzzyRule, fuzzy_title_author_join
+from bindery.operators.keyed import lookup_join
 from bindery.operators.history import agg_weekly_list, rank_features
 from bindery.operators.projection import coalesce_blank_aware, finalize_labels, is_match, map_dictionary
 from bindery.operators.quality import expect_label_domain, expect_row_count, expect_unique, require
@@ -63,7 +64,8 @@ def label_catalogue(books: DataFrame, labels: DataFrame, rule: FuzzyRule = Fuzzy
         base_id="gb_id", base_title="title_norm", base_author="author_norm",
         label_id="label_id", label_title="label_title_norm", label_author="label_author_norm", rule=rule,
     )
-    found = matches.select("gb_id", "label_id").join(lab.drop("isbn13_key"), "label_id")
+    chosen = matches.select("gb_id", "label_id")  # many books may share one label row
+    found = lookup_join(chosen, lab.drop("isbn13_key"), ["label_id"], row_id=["gb_id"])
     patched = linkage.apply_match_patch(
         merged, found, "gb_id", ["label", "label_id", *DETAILS, "label_title", "label_author"], "label"
     )
