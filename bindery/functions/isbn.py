@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bindery.functions.binding import bound
-from bindery.functions.text import clean_missing_text
+from bindery.functions.text import clean_missing_text, strip
 
 
 def _digit(c: Column, i: int) -> Column:
@@ -82,7 +82,7 @@ def clean_isbn13_valid(c: Column) -> Column:
 
 def clean_isbn13_len(c: Column) -> Column:
     """Digits without a trailing '.0'; 13 of them, without a check-digit test."""
-    s = F.regexp_replace(F.regexp_replace(F.trim(c), r"\.0$", ""), "[^0-9]", "")
+    s = F.regexp_replace(F.regexp_replace(strip(c), r"\.0$", ""), "[^0-9]", "")
     return F.when(F.length(s) == 13, s)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions.numbers import log_pages, pub_decade
-from bindery.functions.text import list_size, scrub_accolades, title_features, word_count
+from bindery.functions.text import list_size, scrub_accolades, strip, title_features, word_count
 from bindery.operators.history import author_history
 from bindery.operators.profile import correlation_matrix
 from bindery.operators.projection import expand_vector, top_n_dummies
@@ -144,7 +144,7 @@ def attach_embeddings(df: DataFrame, key: str, text: str, vectors: DataFrame, si
     """The precomputed vector of each row; the zero vector for blank text or a missing vector."""
     zero = F.array_repeat(F.lit(0.0).cast("float"), size)
     joined = df.join(vectors.select(key, "vector"), key, "left")
-    blank = F.trim(scrub_accolades(F.coalesce(F.col(text), F.lit("")))) == ""
+    blank = strip(scrub_accolades(F.coalesce(F.col(text), F.lit("")))) == ""
     return joined.select(key, F.when(blank, zero).otherwise(F.coalesce("vector", zero)).alias("vector"))
 
 

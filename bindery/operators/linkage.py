@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions.isbn import norm_isbn10_loose, norm_isbn13_loose
-from bindery.functions.text import first_author_key, norm_author, norm_title
+from bindery.functions.text import first_author_key, norm_author, norm_title, strip
 from bindery.operators.keyed import hot_keys, keep_best_per_key, lookup_join
 from bindery.operators.projection import coalesce_blank_aware
 from bindery.session import materialize
@@ -245,10 +245,14 @@ def best_edition_lookup(
 
 
 def enrich_by_key(
-    base: DataFrame, source: DataFrame, key: str, fill: tuple[str, str] | None = None
+    base: DataFrame,
+    source: DataFrame,
+    key: str,
+    fill: tuple[str, str] | None = None,
+    row_id: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left enrichment by a key that is unique in ``source``; optionally fill a blank text column."""
-    out = lookup_join(base, source, [key])
+    out = lookup_join(base, source, [key], row_id=row_id)
     if fill:
         target, other = fill
         out = out.withColumn(target, coalesce_blank_aware(F.col(target), F.col(other))).drop(other)
@@ -265,12 +269,14 @@ def enrich_description_staged(
     for i, (table, text) in enumerate(sources):
         names.append(f"_src{i}")
         out = lookup_join(out, table.select(key, F.col(text).alias(f"_src{i}")), [key], hot=hot)
-    filled = [F.when(F.trim(n) != "", F.col(n)) for n in names]
+    filled = [F.when(strip(F.col(n)) != "", F.col(n)) for n in names]
     return out.withColumn(target, F.coalesce(*filled, F.lit(""))).drop(*names)
 
 
-def attach_rank_features(base: DataFrame, features: DataFrame, key: str) -> DataFrame:
-    return lookup_join(base, features, [key])
+def attach_rank_features(
+    base: DataFrame, features: DataFrame, key: str, row_id: Sequence[str] | None = None
+) -> DataFrame:
+    return lookup_join(base, features, [key], row_id=row_id)
 
 
 def adaptation_join(

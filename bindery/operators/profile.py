@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bindery.functions.text import strip
 from bindery.operators.keyed import lookup_join
 from bindery.operators.ordered import cumulative_share, exact_quantiles
 
@@ -168,7 +169,7 @@ def coverage_report(df: DataFrame, checks: Sequence[tuple[str, str]], binary: Se
         if isinstance(kinds[c], T.ArrayType):
             return F.size(c) > 0
         if isinstance(kinds[c], T.StringType):
-            return F.trim(c) != ""
+            return strip(F.col(c)) != ""
         return F.col(c).isNotNull()
 
     one = df.agg(F.count("*").alias("n_total"), *[F.count_if(usable(c)).alias(text) for c, text in present])

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bindery.functions.text import strip
+
 
 def standardize_names(df: DataFrame) -> DataFrame:
     """Lower-cased, stripped column names with spaces as underscores."""
@@ -26,8 +28,8 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def coalesce_blank_aware(a: Column, b: Column) -> Column:
     """``a`` unless it is null or blank and ``b`` has text."""
-    has_a = F.coalesce(F.trim(a), F.lit("")) != ""
-    has_b = F.coalesce(F.trim(b), F.lit("")) != ""
+    has_a = F.coalesce(strip(a), F.lit("")) != ""
+    has_b = F.coalesce(strip(b), F.lit("")) != ""
     return F.when(~has_a & has_b, b).otherwise(a)
 
 

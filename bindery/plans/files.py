@@ -87,7 +87,7 @@ def _(t):
 
 @query(
     "scan_jsonl_semi",
-    """WITH d AS (SELECT source AS isbn13, trim(text) AS description, lang AS language_code FROM documents),
+    """WITH d AS (SELECT source AS isbn13, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS description, lang AS language_code FROM documents),
  k AS (SELECT DISTINCT source FROM documents JOIN labels USING (doc_id) WHERE quality = 0)
  SELECT isbn13, description, language_code FROM (SELECT *, row_number() OVER (PARTITION BY isbn13 ORDER BY length(description) DESC, description, language_code) AS rn
  FROM d WHERE isbn13 IN (SELECT source FROM k)) WHERE rn = 1""",

@@ -121,10 +121,10 @@ def canonical_table(
     )
     base = materialize(base, "canonical")
     asked = base.select("asin").filter("asin is not null")
-    base = linkage.attach_rank_features(base, rank_features(history, "asin", "ts", "rank", asked), "asin")
+    base = linkage.attach_rank_features(base, rank_features(history, "asin", "ts", "rank", asked), "asin", ["book_id"])
 
     meta = metadata.select("isbn13", F.col("description").alias("_description"), "publisher")
-    base = linkage.enrich_by_key(base, meta, "isbn13")
+    base = linkage.enrich_by_key(base, meta, "isbn13", row_id=["book_id"])
     base = base.withColumn("description", coalesce_blank_aware(F.col("description"), F.col("_description")))
     base = materialize(base.drop("_description"), "canonical")
 

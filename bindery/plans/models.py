@@ -90,10 +90,16 @@ def _(t):
     return out.select("doc_id", F.array_join(F.transform(vector_to_array("vector"), lambda x: F.round(x, 4).cast("string")), "|").alias("vector"))
 
 
-@query("build_all_features")
+@query(
+    "build_all_features",
+    f"""WITH st AS ({_STRUCTURAL}), se AS ({_SENTIMENT}) SELECT st.*, coalesce(desc_neg, 0) AS desc_neg, coalesce(desc_neu, 0) AS desc_neu, coalesce(desc_pos, 0) AS desc_pos,
+ coalesce(desc_compound, 0) AS desc_compound, {", ".join(f"CASE WHEN doc_id IS NULL THEN 0::FLOAT ELSE coalesce(embedding[{i + 1}], 0::FLOAT) END AS desc_emb_{i}" for i in range(64))}
+ FROM st LEFT JOIN se ON doc_id = gb_id LEFT JOIN embeddings ON vec_id = gb_id""",
+)
 def _(t):
     vectors = t.embeddings.select(F.col("vec_id").alias("gb_id"), F.col("embedding").alias("vector"))
-    return features.build_all_features(catalogue(t), lexicon(t), vectors=vectors, vector_size=64)
+    out = features.build_all_features(catalogue(t), lexicon(t), vectors=vectors, vector_size=64)
+    return rounded(out, "log_pages")
 
 
 @query("drop_correlated", "SELECT l_orderkey, l_quantity, 1.0::DOUBLE AS flat, l_discount FROM lineitem")
