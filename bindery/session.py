@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.shuffleDependency.fileCleanup.enabled"
+
 
 def get_session(app: str = "bindery", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume (UTC, AQE, skew handling)."""
@@ -46,13 +48,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/bindery/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later stages then survive a lost executor without replaying what came before, and values
-    that a replay might change (such as a partition number) are frozen.
+    that a replay might change (such as a partition number) are frozen. The shuffle files of the
+    write are of no more use once it is committed, so they are dropped.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
