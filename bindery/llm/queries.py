@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from bindery.llm.exact import exact_dedup
 from bindery.llm.mixing import mix_sources
+from bindery.llm.neardup import near_duplicates
+from bindery.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,3 +52,51 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     taken = mix_sources(table(spark, folder, "documents")).taken()
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+# A-Z only, as the operator does it.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op4_near_dedup",
+    f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+                 ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+    e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+    c AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS common
+          FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+          GROUP BY ALL),
+    l AS (SELECT x, y FROM c WHERE 100 * common >= 80 * (nx + ny - common)),
+    u AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+    r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, u.y FROM r JOIN u ON r.y = u.x),
+    m AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+    SELECT s.doc_id, len(s.s) AS n_shingles, component_id, s.doc_id = component_id AS kept
+    FROM s JOIN m ON s.doc_id = m.x
+    """,
+)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents"), n=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query(
+    "op3_exact_topk",
+    """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint AS score
+          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    def whole(x):  # floor() gives a long; doubles beyond its range are whole already
+        y = F.lit(256.0) * x.cast("double")
+        return F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)
+
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.transform("embedding", whole).alias("embedding"))
+    return top_k(vectors.filter("vec_id % 50 = 0"), vectors)

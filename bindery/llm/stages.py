@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def n_words(text: Column) -> Column:
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the text of one slice stays under ``most`` bytes (one row at least)."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
             if held and held + n > most:
