@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bindery.llm.exact import exact_dedup
 from bindery.llm.mixing import mix_sources
 from bindery.llm.neardup import near_duplicates
+from bindery.llm.packing import best_fit_pack
 from bindery.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +101,15 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 
     vectors = table(spark, folder, "embeddings").select("vec_id", F.transform("embedding", whole).alias("embedding"))
     return top_k(vectors.filter("vec_id % 50 = 0"), vectors)
+
+
+def vocabulary() -> dict[str, str]:
+    """Where the public vocabulary is: the ranks of byte_bpe_50k.json, and its splitting pattern."""
+    import public_tokenizers
+
+    return {"vocabulary": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+
+
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit_pack(table(spark, folder, "documents"), **vocabulary())
