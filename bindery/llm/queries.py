@@ -11,6 +11,7 @@ from bindery.llm.exact import exact_dedup
 from bindery.llm.mixing import mix_sources
 from bindery.llm.neardup import near_duplicates
 from bindery.llm.packing import best_fit_pack
+from bindery.llm.substring import substring_dedup
 from bindery.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +114,22 @@ def vocabulary() -> dict[str, str]:
 @query("op1_best_fit_packing")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_pack(table(spark, folder, "documents"), **vocabulary())
+
+
+@query(
+    "op6_substring_dedup",
+    f"""
+    WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w),
+    g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY w[i : i + 34]) > 1 AS again FROM p),
+    c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM g WHERE again),
+    d AS (SELECT doc_id, list(j) AS gone FROM c GROUP BY doc_id),
+    k AS (SELECT w.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+                 CASE WHEN gone IS NULL THEN w
+                      ELSE list_filter(w, lambda x, j: NOT list_contains(gone, j)) END AS kept
+          FROM w LEFT JOIN d USING (doc_id))
+    SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k
+    """,
+)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup(table(spark, folder, "documents")).drop("spans")
