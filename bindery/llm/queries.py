@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery.llm.exact import exact_dedup
+from bindery.llm.language import fit as fit_language
+from bindery.llm.language import identify
 from bindery.llm.mixing import mix_sources
 from bindery.llm.neardup import near_duplicates
 from bindery.llm.packing import best_fit_pack
@@ -133,3 +135,16 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup(table(spark, folder, "documents")).drop("spans")
+
+
+def _crc_mod(n: int):
+    return F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(n))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", "lang", F.coalesce(_crc_mod(4) == 2, F.lit(False)).alias("held_out")
+    )
+    model = fit_language(docs.filter(_crc_mod(4) != 2), seed=F.xxhash64("doc_id"))
+    return identify(docs, model, keep_cols=("doc_id", "held_out"))
