@@ -147,7 +147,8 @@ def mix_sources(
         .withColumns({"first_word": low - F.col("_start"), "n_words": high - low})
         .select("source_no", "block", "_row", "id", "first_word", "n_words")
     )
-    pieces = _slots(dealt, seed, shard).join(parts, ["source_no", "block"])
+    # The slots come from a table of few rows, which must not pass for their size in a broadcast.
+    pieces = _slots(dealt, seed, shard).hint("merge").join(parts, ["source_no", "block"])
     return Mix(
         rows.select("_row", "id", "source", "source_no", "source_size", "target", "size"),
         pieces.select("shard", "slot", "source_no", "pass", "block", "_row", "id", "first_word", "n_words"),
