@@ -13,6 +13,7 @@ from bindery.llm.language import identify
 from bindery.llm.mixing import mix_sources
 from bindery.llm.neardup import near_duplicates
 from bindery.llm.packing import best_fit_pack
+from bindery.llm.quality import quality_scores
 from bindery.llm.substring import substring_dedup
 from bindery.llm.topk import top_k
 
@@ -148,3 +149,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
     model = fit_language(docs.filter(_crc_mod(4) != 2), seed=F.xxhash64("doc_id"))
     return identify(docs, model, keep_cols=("doc_id", "held_out"))
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = quality_scores(docs, labels, learn_from=_crc_mod(5) != 0)
+    held_out = F.coalesce(_crc_mod(5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")

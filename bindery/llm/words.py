@@ -16,6 +16,12 @@ _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+# 0: space, 1: ASCII letters and digits and all bytes of longer characters, 2: other signs
+_KIND = np.full(256, 2, np.uint8)
+_KIND[128:] = 1
+_KIND[[c for c in range(128) if chr(c).isalnum()]] = 1
+_KIND[_IS_SPACE] = 0
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers whose every output bit depends on every input bit."""
@@ -44,11 +50,22 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def split_words(texts: list[bytes]) -> Words:
+    return _split(texts, _IS_SPACE.astype(np.uint8) ^ 1)
+
+
+def split_tokens(texts: list[bytes]) -> Words:
+    """Words cut further into runs of letters and digits and runs of other signs."""
+    return _split(texts, _KIND)
+
+
+def _split(texts: list[bytes], kinds: np.ndarray) -> Words:
+    """Runs of bytes of one kind, other than kind 0."""
     data = b"\n".join(texts) + b"\n"
     raw = np.frombuffer(data, np.uint8)
-    space = _IS_SPACE[raw]
-    edge = np.flatnonzero(np.diff(space, prepend=True))
-    begin, end = edge[0::2], edge[1::2]
+    kind = kinds[raw]
+    edge = np.flatnonzero(np.diff(kind, prepend=0))  # the last byte is of kind 0
+    runs = kind[edge] > 0
+    begin, end = edge[runs], edge[np.flatnonzero(runs) + 1]
     n = len(raw) + 1
     sums = np.zeros(n, _U)
     np.cumsum(_BYTE_VALUE[raw] * _powers(_MULTIPLIER, n)[:-1], out=sums[1:])
