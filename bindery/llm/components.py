@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,33 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def linked_roots(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, root) as :func:`components` gives it, for rows (_band, _row) and a check of pairs (a, b).
+
+    First every row of a bucket meets the smallest one. Then, wherever a bucket still holds several
+    components, each row outside the smallest one's component meets every row of another component. So
+    all pairs of a bucket are checked or connected already, and a bucket of copies costs pairs in
+    proportion to its size.
+    """
+    sizes = buckets.groupBy("_band").agg(F.count("*").alias("_size"), F.min("_row").alias("_pivot"))
+    shared = sizes.filter("_size > 1").select("_band", "_pivot")
+    met = keep(buckets.join(shared.hint("merge"), "_band").select("_band", "_row", "_pivot"), "buckets")
+    star = met.filter("_row <> _pivot").select(F.col("_pivot").alias("a"), F.col("_row").alias("b")).distinct()
+    links = keep(verified(star), "links")
+    roots = components(links)
+
+    rooted = met.join(roots, met["_row"] == roots["node"], "left").select(
+        "_band", "_row", "_pivot", F.coalesce("root", "_row").alias("_root")
+    )
+    pivots = rooted.filter("_row = _pivot").select("_band", F.col("_root").alias("_pivot_root"))
+    placed = keep(rooted.join(pivots, "_band").filter("_row <> _pivot"), "bucket-roots")
+    apart = placed.filter("_root <> _pivot_root").select("_band", F.col("_row").alias("_r"), F.col("_root").alias("_s"))
+    rest = placed.join(apart, "_band").filter("_root <> _s")  # the pivot has met everyone
+    more = rest.select(F.least("_row", "_r").alias("a"), F.greatest("_row", "_r").alias("b")).distinct()
+    late = keep(verified(more), "links")
+    return roots if late.isEmpty() else components(links.unionByName(late))
+
+
 def _settled(links: DataFrame) -> bool:
     """Whether every node has one parent and no parent has a parent."""
     ends = links.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bindery.llm.components import components
+from bindery.llm.components import linked_roots
 from bindery.llm.stages import keep, row_number, slices
 from bindery.llm.words import mix, shingle_sets, split_words, super_minhash
 
@@ -108,25 +108,7 @@ def near_duplicates(
     buckets = signed.join(members.filter("_row = _class"), "_row", "left_semi").select(
         "_row", F.explode("_bands").alias("_band")
     )
-    sizes = buckets.groupBy("_band").agg(F.count("*").alias("_size"), F.min("_row").alias("_pivot"))
-    shared = sizes.filter("_size > 1").select("_band", "_pivot")
-    met = keep(buckets.join(shared, "_band").select("_band", "_row", "_pivot"), "buckets")
-
-    star = met.filter("_row <> _pivot").select(F.col("_pivot").alias("a"), F.col("_row").alias("b")).distinct()
-    links = keep(_verified(star, texts, n, threshold), "links")
-    roots = components(links)
-    rooted = met.join(roots, met["_row"] == roots["node"], "left").select(
-        "_band", "_row", "_pivot", F.coalesce("root", "_row").alias("_root")
-    )
-    pivots = rooted.filter("_row = _pivot").select("_band", F.col("_root").alias("_pivot_root"))
-    placed = rooted.join(pivots, "_band")
-    apart = placed.filter("_root <> _pivot_root").select("_band", F.col("_row").alias("_r"), F.col("_root").alias("_s"))
-    # The pivot itself has met everyone.
-    rest = placed.filter("_row <> _pivot").join(apart, "_band").filter("_root <> _s")
-    more = rest.select(F.least("_row", "_r").alias("a"), F.greatest("_row", "_r").alias("b")).distinct()
-    late = keep(_verified(more, texts, n, threshold), "links")
-    if not late.isEmpty():
-        roots = components(links.unionByName(late))
+    roots = linked_roots(buckets, lambda pairs: _verified(pairs, texts, n, threshold))
 
     classed = signed.select("_row", "_n").join(members, "_row", "left")
     rooted = classed.join(roots, classed["_class"] == roots["node"], "left").select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bindery.llm.exact import exact_dedup
 from bindery.llm.language import fit as fit_language
 from bindery.llm.language import identify
+from bindery.llm.linededup import fuzzy_line_dedup
 from bindery.llm.mixing import mix_sources
 from bindery.llm.neardup import near_duplicates
 from bindery.llm.packing import best_fit_pack
@@ -157,3 +158,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality_scores(docs, labels, learn_from=_crc_mod(5) != 0)
     held_out = F.coalesce(_crc_mod(5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op2_line_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzy_line_dedup(table(spark, folder, "documents")).drop("line")
