@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bindery.llm.exact import exact_dedup
 from bindery.llm.language import fit as fit_language
 from bindery.llm.language import identify
+from bindery.llm.licences import licence_scan
 from bindery.llm.linededup import fuzzy_line_dedup
 from bindery.llm.mixing import mix_sources
 from bindery.llm.neardup import near_duplicates
@@ -163,3 +164,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_line_dedup")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return fuzzy_line_dedup(table(spark, folder, "documents")).drop("line")
+
+
+@query("op5_licence_scan")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_scan(table(spark, folder, "documents"))
