@@ -43,9 +43,20 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The one folder under the shared folder that holds all stages of this application."""
+    return f"{shared_folder(spark)}/bindery-{spark.sparkContext.applicationId}"
+
+
+def drop_run_folder(spark: SparkSession) -> None:
+    """Remove the stages of this application. DataFrames built on them can't be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_folder(spark)}/bindery/{name}-{uuid.uuid4().hex}"
+    """A new, unused path under the run folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:

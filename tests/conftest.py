@@ -5,13 +5,13 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from bindery.session import get_session  # noqa: E402
+from bindery.session import drop_run_folder, get_session  # noqa: E402
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
         "bindery-tests",
         master="local[8]",
@@ -20,10 +20,12 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri(),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_run_folder(session)
     session.stop()
 
 
