@@ -24,6 +24,10 @@ DATE_PATTERNS = {
     "yyyy-M": r"^\d{4}-\d{1,2}$",
     "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
     "M-d-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    # day first, for dates that have no such month
+    "d/M/yy": r"^\d{1,2}/\d{1,2}/\d{2}$",
+    "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "d-M-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
     "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
 }
 

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import IDF, CountVectorizerModel, IDFModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions.numbers import log_pages, pub_decade
 from bindery.functions.text import list_size, scrub_accolades, strip, title_features, word_count
 from bindery.operators.history import author_history
+from bindery.operators.keyed import lookup_join
 from bindery.operators.profile import correlation_matrix
 from bindery.operators.projection import expand_vector, top_n_dummies
 from bindery.schemas import leaked_columns
+from bindery.session import materialize
 
 
 class LeakageError(AssertionError):
@@ -97,34 +98,43 @@ def correlated_to_drop(pairs: Sequence[tuple[str, str, float | None]], threshold
     return gone
 
 
-def drop_correlated(df: DataFrame, threshold: float = 0.9, exclude: Sequence[str] = ()) -> DataFrame:
-    """Drop near-duplicate numeric columns. The driver sees one number per column pair."""
+def drop_correlated(
+    df: DataFrame, threshold: float = 0.9, exclude: Sequence[str] = (), fit_on: DataFrame | None = None
+) -> DataFrame:
+    """Drop near-duplicate numeric columns, as judged on ``fit_on`` (by default on ``df`` itself).
+
+    The driver sees one number per column pair.
+    """
     kinds = ("int", "bigint", "double", "float", "boolean", "smallint", "tinyint")
-    columns = [c for c, t in df.dtypes if t in kinds and c not in exclude]
+    columns = [c for c, t in df.dtypes if (t in kinds or t.startswith("decimal")) and c not in exclude]
     at = {c: i for i, c in enumerate(columns)}
-    rows = correlation_matrix(df, columns).collect()
+    rows = correlation_matrix(df if fit_on is None else fit_on, columns).collect()
     pairs = sorted(((r["a"], r["b"], r["r"]) for r in rows), key=lambda p: (at[p[0]], at[p[1]]))
     return df.drop(*correlated_to_drop(pairs, threshold))
 
 
+def _words(text: Column) -> Column:
+    """Lower-case words without accolades; null and blank texts have none."""
+    plain = F.lower(scrub_accolades(F.coalesce(text, F.lit(""))))
+    return F.filter(F.split(plain, r"[^\p{L}\p{N}']+"), lambda w: w != "")
+
+
 def lexicon_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """neg / neu / pos shares and the compound score of each text from a (word, valence) table.
 
-    Accolades are removed first. Words of a text are combined before the shuffle, so it moves
-    about one row per text. Texts without words score 0.
+    Accolades are removed first. The words of a text are counted before they meet the lexicon, and
+    meet it through :func:`lookup_join`, so a word of every text is spread over the tasks. Texts
+    without words score 0.
     """
-    words = F.split(F.lower(scrub_accolades(F.coalesce(F.col(text), F.lit("")))), r"[^\p{L}\p{N}']+")
-    tokens = df.select(key, F.explode_outer(F.filter(words, lambda w: w != "")).alias("word"))
-    v = F.coalesce(F.col("valence"), F.lit(0.0))
-    sums = (
-        tokens.join(lexicon.select("word", "valence"), "word", "left")
-        .groupBy(key)
-        .agg(
-            F.sum(v).alias("_sum"),
-            F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("_pos"),
-            F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("_neg"),
-            F.count_if(F.col("word").isNotNull() & (v == 0)).cast("double").alias("_neu"),
-        )
+    counted = df.select(key, F.explode_outer(_words(F.col(text))).alias("word")).groupBy(key, "word")
+    counted = materialize(counted.agg(F.count("word").alias("_n")), "word-counts")
+    found = lookup_join(counted, lexicon.select("word", "valence"), ["word"], row_id=[key, "word"])
+    v, n = F.coalesce(F.col("valence"), F.lit(0.0)), F.col("_n")
+    sums = found.groupBy(key).agg(
+        F.sum(v * n).alias("_sum"),
+        F.sum(F.when(v > 0, (v + 1) * n).otherwise(0.0)).alias("_pos"),
+        F.sum(F.when(v < 0, (1 - v) * n).otherwise(0.0)).alias("_neg"),
+        F.sum(F.when(v == 0, n).otherwise(0)).cast("double").alias("_neu"),
     )
     total = F.col("_pos") + F.col("_neg") + F.col("_neu")
 
@@ -148,12 +158,30 @@ def attach_embeddings(df: DataFrame, key: str, text: str, vectors: DataFrame, si
     return joined.select(key, F.when(blank, zero).otherwise(F.coalesce("vector", zero)).alias("vector"))
 
 
-def fit_text_vectors(df: DataFrame, text: str, size: int = 256) -> PipelineModel:
-    """Hashed term frequencies weighted by inverse document frequency."""
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\W+"),
-            HashingTF(inputCol="_words", outputCol="_tf", numFeatures=size),
-            IDF(inputCol="_tf", outputCol="vector"),
-        ]
-    ).fit(df.select(text))
+class TextVectors:
+    """Term weights (count x inverse document frequency) over a fixed vocabulary."""
+
+    def __init__(self, text: str, counts: CountVectorizerModel, weights: IDFModel):
+        self.text, self.counts, self.weights = text, counts, weights
+
+    @property
+    def vocabulary(self) -> list[str]:
+        return self.counts.vocabulary
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``vector``; null and blank texts get the zero vector."""
+        counted = self.counts.transform(df.withColumn("_words", _words(F.col(self.text))))
+        return self.weights.transform(counted).drop("_words", "_tf")
+
+
+def fit_text_vectors(df: DataFrame, text: str, size: int = 4096) -> TextVectors:
+    """Fit on the texts of ``df``: the ``size`` words that most texts hold, ties in word order.
+
+    Accolades are removed, as they would tell the label. The driver sees the vocabulary only.
+    """
+    words = df.select(F.explode(F.array_distinct(_words(F.col(text)))).alias("word"))
+    common = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(size).collect()
+    vocabulary = [r["word"] for r in common]
+    counts = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_words", outputCol="_tf")
+    counted = counts.transform(df.select(_words(F.col(text)).alias("_words")))
+    return TextVectors(text, counts, IDF(inputCol="_tf", outputCol="vector").fit(counted))

@@ -19,11 +19,10 @@ from pyspark.sql import functions as F
 from bindery.functions.binding import bound
 from bindery.functions.similarity import indel_score, jaro_winkler_score, partial_score
 from bindery.functions.text import norm_title_nfkd
-from bindery.operators.keyed import keep_best_per_key, lookup_join
+from bindery.operators.keyed import above_share, keep_best_per_key, lookup_join
 from bindery.session import materialize
 
 TILE = 2000  # postings of one token per join key and side; hotter tokens are split into tiles
-BROADCAST_ROWS = 200_000  # token statistics are broadcast up to this many rows, checked each time
 
 
 @dataclass(frozen=True)
@@ -106,11 +105,6 @@ def _missing(a: str, b: str, prefix: str) -> Column:
     return total
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast hint if the (already written) table is within the bound, else leave it to Spark."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -119,10 +113,12 @@ def _rank_tokens(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFram
     """Order the ``tokens`` of every ``title`` by rarity over both sides."""
     both = left.select("tokens").unionByName(right.select("tokens"))
     freq = both.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("_df"))
-    freq = _small(materialize(freq, "token-frequency"))
+    freq = materialize(freq, "token-frequency")
+    hot = above_share(freq, "_df").select("token")
 
     def ordered(side: DataFrame) -> DataFrame:
-        one = side.select("title", F.explode("tokens").alias("token")).join(freq, "token")
+        one = side.select("title", F.explode("tokens").alias("token"))
+        one = lookup_join(one, freq, ["token"], hot=hot, row_id=["title", "token"])
         packed = F.array_sort(F.collect_list(F.struct("_df", "token")))
         ranked = one.groupBy("title").agg(packed.alias("_packed"))
         return ranked.select("title", F.transform("_packed", lambda x: x["token"]).alias("tokens"))
@@ -143,14 +139,18 @@ def _tiled_join(left: DataFrame, right: DataFrame, condition: Column, own: tuple
         .agg(
             F.ceil(F.sum("_l") / TILE).cast("int").alias("_rows"),
             F.ceil(F.sum("_r") / TILE).cast("int").alias("_cols"),
+            F.count("*").alias("_n"),
         )
         .filter("_rows > 0 and _cols > 0")  # keys of one side only have no pairs
     )
-    sizes = _small(materialize(sizes, "tile-sizes"))
+    sizes = materialize(sizes, "tile-sizes")
+    hot = above_share(sizes, "_n").select("key")
     place = F.pmod(F.xxhash64(*own), F.lit(1 << 30)).cast("int")
 
     def spread(side: DataFrame, mine: str, other: str, prefix: str) -> DataFrame:
-        placed = side.join(sizes, "key").withColumns(
+        # A token of very many postings is spread over the lookup too, not only over its tiles.
+        found = lookup_join(side, sizes.drop("_n"), ["key"], hot=hot, row_id=list(own)).filter("_rows is not null")
+        placed = found.withColumns(
             {mine[1:]: place % F.col(mine), other[1:]: F.explode(F.sequence(F.lit(0), F.col(other) - 1))}
         )
         return placed.select(
@@ -249,13 +249,10 @@ def fuzzy_title_author_join(
         .agg(F.min("_label").alias("_label")),
         "label-titles",
     )
-    titles = materialize(
-        similar_titles(
-            distinct_base.select(F.col("l_title").alias("title")),
-            distinct_labels.select(F.col("r_title").alias("title")),
-            rule.lowest_title(),
-        ),
-        "similar-titles",
+    titles = similar_titles(
+        distinct_base.select(F.col("l_title").alias("title")),
+        distinct_labels.select(F.col("r_title").alias("title")),
+        rule.lowest_title(),
     )
     # Upper bound of the author score from the letters in common, checked before exact scoring.
     lower_author = F.greatest(

@@ -17,7 +17,7 @@ from bindery.operators.keyed import lookup_join
 from bindery.operators.ordered import cumulative_share, exact_quantiles
 
 PROBS = (0.25, 0.5, 0.75)
-SUMMING_TASKS = 16
+FAN_IN = 32
 
 
 def _domain(df: DataFrame, name: str, values: Sequence) -> DataFrame:
@@ -224,36 +224,46 @@ def describe_all(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) ->
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r for every unordered pair (long form, a before b), pairwise complete.
 
-    r is null if either column is constant on the common rows. Each task adds up one matrix of
-    products, whose size depends on the number of columns only; a second level of tasks adds those
-    up, and the driver gets a few of them. Values are centred first, against cancellation.
+    r is null if either column is constant on the common rows. Each task adds up one set of product
+    matrices, whose size depends on the number of columns only; further levels of tasks add those up,
+    ``FAN_IN`` at a time, and the driver gets at most so many. Values are centred first, against cancellation.
     """
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     centre = wide.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]).first()
     means = np.array(list(centre))
     p = len(columns)
 
+    upper = np.triu_indices(p)
+    every = p * p
+    size = every + every + every + len(upper[0])  # n, sums, squares, products (upper triangle)
+
     def products(batches):
-        total = np.zeros((3 * p, 3 * p))
+        total = np.zeros(size)
         for batch in batches:
             x = batch.to_numpy(dtype=float, na_value=np.nan)
-            known = ~np.isnan(x)
-            x = np.where(known, x - means, 0.0)
-            block = np.hstack([known, x, x * x])
-            total += block.T @ block
-        yield pd.DataFrame({"g": [total.ravel()]})
+            known = (~np.isnan(x)).astype(float)
+            x = np.where(known > 0, x - means, 0.0)
+            blocks = (known.T @ known, x.T @ known, (x * x).T @ known)
+            total += np.concatenate([*(m.ravel() for m in blocks), (x.T @ x)[upper]])
+        yield pd.DataFrame({"g": [total]})
 
     def add_up(batches):
-        total = np.zeros(9 * p * p)
+        total = np.zeros(size)
         for batch in batches:
             for g in batch["g"]:
                 total += g
         yield pd.DataFrame({"g": [total]})
 
     schema = T.StructType([T.StructField("g", T.ArrayType(T.DoubleType()))])
-    sums = wide.mapInPandas(products, schema).repartition(SUMMING_TASKS).mapInPandas(add_up, schema)
-    g = sum(np.array(r["g"]) for r in sums.collect()).reshape(3, p, 3, p)
-    n, sx, sxx, sxy = g[0, :, 0, :], g[1, :, 0, :], g[2, :, 0, :], g[1, :, 1, :]
+    sums = wide.mapInPandas(products, schema)
+    tasks = wide.rdd.getNumPartitions()
+    while tasks > FAN_IN:  # no task adds up more than about FAN_IN matrices
+        tasks = -(-tasks // FAN_IN)
+        sums = sums.repartition(tasks).mapInPandas(add_up, schema)
+    g = sum((np.array(r["g"]) for r in sums.collect()), np.zeros(size))
+    n, sx, sxx = (g[i * every : (i + 1) * every].reshape(p, p) for i in range(3))
+    sxy = np.zeros((p, p))
+    sxy[upper] = g[3 * every :]
     with np.errstate(divide="ignore", invalid="ignore"):
         mean, var = sx / n, sxx / n - (sx / n) ** 2
         r = (sxy / n - mean * mean.T) / np.sqrt(var * var.T)
@@ -295,15 +305,22 @@ def pointbiserial(df: DataFrame, binary: str, values: Sequence[str]) -> DataFram
 
 
 def _t_two_sided(t: Column, dof: Column) -> Column:
-    """Two-sided tail of Student's t, by the trapezoid rule on the substituted integral.
+    """Two-sided tail of Student's t, by Simpson's rule on the substituted integral.
 
-    With x = sqrt(dof) tan(u) the density becomes cos(u)^(dof-1) on a finite interval; the ratio
-    of two such integrals needs no gamma function. Runs on the few result rows only.
+    With x = sqrt(dof) tan(z / sqrt(dof)) the density becomes cos(z / sqrt(dof))^(dof - 1), which for
+    any dof is at most about exp(-z^2 / 2); so the step follows the density's own width and not the
+    number of rows, and nothing counts beyond z = 40. The ratio of two such integrals needs no gamma
+    function. Runs on the few result rows only.
     """
     steps = 4000
     dof = dof.cast("double")
-    at = F.atan(F.abs(t) / F.sqrt(dof))
+    root = F.sqrt(dof)
     grid = F.sequence(F.lit(0), F.lit(steps))
+    flat = F.when(dof <= 1, 1.0).otherwise(0.0)  # the value where the cosine is 0
+
+    def density(z: Column) -> Column:
+        sine = F.sin(z / root / 2)
+        return F.coalesce(F.exp((dof - 1) * F.log1p(sine * sine * -2)), flat)
 
     def integral(low: Column, high: Column) -> Column:
         h = (high - low) / steps
@@ -311,13 +328,14 @@ def _t_two_sided(t: Column, dof: Column) -> Column:
             grid,
             F.lit(0.0),
             lambda acc, i: acc
-            + F.when((i == 0) | (i == steps), 0.5).otherwise(1.0)
-            * F.pow(F.greatest(F.cos(low + i * h), F.lit(0.0)), dof - 1),
+            + F.when((i == 0) | (i == steps), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0) * density(low + i * h),
         )
-        return total * h
+        return total * h / 3
 
-    half = F.lit(1.5707963267948966)
-    return F.try_divide(integral(at, half), integral(F.lit(0.0), half))
+    end = F.least(root * 1.5707963267948966, F.lit(40.0))
+    start = F.least(root * F.atan(F.abs(t) / root), end)
+    reach = F.least(end, start + 12)  # beyond, the rest is below 1e-31 of the whole
+    return F.try_divide(integral(start, reach), integral(F.lit(0.0), F.least(end, F.lit(12.0))))
 
 
 def histogram_bins(

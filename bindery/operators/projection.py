@@ -95,8 +95,10 @@ def top_n_dummies(
         .limit(n)
         .collect()
     )
-    out = {}
+    out: dict[str, Column] = {}
     for r in rows:
-        slug = r["_tag"].lower().replace(" ", "_").replace("-", "_")
-        out[prefix + slug] = F.coalesce(F.array_contains(tags, r["_tag"]), F.lit(False))
+        # Fixed rule: column names of tags. Tags of one name share its column.
+        name = prefix + r["_tag"].lower().replace(" ", "_").replace("-", "_")
+        has = F.coalesce(F.array_contains(tags, r["_tag"]), F.lit(False))
+        out[name] = out[name] | has if name in out else has
     return out

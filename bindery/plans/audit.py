@@ -70,19 +70,22 @@ def _(t):
 @query(
     "agg_weekly_list",
     f"""WITH e AS (SELECT user_id, event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'T' || event_id END AS title,
+ CASE WHEN event_id % 5 <> 0 THEN 'by ' || event_type END AS author, CASE WHEN event_id % 4 = 0 THEN '978' || lpad(CAST(event_id AS VARCHAR), 10, '0') END AS isbn,
  CASE WHEN event_type = 'error' THEN 'oops' ELSE CAST(CAST(floor(value) AS INT) AS VARCHAR) END AS rank FROM events)
  SELECT user_id, arg_min(title, event_id) FILTER (WHERE title IS NOT NULL) AS title, CAST(min(TRY_CAST(rank AS DOUBLE)) AS DOUBLE) AS best_rank,
+ arg_min(author, event_id) FILTER (WHERE author IS NOT NULL) AS author, arg_min(isbn, event_id) FILTER (WHERE isbn IS NOT NULL) AS oclc_isbn,
+ arg_min(isbn, event_id) FILTER (WHERE isbn IS NOT NULL) AS primary_isbn13,
  count(TRY_CAST(rank AS DOUBLE)) AS weeks_on_list, CAST(1 AS INT) AS label FROM e GROUP BY 1""",
 )
 def _(t):
     weeks = t.events.select(
         "user_id", "event_id",
         F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("T"), "event_id")).alias("title"),
-        F.lit("a").alias("author"), F.lit(None).cast("string").alias("isbn"),
+        F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("by "), "event_type")).alias("author"),
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("978"), F.lpad(F.col("event_id").cast("string"), 10, "0"))).alias("isbn"),
         F.when(F.col("event_type") == "error", "oops").otherwise(F.floor("value").cast("int").cast("string")).alias("rank"),
     )
-    out = history.agg_weekly_list(weeks, "user_id", "title", "author", "isbn", "rank", "event_id")
-    return out.select("user_id", "title", "best_rank", "weeks_on_list", "label")
+    return history.agg_weekly_list(weeks, "user_id", "title", "author", "isbn", "rank", "event_id")
 
 
 @query("rank_features", _RANKS)
@@ -225,12 +228,12 @@ def _(t):
 @query(
     "monthly_distribution",
     """WITH d AS (SELECT CAST(unnest(range(1, 13)) AS INT) AS month), c AS (SELECT month(o_orderdate) AS month, count(*) FILTER (WHERE o_orderstatus <> 'F') AS n_0,
- count(*) FILTER (WHERE o_orderstatus = 'F') AS n_1 FROM orders WHERE month(o_orderdate) <> 7 GROUP BY 1)
+ count(*) FILTER (WHERE o_orderstatus = 'F') AS n_1 FROM orders GROUP BY 1)
  SELECT d.month, coalesce(n_0, 0) AS n_0, coalesce(n_1, 0) AS n_1, round(n_1 * 100.0 / (n_0 + n_1), 1) AS rate FROM d LEFT JOIN c USING (month)""",
 )
 def _(t):
     rows = t.orders.select(F.month("o_orderdate").alias("month"), (F.col("o_orderstatus") == "F").cast("int").alias("y"))
-    return profile.monthly_distribution(rows.filter("month <> 7"), "month", "y")
+    return profile.monthly_distribution(rows, "month", "y")
 
 
 # --- profiles ----------------------------------------------------------------------------------
@@ -359,17 +362,23 @@ def _(t):
     return rounded(profile.target_correlation_rank(rows, _NUMERIC, "y"), "abs_r")
 
 
+# The share of Student's t within -t..t: midpoint sums of its density, scaled by the sum to 60.
+_DENSITY = "list_sum(list_transform(range(0, 20000), lambda i: exp(-(n - 1) / 2.0 * ln(1 + pow((i + 0.5) / 20000 * {0}, 2) / (n - 2))))) * {0}"
+_CENTRE = f"({_DENSITY.format('least(abs(t), 60)')}) / ({_DENSITY.format('60')})"
+
+
 @query(
     "pointbiserial",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS feature, round(r, 6) AS r, n, round(r * sqrt((n - 2) / (1 - r * r)), 5) AS t FROM
- (SELECT corr({c}, CAST(l_returnflag = 'A' AS INT)) AS r, count({c}) AS n FROM lineitem)""" for c in _NUMERIC
+        f"""SELECT '{c}' AS feature, round(r, 6) AS r, n, round(t, 5) AS t, round(1 - {_CENTRE}, 6) + 0.0 AS p FROM
+ (SELECT r, n, r * sqrt((n - 2) / (1 - r * r)) AS t FROM
+  (SELECT corr({c}, CAST(l_returnflag = 'A' AS INT)) AS r, count({c}) AS n FROM lineitem))""" for c in _NUMERIC
     ),
 )
 def _(t):
     rows = t.lineitem.withColumn("y", (F.col("l_returnflag") == "A").cast("int"))
-    out = profile.pointbiserial(rows, "y", _NUMERIC).drop("p")
-    return rounded(rounded(out, "r"), "t", digits=5)
+    out = profile.pointbiserial(rows, "y", _NUMERIC)
+    return rounded(rounded(out, "r", "p"), "t", digits=5)
 
 
 _HIST = """WITH s AS (SELECT min(value) AS lo, max(value) AS hi FROM events), b AS (SELECT event_type, least(CAST(floor((value - lo) / ((hi - lo) / 12)) AS INT), 11) AS bin FROM events, s),

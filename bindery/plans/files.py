@@ -85,6 +85,14 @@ def _(t):
     return files.scan_jsonl_limit(t.spark, path, "doc_id long, lang string", 25).agg(F.count("*").alias("n_rows"))
 
 
+@query("scan_jsonl", "SELECT doc_id, lang, length(text) AS n_points FROM documents")
+def _(t):
+    path = scratch_path(t.spark, "jsonl")
+    t.documents.select("doc_id", "lang", "text").write.json(path)
+    rows = files.scan_jsonl_limit(t.spark, path, "doc_id long, lang string, text string")
+    return rows.select("doc_id", "lang", F.length("text").cast("long").alias("n_points"))
+
+
 @query(
     "scan_jsonl_semi",
     """WITH d AS (SELECT source AS isbn13, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS description, lang AS language_code FROM documents),
@@ -113,9 +121,13 @@ def _(t):
 _NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 
-@query("list_source_keys", "SELECT unnest([" + ", ".join(f"'{n}'" for n in _NAMES.split()) + "]) AS name")
+@query("list_source_keys", " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n_rows FROM {n}" for n in _NAMES.split()))
 def _(t):
-    return files.list_source_keys(t.spark, t.folder, "name", ".parquet")
+    """The tables that have a file, with the rows of their files."""
+    keys = files.list_source_keys(t.spark, t.folder, "name", ".parquet")
+    rows = t.spark.read.schema("no_such_column int").parquet(f"{t.folder}/*.parquet")
+    counts = rows.groupBy(F.regexp_extract("_metadata.file_path", r"/(\w+)[.]parquet", 1).alias("name"))
+    return keys.join(counts.agg(F.count("*").alias("n_rows")), "name")
 
 
 @query("scan_parquet", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 49")

@@ -9,7 +9,7 @@ from bindery.functions.text import word_count
 from bindery.operators import evaluate, features, ml
 from bindery.operators.projection import expand_vector
 from bindery.plans.registry import BOOKS, TITLE, books, query, r6, rounded
-from bindery.session import scratch_path
+from bindery.session import materialize, scratch_path
 from bindery.sources import sinks
 
 # --- features ----------------------------------------------------------------------------------
@@ -83,11 +83,21 @@ def _(t):
     return out.select("doc_id", *[c.alias(k) for k, c in expand_vector(F.col("vector"), 64, "desc_emb_").items()])
 
 
-@query("text_vectors_tfidf")
+@query(
+    "text_vectors_tfidf",
+    """WITH x AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\b(new york times|bestseller|best seller|award-winning|award winning|national bestseller)\\b', '', 'gi') AS t FROM documents),
+ w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(t), '[^\\p{L}\\p{N}'']+'), lambda w: w <> '')) AS word FROM x),
+ c AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY ALL),
+ v AS (SELECT word, count(*) AS df FROM c GROUP BY 1 ORDER BY df DESC, word LIMIT 256)
+ SELECT doc_id, word, round(n * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 4) AS weight FROM c JOIN v USING (word)
+ WHERE df < (SELECT count(*) FROM documents)""",
+)
 def _(t):
-    model = features.fit_text_vectors(t.documents, "text", 64)
+    model = features.fit_text_vectors(t.documents, "text", 256)
     out = model.transform(t.documents.select("doc_id", "text"))
-    return out.select("doc_id", F.array_join(F.transform(vector_to_array("vector"), lambda x: F.round(x, 4).cast("string")), "|").alias("vector"))
+    names = F.array(*[F.lit(w) for w in model.vocabulary])
+    cells = out.select("doc_id", F.posexplode(vector_to_array("vector")).alias("at", "weight")).filter("weight <> 0")
+    return rounded(cells.select("doc_id", F.get(names, F.col("at")).alias("word"), "weight"), "weight", digits=4)
 
 
 @query(
@@ -314,7 +324,7 @@ def _(t):
 @query("temporal_grid_search")
 def _(t):
     train, _ = _train_test(t)
-    _, table = ml.temporal_grid_search(train, INPUTS, LABEL, YEAR, TUNE, rounds=10)
+    _, table = ml.temporal_grid_search(train, INPUTS, LABEL, YEAR, TUNE)
     return _metrics(table)
 
 
@@ -335,7 +345,7 @@ def _(t):
 @query("feature_importance")
 def _(t):
     train, _ = _train_test(t)
-    return ml.feature_importance(ml.random_forest(train, INPUTS, LABEL, trees=50), train, INPUTS)
+    return ml.feature_importance(ml.random_forest(train, INPUTS, LABEL), train, INPUTS)
 
 
 @query("sink_model")
@@ -349,10 +359,18 @@ def _(t):
 @query("retrain_and_compare")
 def _(t):
     train, test = _train_test(t)
+    train = materialize(train, "train")
 
     def fit(rows):
-        return ml.random_forest(rows, INPUTS, LABEL, trees=50, depth=10)
+        return ml.random_forest(rows, INPUTS, LABEL)
 
-    recorded = ml.evaluate_model(fit(train), test, "recorded", LABEL).first()["f1_macro"]
+    # The record is a stored table of metrics; a second record, off by more than the gap, must refuse.
+    stored = materialize(ml.evaluate_model(fit(train), test, "recorded", LABEL), "recorded-metrics")
+    recorded = stored.first()["f1_macro"]
     out, _ = ml.retrain_and_compare(fit, train, test, LABEL, recorded, scratch_path(t.spark, "retrained"))
-    return _metrics(out)
+    try:
+        ml.retrain_and_compare(fit, train, test, LABEL, recorded - 0.2, scratch_path(t.spark, "refused"))
+        refused = False
+    except ml.QualityGate:
+        refused = True
+    return _metrics(out).withColumn("refuses_other_record", F.lit(refused))

@@ -362,4 +362,4 @@ def _(t):
     rows = t.part.select("p_partkey", F.split("p_name", " ").alias("tags"))
     flags = top_n_dummies(rows, "tags", 6, "tag_")
     wide = rows.select("p_partkey", *[c.alias(k) for k, c in flags.items()])
-    return wide.unpivot(["p_partkey"], list(flags), "tag", "has_tag").withColumn("tag", F.substring("tag", 5, 100))
+    return wide.unpivot(["p_partkey"], list(flags), "tag", "has_tag").withColumn("tag", F.regexp_replace("tag", "^tag_", ""))
