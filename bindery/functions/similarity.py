@@ -101,36 +101,59 @@ def partial_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(np.rint(score).astype("int32"))
 
 
-def _jaro_winkler(x: str, y: str) -> float:
-    if x == y:
-        return 1.0 if x else 0.0
-    if not x or not y:
-        return 0.0
-    reach = max(max(len(x), len(y)) // 2 - 1, 0)
-    taken = [False] * len(y)
-    matched = []
-    for i, ch in enumerate(x):
-        for j in range(max(0, i - reach), min(len(y), i + reach + 1)):
-            if not taken[j] and y[j] == ch:
-                taken[j] = True
-                matched.append(ch)
-                break
-    m = len(matched)
-    if m == 0:
-        return 0.0
-    others = [c for c, t in zip(y, taken) if t]
-    swaps = sum(p != q for p, q in zip(matched, others)) // 2
-    jaro = (m / len(x) + m / len(y) + (m - swaps) / m) / 3
-    if jaro <= 0.7:
-        return jaro
-    prefix = 0
-    for p, q in zip(x[:4], y[:4]):
-        if p != q:
-            break
-        prefix += 1
-    return jaro + prefix * 0.1 * (1 - jaro)
+PAIRS = 4096  # scored at once; texts of like length come together, so little of a matrix is padding
+
+
+def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points as a matrix, with -1 where a text has ended, and the lengths."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    out = np.full((len(texts), max(int(sizes.max(initial=0)), 1)), -1, np.int64)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = flat
+    return out, sizes
+
+
+def jaro_winkler(left: list[str], right: list[str]) -> np.ndarray:
+    """Jaro-Winkler similarities of pairs, all pairs at a time, one step per place of the left texts.
+
+    As usual, a character is matched with the first free equal one within reach, and a Jaro
+    similarity above 0.7 gains by a common prefix of up to four characters.
+    """
+    x, m = _points(left)
+    y, n = _points(right)
+    reach = np.maximum(np.maximum(m, n) // 2 - 1, 0)
+    place = np.arange(y.shape[1])
+    taken, matched = np.zeros(y.shape, bool), np.zeros(x.shape, bool)
+    rows = np.arange(len(left))
+    for i in range(x.shape[1]):
+        near = np.abs(place - i) <= reach[:, None]
+        fits = (y == x[:, i : i + 1]) & near & ~taken & (i < m)[:, None]
+        found = fits.any(axis=1)
+        matched[found, i] = True
+        taken[rows[found], fits[found].argmax(axis=1)] = True
+    common = matched.sum(axis=1)
+    first = np.take_along_axis(x, np.argsort(~matched, axis=1, kind="stable"), axis=1)
+    second = np.take_along_axis(y, np.argsort(~taken, axis=1, kind="stable"), axis=1)
+    width = min(x.shape[1], y.shape[1])
+    differ = (first[:, :width] != second[:, :width]) & (np.arange(width) < common[:, None])
+    swaps = differ.sum(axis=1) // 2
+    some = np.maximum(common, 1)
+    jaro = (common / np.maximum(m, 1) + common / np.maximum(n, 1) + (common - swaps) / some) / 3
+    jaro = np.where(common > 0, jaro, 0.0)
+    head = min(4, width)
+    same = (x[:, :head] == y[:, :head]) & (x[:, :head] >= 0)
+    prefix = np.cumprod(same, axis=1).sum(axis=1)
+    out = np.where(jaro > 0.7, jaro + prefix * 0.1 * (1 - jaro), jaro)
+    equal = np.array([bool(a) and a == b for a, b in zip(left, right)], bool)
+    return np.where(equal, 1.0, out)
 
 
 @F.pandas_udf(DoubleType())
 def jaro_winkler_score(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
+    left, right = a.tolist(), b.tolist()
+    order = np.array(sorted(range(len(left)), key=lambda i: len(left[i]) + len(right[i])), np.int64)
+    out = np.zeros(len(left))
+    for start in range(0, len(order), PAIRS):
+        at = order[start : start + PAIRS]
+        out[at] = jaro_winkler([left[i] for i in at], [right[i] for i in at])
+    return pd.Series(out, dtype="float64")

@@ -229,11 +229,13 @@ def fuzzy_title_author_join(
     label_title: str,
     label_author: str,
     rule: FuzzyRule = FuzzyRule(),
+    one_to_one: bool = False,
 ) -> DataFrame:
     """Best label row per base row: columns base id, label id, ``t_score``, ``a_score``, ``fuzzy_score``.
 
     Titles and authors are expected normalised. The lowest label id wins a tie; several base rows
-    may get the same label row. Base rows without an accepted label are not in the result.
+    may get the same label row, unless ``one_to_one`` leaves it to the best of them (ties: lowest
+    base id). Base rows without an accepted label are not in the result.
     """
     b = base.select(
         F.col(base_id), sorted_tokens(F.col(base_title)).alias("l_title"), F.col(base_author).alias("l_author")
@@ -286,9 +288,10 @@ def fuzzy_title_author_join(
     )
     best = keep_best_per_key(accepted, ["l_title", "l_author"], [F.desc("fuzzy_score"), F.asc("_label")])
     found = lookup_join(b, materialize(best, "best-labels"), ["l_title", "l_author"], row_id=[base_id])
-    return found.filter(F.col("_label").isNotNull()).select(
-        base_id, F.col("_label").alias(label_id), "t_score", "a_score", "fuzzy_score"
-    )
+    found = found.filter(F.col("_label").isNotNull())
+    if one_to_one:
+        found = keep_best_per_key(found, ["_label"], [F.desc("fuzzy_score"), F.asc(base_id)])
+    return found.select(base_id, F.col("_label").alias(label_id), "t_score", "a_score", "fuzzy_score")
 
 
 def adaptation_fuzzy_join(

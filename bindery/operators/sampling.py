@@ -13,8 +13,8 @@ def top_k(df: DataFrame, value: str, k: int, tie: str) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows chosen by a hash of the key: the same rows however the data is partitioned."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    """n rows chosen by the MD5 of key and seed: the same rows however the data is partitioned."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)).limit(n)
 
 
 def review_mark(score: Column) -> Column:

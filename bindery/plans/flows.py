@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -19,13 +19,16 @@ from bindery.functions.isbn import (
 from bindery.functions.numbers import coerce_double
 from bindery.functions.text import first_author_key, norm_author, norm_text_ascii, norm_title
 from bindery.operators import filters, linkage, ml
+from bindery.operators.evaluate import compare_models, naive_baselines
+from bindery.operators.features import attach_embeddings, lexicon_sentiment
 from bindery.operators.fuzzy import FuzzyRule, fuzzy_title_author_join
-from bindery.operators.keyed import lookup_join
+from bindery.operators.keyed import concat_columns, lookup_join
 from bindery.operators.history import agg_weekly_list, rank_features
-from bindery.operators.projection import coalesce_blank_aware, finalize_labels, is_match, map_dictionary
+from bindery.operators.projection import coalesce_blank_aware, expand_vector, finalize_labels, is_match, map_dictionary
 from bindery.operators.quality import expect_label_domain, expect_row_count, expect_unique, require
+from bindery.plans import models
 from bindery.plans.registry import TITLE, messy_isbn, query
-from bindery.session import materialize
+from bindery.session import materialize, scratch_path
 
 DETAILS = ["weeks_on_list", "best_rank_achieved", "first_year", "debut_rank"]
 
@@ -161,6 +164,21 @@ def train_final(
     return metrics
 
 
+def model_comparison(
+    rows: DataFrame, *, label: str, year: str, cutoff: int, variants: Mapping[str, tuple[Callable, Sequence[str]]]
+) -> DataFrame:
+    """Every variant (name: fit function and its inputs) and both naive floors on the same test rows.
+
+    The rows are written once, so that all variants share one split. Best macro F1 first, with the
+    number of test rows each was scored on.
+    """
+    rows = materialize(rows, "training-rows")
+    train, test = ml.year_split(rows, year, cutoff)
+    scored = [ml.evaluate_model(fit(train, inputs, label), test, name, label) for name, (fit, inputs) in variants.items()]
+    table = compare_models(*scored, naive_baselines(test, label))
+    return table.withColumn("n_test", F.lit(test.count()))
+
+
 def _catalogue(t) -> DataFrame:
     isbns = messy_isbn(t).select(F.col("p_partkey").alias("gb_id"), F.col("raw").alias("isbn"), F.col("raw").alias("isbn13"))
     rows = t.part.select(
@@ -205,9 +223,52 @@ def _(t):
     )
     weekly = t.part.filter("p_size < 9").select(
         F.col("p_partkey").cast("string").alias("title_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("author"),
-        F.lit(None).cast("string").alias("oclc_isbn"), F.col("p_size").cast("string").alias("rank"), F.col("p_partkey").alias("week"),
+        F.col("p_size").cast("string").alias("rank"), F.col("p_partkey").alias("week"),
+    )
+    weekly = weekly.join(
+        m.select(F.col("p_partkey").cast("string").alias("title_id"), F.when(F.col("p_partkey") % 3 != 0, F.col("raw")).alias("oclc_isbn")), "title_id"
     )
     movies = t.part.filter("p_size > 45").select(
         F.col("p_name").alias("book_title"), F.lit("x").alias("movie_title"), F.col("p_brand").alias("author")
     )
     return canonical_table(b, shop, editions, history, metadata, weekly, movies).drop("authors", "genres")
+
+
+@query(
+    "model_comparison",
+    "SELECT model, n_test, TRUE AS in_range FROM (SELECT unnest(['always_0', 'always_1', 'boosting', 'forest', 'logistic', 'logistic_text', 'logistic_vectors']) AS model), "
+    f"(SELECT count(*) AS n_test FROM ({models._TEST}))",
+)
+def _(t):
+    rows = models.training_rows(t)
+    scores = lexicon_sentiment(t.documents, "doc_id", "text", models.lexicon(t))
+    vectors = attach_embeddings(t.documents, "doc_id", "text", t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector")), 64)
+    cells = expand_vector(F.col("vector"), 64, "v")
+    rows = concat_columns("doc_id", rows, scores, vectors.select("doc_id", *[c.alias(n) for n, c in cells.items()]))
+    plain = models.INPUTS
+    text = [*plain, *[c for c in scores.columns if c != "doc_id"]]
+    table = model_comparison(
+        rows, label=models.LABEL, year=models.YEAR, cutoff=models.CUTOFF,
+        variants={
+            "logistic": (ml.logistic_baseline, plain),
+            "logistic_text": (ml.logistic_baseline, text),
+            "logistic_vectors": (ml.logistic_baseline, [*text, *cells]),
+            "boosting": (ml.gradient_boosting, plain),
+            "forest": (ml.random_forest, plain),
+        },
+    )
+    sound = F.col("f1_macro").between(0, 1) & F.coalesce(F.col("roc_auc"), F.lit(0.5)).between(0, 1)
+    return table.select("model", "n_test", sound.alias("in_range"))
+
+
+@query("train_and_publish", "SELECT 'retrained' AS model, TRUE AS in_range, 'reproduced' AS note")
+def _(t):
+    rows = materialize(models.training_rows(t), "training-rows")
+    train, test = ml.year_split(rows, models.YEAR, models.CUTOFF)
+    first = ml.evaluate_model(ml.random_forest(train, models.INPUTS, models.LABEL), test, "recorded", models.LABEL)
+    out = train_final(
+        rows.select("doc_id", *models.INPUTS), rows.select("doc_id", models.LABEL, models.YEAR),
+        key="doc_id", label=models.LABEL, year=models.YEAR, cutoff=models.CUTOFF, inputs=models.INPUTS,
+        recorded_f1=first.first()["f1_macro"], path=scratch_path(t.spark, "published"),
+    )
+    return out.select("model", F.col("f1_macro").between(0, 1).alias("in_range"), "note")

@@ -286,7 +286,11 @@ def _(t):
     return _years(t).orderBy(F.desc_nulls_last("pub_year"), "o_orderkey").limit(25)
 
 
-@query("seeded_sample")
+@query(
+    "seeded_sample",
+    """SELECT o_orderkey, o_totalprice / 5500 AS score, CASE WHEN o_totalprice / 5500 >= 90 THEN 'sure' WHEN o_totalprice / 5500 >= 85 THEN 'check' ELSE 'doubtful' END AS mark
+ FROM orders WHERE o_totalprice / 5500 >= 80 ORDER BY md5(o_orderkey || ':42'), o_orderkey LIMIT 25""",
+)
 def _(t):
     rows = t.orders.select("o_orderkey", (F.col("o_totalprice") / 5500).alias("score")).filter("score >= 80")
     return sampling.seeded_sample(rows, "o_orderkey", 25).withColumn("mark", sampling.review_mark(F.col("score")))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bindery.functions.similarity import _jaro_winkler, indel_score, lcs_lengths, partial_score
+from bindery.functions.similarity import indel_score, jaro_winkler, lcs_lengths, partial_score
 from bindery.operators import fuzzy
 
 WORDS = "the a of red blue gear bolt king night day house of leaves stone river ab b moon cat dark tower zed".split()
@@ -134,7 +134,7 @@ def test_adaptations(spark, monkeypatch, tile):
         for _, t2, y2 in movies:
             if not norm(t) or not norm(t2) or (y and y2 and abs(y - y2) > 5):
                 continue
-            s = _jaro_winkler(norm(t), norm(t2))
+            s = jaro_winkler([norm(t)], [norm(t2)])[0]
             if s >= 0.9 and (best is None or s > best[0]):
                 best = (s, t2)
         want[i] = (1, best[1]) if best else (0, None)
@@ -169,4 +169,30 @@ def test_scores(spark):
     df = spark.createDataFrame(pairs, "a string, b string")
     got = df.select(indel_score("a", "b").alias("i"), partial_score("a", "b").alias("p")).collect()
     assert [(r["i"], r["p"]) for r in got] == [(round(ratio(a, b)), author_score(a, b)) for a, b in pairs]
-    assert abs(_jaro_winkler("martha", "marhta") - 0.9611111111111111) < 1e-12
+    assert abs(jaro_winkler(["martha"], ["marhta"])[0] - 0.9611111111111111) < 1e-12
+
+
+def test_jaro_winkler_against_another_engine():
+    import duckdb
+
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcde ", k=rng.randint(1, 14)))
+    left = [word() for _ in range(2000)]
+    right = [word() if rng.random() < 0.5 else a[:5] + word()[:4] for a in left]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (i INT, a VARCHAR, b VARCHAR)")
+    con.executemany("INSERT INTO p VALUES (?, ?, ?)", [[i, a, b] for i, (a, b) in enumerate(zip(left, right))])
+    want = [s for (s,) in con.execute("SELECT jaro_winkler_similarity(a, b) FROM p ORDER BY i").fetchall()]
+    got = jaro_winkler(left, right)
+    assert all(abs(x - y) < 1e-12 for x, y in zip(got, want))
+    assert jaro_winkler(["", "", "a"], ["", "a", ""]).tolist() == [0.0, 0.0, 0.0]
+
+
+def test_one_to_one(spark):
+    base = spark.createDataFrame([(1, "red dragon", "ann lee"), (2, "red dragon s", "ann lee"), (3, "blue", "x")], "i int, t string, a string")
+    labels = spark.createDataFrame([(7, "red dragon", "ann lee"), (8, "green", "y")], "l int, t string, a string")
+    names = dict(base_id="i", base_title="t", base_author="a", label_id="l", label_title="t", label_author="a")
+    many = fuzzy.fuzzy_title_author_join(base, labels, **names).collect()
+    one = fuzzy.fuzzy_title_author_join(base, labels, **names, one_to_one=True).collect()
+    assert sorted((r["i"], r["l"]) for r in many) == [(1, 7), (2, 7)]
+    assert [(r["i"], r["l"]) for r in one] == [(1, 7)]
