@@ -22,6 +22,7 @@ MAX_LANGUAGES = 1000
 EVIDENCE = 32  # words after which more of them make no prediction surer
 PRIOR_COUNT = 0.5
 UNDETERMINED = "und"
+SLICE = 1 << 20  # bytes of text worked on at once; their words and n-grams take many times as much
 
 
 class Model(NamedTuple):
@@ -61,7 +62,7 @@ def character_grams(words: list[str], n: int) -> tuple[np.ndarray, np.ndarray, n
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words (n = 0) and of n-gram hashes per language, added up per slice."""
-    for batch in slices(batches, "_text"):
+    for batch in slices(batches, "_text", SLICE):
         words, doc = words_of(batch)
         if not len(words):
             continue
@@ -165,7 +166,7 @@ def word_scores(model: Model, vocabulary: pa.Array) -> np.ndarray:
 def _predictor(shared):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE):
             words, doc = words_of(batch)
             n = np.bincount(doc, minlength=batch.num_rows)
             scores = word_scores(model, words.dictionary)[words.indices.to_numpy()] if len(words) else None
@@ -179,6 +180,7 @@ def _predictor(shared):
             score = np.where(n > 0, 1 / odds.sum(axis=1), 0.0)
             rest = {c: batch.column(c) for c in batch.schema.names if c != "_text"}
             yield pa.record_batch(rest | {"lang_pred": pa.array(names, pa.string()), "score": pa.array(score)})
+            pa.default_memory_pool().release_unused()
 
     return predict
 
