@@ -50,8 +50,7 @@ def run_folder(spark: SparkSession) -> str:
 
 def drop_run_folder(spark: SparkSession) -> None:
     """Remove the stages of this application. DataFrames built on them can't be read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, run_folder(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -74,4 +73,17 @@ def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame
         df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path  # for :func:`discard`
+    return out
+
+
+def discard(*stages: DataFrame) -> None:
+    """Remove stages (as :func:`materialize` returned them) that nothing reads any more."""
+    for df in stages:
+        _delete(df.sparkSession, df._stage_path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

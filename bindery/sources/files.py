@@ -20,26 +20,31 @@ def _schema(schema: str | T.StructType) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def _quoted_csv(spark: SparkSession, schema: T.StructType, **options):
-    reader = spark.read.schema(schema).options(header=True, multiLine=True, escape='"', **options)
-    return reader
-
-
 def scan_csv_lists(
-    spark: SparkSession, path: str, schema: str, list_columns: Sequence[str], index: str | None = "_index"
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    list_columns: Sequence[str],
+    index: str | None = "_index",
+    multiline: bool = False,
 ) -> DataFrame:
-    """CSV with a leading index column (dropped) and list-literal columns parsed to arrays."""
+    """CSV with a leading index column (dropped) and list-literal columns parsed to arrays.
+
+    ``multiline`` is needed for quoted fields that hold line breaks; a file is then read by one task,
+    as it can't be split.
+    """
     fields = _schema(schema)
     if index:
         fields = T.StructType([T.StructField(index, T.StringType()), *fields.fields])
-    df = _quoted_csv(spark, fields).csv(path)
+    df = spark.read.schema(fields).options(header=True, multiLine=multiline, escape='"').csv(path)
     df = df.drop(index) if index else df
     return df.withColumns({c: parse_str_list(F.col(c)) for c in list_columns if c in df.columns})
 
 
-def scan_csv_strings(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with every column as text; names lower-cased with underscores."""
-    return standardize_names(spark.read.options(header=True, multiLine=True, escape='"', inferSchema=False).csv(path))
+def scan_csv_strings(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """CSV with every column as text; names lower-cased with underscores. ``multiline`` as above."""
+    options = {"header": True, "multiLine": multiline, "escape": '"', "inferSchema": False}
+    return standardize_names(spark.read.options(**options).csv(path))
 
 
 def _from_windows_1252(c: Column) -> Column:

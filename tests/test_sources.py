@@ -24,7 +24,8 @@ def test_catalogue_csv(spark, tmp_path):
         '0,1,"Say ""Hi""\nagain","[\'A B\', ""C\'D""]",0439023483\n'
         "1,2,Plain,[],\n"
     )
-    got = files.scan_csv_lists(spark, str(path), "book_id int, title string, authors string, isbn string", ["authors"])
+    kinds = "book_id int, title string, authors string, isbn string"
+    got = files.scan_csv_lists(spark, str(path), kinds, ["authors"], multiline=True)
     assert [tuple(r) for r in got.orderBy("book_id").collect()] == [
         (1, 'Say "Hi"\nagain', ["A B", "C'D"], "0439023483"),
         (2, "Plain", [], None),
