@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindery.llm.stages import keep
+from bindery.session import discard
+
+
+CROWD = 64
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -32,30 +36,74 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def linked_roots(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, root) as :func:`components` gives it, for rows (_band, _row) and a check of pairs (a, b).
+def linked_roots(
+    signed: DataFrame,
+    verified: Callable[[DataFrame], DataFrame],
+    crossed: Callable[[DataFrame, DataFrame, bool], DataFrame] | None = None,
+) -> DataFrame:
+    """(node, root) as :func:`components` gives it, for rows (_row, _bands) and a check of pairs (a, b).
 
-    First every row of a bucket meets the smallest one. Then, wherever a bucket still holds several
-    components, each row outside the smallest one's component meets every row of another component. So
-    all pairs of a bucket are checked or connected already, and a bucket of copies costs pairs in
-    proportion to its size.
+    Rows that share a band are in one bucket. First every row of a bucket meets the smallest one.
+    Then, wherever a bucket still holds several components, all their rows meet: rows that are linked
+    to nobody yet meet each other in the first band they share, and components of several rows meet
+    the other components of their buckets as a whole: ``crossed`` gets the rows (a, _other) that meet a
+    component, the members (_other, b) of those components, and True, as members are connected
+    already; it returns links. So do, with False, buckets that hold more than ``CROWD`` rows without
+    a link. (Where ``crossed`` is not given, rows are paired one by one.) So all pairs of a bucket are
+    checked or connected already, and a bucket of copies costs pairs in proportion to its size.
     """
+    buckets = signed.select("_row", F.explode(F.array_distinct("_bands")).alias("_band"))
     sizes = buckets.groupBy("_band").agg(F.count("*").alias("_size"), F.min("_row").alias("_pivot"))
     shared = sizes.filter("_size > 1").select("_band", "_pivot")
     met = keep(buckets.join(shared.hint("merge"), "_band").select("_band", "_row", "_pivot"), "buckets")
     star = met.filter("_row <> _pivot").select(F.col("_pivot").alias("a"), F.col("_row").alias("b")).distinct()
-    links = keep(verified(star), "links")
+    links = verified(star)
     roots = components(links)
 
+    several = roots.select(F.col("root").alias("_several")).distinct()
     rooted = met.join(roots, met["_row"] == roots["node"], "left").select(
         "_band", "_row", "_pivot", F.coalesce("root", "_row").alias("_root")
     )
-    pivots = rooted.filter("_row = _pivot").select("_band", F.col("_root").alias("_pivot_root"))
-    placed = keep(rooted.join(pivots, "_band").filter("_row <> _pivot"), "bucket-roots")
-    apart = placed.filter("_root <> _pivot_root").select("_band", F.col("_row").alias("_r"), F.col("_root").alias("_s"))
-    rest = placed.join(apart, "_band").filter("_root <> _s")  # the pivot has met everyone
-    more = rest.select(F.least("_row", "_r").alias("a"), F.greatest("_row", "_r").alias("b")).distinct()
-    late = keep(verified(more), "links")
+    first, linked = F.col("_row") == F.col("_pivot"), F.col("_several").isNotNull()
+    rooted = rooted.join(several, rooted["_root"] == several["_several"], "left")
+    rooted = keep(rooted.select("_band", "_row", "_root", linked.alias("_linked"), first.alias("_first")), "bucket-roots")
+    discard(met)
+    alone = rooted.filter("not _linked and not _first").select("_band", "_row")
+    sizes = keep(alone.groupBy("_band").agg(F.count("*").alias("_n")).filter("_n > 1"), "alone-sizes")
+    crowds = sizes.filter(F.col("_n") > CROWD).select("_band")
+    crowd = alone.join(crowds, "_band")
+    few = sizes.filter(F.col("_n") <= CROWD).select("_band")
+    # Half of each key tells the first shared band, at half the bytes.
+    halves = signed.select("_row", F.transform("_bands", lambda x: F.shiftright(x, 32).cast("int")).alias("_bands"))
+    alone = keep(alone.join(few.hint("merge"), "_band", "left_semi").join(halves.hint("merge"), "_row"), "alone")
+    left = alone.select("_band", F.col("_row").alias("a"), F.col("_bands").alias("_x"))
+    right = alone.select(F.col("_band").alias("_same"), F.col("_row").alias("b"), F.col("_bands").alias("_y"))
+    first = F.get(F.array_intersect("_x", "_y"), 0)
+    once = (F.col("a") < F.col("b")) & (first == F.shiftright("_band", 32).cast("int"))
+    single = left.join(right, (F.col("_band") == F.col("_same")) & once).select("a", "b")
+
+    holders = rooted.select("_band", "_root", "_linked").distinct()
+    large = holders.filter("_linked").select("_band", F.col("_root").alias("_other"))
+    pairs = holders.join(large, "_band").filter("_root <> _other and (not _linked or _root < _other)")
+    pairs = keep(pairs.select("_root", "_other").distinct(), "component-pairs")
+    nodes = roots.unionByName(several.select(F.col("_several").alias("node"), F.col("_several").alias("root")))
+    late = verified(single)
+    discard(alone)
+    if not crowds.isEmpty():
+        a = crowd.select(F.col("_row").alias("a"), F.col("_band").alias("_other"))
+        b = crowd.select(F.col("_band").alias("_other"), F.col("_row").alias("b"))
+        among = crossed(a, b, False) if crossed else verified(a.join(b, "_other").filter("a < b").select("a", "b").distinct())
+        late = late.unionByName(among)
+    if not pairs.isEmpty():
+        met_by = pairs.join(nodes, pairs["_root"] == nodes["root"], "left").select(
+            F.coalesce("node", "_root").alias("a"), "_other"
+        )
+        members = nodes.join(pairs.select("_other").distinct(), nodes["root"] == F.col("_other")).select(
+            "_other", F.col("node").alias("b")
+        )
+        cross = crossed(met_by, members, True) if crossed else verified(met_by.join(members, "_other").select("a", "b"))
+        late = late.unionByName(cross)
+    discard(rooted)
     return roots if late.isEmpty() else components(links.unionByName(late))
 
 

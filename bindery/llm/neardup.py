@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from bindery.llm.components import linked_roots
 from bindery.llm.stages import keep, row_number, slices
 from bindery.llm.words import mix, shingle_sets, split_words, super_minhash
+from bindery.session import discard
 
 BANDS, ROWS = 48, 6
 SHINGLE = 5
 THRESHOLD = 80  # percent
+TILE = 512  # rows and members compared in one task
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
+def _texts(batch: pa.RecordBatch | pa.Table, column: str = "_text") -> list[bytes]:
     """UTF-8 texts with A-Z in lower case; null is empty."""
-    return [(t or "").encode("utf-8", "surrogatepass").lower() for t in batch.column("_text").to_pylist()]
+    return [(t or "").encode("utf-8", "surrogatepass").lower() for t in batch.column(column).to_pylist()]
 
 
 def _signer(n: int, bands: int, rows: int):
@@ -67,6 +69,54 @@ def _verifier(n: int, threshold: int):
     return verify
 
 
+def _linked_tile(n: int, threshold: int, connected: bool):
+    """Links between the rows and the members of one tile, by their full sets; one per row if the
+    members are connected already."""
+
+    def link(rows: pa.Table, members: pa.Table) -> pa.Table:
+        left, at = shingle_sets(split_words(_texts(rows, "_text_a")), n)
+        right, first = shingle_sets(split_words(_texts(members, "_text_b")), n)
+        sizes = np.diff(first)
+        a, b = rows.column("a").to_numpy(), members.column("b").to_numpy()
+        links = []
+        for i in range(len(a)):
+            own = left[at[i] : at[i + 1]]
+            place = np.minimum(np.searchsorted(own, right), len(own) - 1)
+            held = np.concatenate([[0], np.cumsum(own[place] == right)])
+            both = held[first[1:]] - held[first[:-1]]
+            found = np.flatnonzero(100 * both >= threshold * (len(own) + sizes - both))
+            links += [(int(a[i]), int(b[j])) for j in (found[:1] if connected else found[b[found] > a[i]])]
+        return pa.table({c: pa.array([x[k] for x in links], pa.int64()) for k, c in enumerate("ab")})
+
+    return link
+
+
+def _crossed(
+    rows: DataFrame, members: DataFrame, connected: bool, texts: DataFrame, n: int, threshold: int
+) -> DataFrame:
+    """Links between rows (a, _other) and the members (_other, b) of component _other, tile by tile."""
+    sizes = rows.groupBy("_other").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_i")).join(
+        members.groupBy("_other").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_j")), "_other"
+    )
+
+    some = _asked(texts, rows.select(F.col("a").alias("_row")).unionByName(members.select(F.col("b").alias("_row"))))
+
+    def dealt(side: DataFrame, key: str, own: str, other: str, names: list[str]):
+        tile = F.pmod(F.xxhash64(key), F.col(own)).alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other)
+        placed = side.join(sizes, "_other").select("_other", key, tile, other)
+        placed = placed.select("_other", key, own, every)
+        text = some.select(F.col("_row").alias(key), "_text")
+        both = placed.join(text, key).select(key, "_text", "_other", "_i", "_j")
+        return both.toDF(key, f"_text_{key}", *names).groupBy(*names)
+
+    left = dealt(rows, "a", "_i", "_j", ["_component", "_ri", "_rj"])
+    right = dealt(members, "b", "_j", "_i", ["_of", "_mi", "_mj"])
+    links = keep(left.cogroup(right).applyInArrow(_linked_tile(n, threshold, connected), "a long, b long"), "links")
+    discard(some)
+    return links
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -84,10 +134,8 @@ def near_duplicates(
     where it has fewer words). Null, blank and wordless texts have the empty set and no links.
 
     Documents with one set are one class, and one of them stands for it. Classes that share a band
-    of the signature meet: first with the smallest of the bucket, then, wherever a bucket still
-    holds several components, each class outside the first one's component with every class of
-    another component. So every pair that meets in a band is either verified on the full sets or
-    connected already, and a group of copies costs pairs in proportion to its size. A pair at the
+    of the signature meet (see :func:`linked_roots`): every pair that meets in a band is either
+    verified on the full sets or connected already. A pair at the
     threshold misses all bands with probability (1 - threshold ** rows) ** bands, 5e-7 here.
     Sets are compared by 64-bit hashes of their shingles.
 
@@ -105,10 +153,12 @@ def near_duplicates(
 
     stand = signed.filter("_n > 0").groupBy("_same").agg(F.min("_row").alias("_class"))
     members = keep(signed.filter("_n > 0").join(stand, "_same").select("_row", "_class"), "classes")
-    buckets = signed.join(members.filter("_row = _class"), "_row", "left_semi").select(
-        "_row", F.explode("_bands").alias("_band")
+    standing = signed.join(members.filter("_row = _class"), "_row", "left_semi").select("_row", "_bands")
+    roots = linked_roots(
+        standing,
+        lambda pairs: _verified(pairs, signed.select("_row", "_n"), texts, n, threshold),
+        lambda a, b, connected: _crossed(a, b, connected, texts, n, threshold),
     )
-    roots = linked_roots(buckets, lambda pairs: _verified(pairs, texts, n, threshold))
 
     classed = signed.select("_row", "_n").join(members, "_row", "left")
     rooted = classed.join(roots, classed["_class"] == roots["node"], "left").select(
@@ -127,9 +177,24 @@ def near_duplicates(
     )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: int) -> DataFrame:
-    """Pairs (a, b) of rows whose full shingle sets are similar enough."""
-    first = texts.select(F.col("_row").alias("a"), F.col("_text").alias("_other"))
-    second = texts.select(F.col("_row").alias("b"), "_text")
-    both = pairs.join(second, "b").join(first, "a")
-    return both.select("a", "b", "_text", "_other").mapInArrow(_verifier(n, threshold), "a long, b long")
+def _asked(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts of the given rows, written once: later joins move these few only."""
+    return keep(texts.select("_row", "_text").join(rows.distinct().hint("merge"), "_row", "left_semi"), "asked-texts")
+
+
+def _verified(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, n: int, threshold: int) -> DataFrame:
+    """Pairs (a, b) of rows whose full shingle sets are similar enough.
+
+    The sizes of two sets alone rule out most pairs, before any text is moved.
+    """
+    one = sizes.select(F.col("_row").alias("a"), F.col("_n").alias("_na"))
+    two = sizes.select(F.col("_row").alias("b"), F.col("_n").alias("_nb"))
+    fits = F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * threshold
+    pairs = keep(pairs.join(one, "a").join(two, "b").filter(fits).select("a", "b"), "pairs")
+    some = _asked(texts, pairs.select(F.explode(F.array("a", "b")).alias("_row")))
+    first = some.select(F.col("_row").alias("a"), F.col("_text").alias("_other"))
+    second = some.select(F.col("_row").alias("b"), "_text")
+    both = pairs.join(second, "b").join(first, "a").select("a", "b", "_text", "_other")
+    links = keep(both.mapInArrow(_verifier(n, threshold), "a long, b long"), "links")
+    discard(pairs, some)
+    return links
