@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bindery.llm.stages import slices
+from bindery.llm.stages import at_most, slices
 from bindery.llm.words import document_of, grams, split_tokens
 
 # The wording by which each licence family is usually named or granted.
@@ -195,12 +195,11 @@ def _scanner(shared):
 
 
 def sample_paragraphs(docs: DataFrame, id_col: str, text_col: str, most: int = PARAGRAPHS) -> list[str]:
-    """Paragraphs of the corpus that name no licence: at most ``most``, chosen by hash, none of more
+    """Paragraphs of the corpus that name no licence: about ``most``, chosen by hash, none of more
     than ``LONGEST`` characters, so that the training set has a bounded size."""
     lines = docs.select(F.col(id_col).alias("d"), F.posexplode(F.split(F.col(text_col), "\n")).alias("i", "p"))
     plain = (F.length(F.trim("p")) > 0) & (F.length("p") <= LONGEST) & ~F.col("p").rlike(NAMED)
-    rows = lines.filter(plain).orderBy(F.xxhash64("d", "i", "p"), "p").limit(most).select("p")
-    return [r["p"] for r in rows.collect()]
+    return [r["p"] for r in at_most(lines.filter(plain), most, "d", "i", "p").select("p").collect()]
 
 
 def licence_scan(
@@ -214,7 +213,7 @@ def licence_scan(
 ) -> DataFrame:
     """Every paragraph (line) of every whole text that the classifier gives to a licence family.
 
-    The classifier learns from ``templates``, altered copies of them, and at most ``paragraphs``
+    The classifier learns from ``templates``, altered copies of them, and about ``paragraphs``
     paragraphs of the corpus that name no licence, which with scrambled templates make the unknown
     class. A prediction is confirmed if the paragraph holds at least ``confirm`` of the word pairs of
     one of the family's templates. Null and blank texts have no paragraphs to report; repeated rows

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bindery.llm.stages import keep, row_number, slices
+from bindery.llm.stages import at_most, keep, row_number, slices
 from bindery.llm.words import document_of, mix, split_tokens
 
 BUCKETS = 1 << 14  # hash buckets of tokens
@@ -210,7 +210,7 @@ def quality_scores(
 ) -> DataFrame:
     """The probability that a document's label is 1, for every whole text.
 
-    Word vectors come from all documents. The network learns from at most ``train_rows`` labelled
+    Word vectors come from all documents. The network learns from about ``train_rows`` labelled
     documents, chosen by the hash of their id among those that ``learn_from`` (a condition on
     ``id_col``) admits; rows of ``labels`` without a 0 or 1, or without a document, teach nothing.
     Null and blank texts have zero vectors and are scored like any other. Where the labels hold one
@@ -227,9 +227,11 @@ def quality_scores(
     if learn_from is not None:
         admitted = admitted.filter(learn_from)
     chosen = admitted.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y")).distinct()
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "_y").limit(train_rows)
-    taught = features.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), "_id", "_y", "_row").limit(train_rows)
-    sample = taught.select("_features", "_y").toArrow()
+    chosen = keep(at_most(chosen, train_rows, "_id"), "training-labels")
+    taught = keep(features.join(F.broadcast(chosen), "_id"), "training-rows")
+    # More than one row per label only where ids repeat. The order makes reruns train alike.
+    rows_taught = at_most(taught, train_rows, "_row").orderBy(F.xxhash64("_id"), "_id", "_y", "_row")
+    sample = rows_taught.select("_features", "_y").toArrow()
     y = sample.column("_y").to_numpy()
     if len(np.unique(y)) == 2:
         x = sample.column("_features").combine_chunks().flatten().to_numpy().reshape(len(y), -1)
