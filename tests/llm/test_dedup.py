@@ -166,6 +166,22 @@ def test_fuzzy_line_dedup(spark):
     assert sum(r["kept"] for r in out) == len(brute)
 
 
+def check_lines(spark, rows):
+    want, root, _ = line_brute(rows)
+    out = fuzzy_line_dedup(frame(spark, rows)).collect()
+    assert sum(r["kept"] for r in out) == len(set(root.values()))
+    assert Counter((r["doc_id"], r["line_no"], r["kept"]) for r in out) == want
+
+
+def test_lines_without_spaces_that_differ_at_their_start(spark):
+    path = "example.org/data/exports/2019/quarterly-figures-of-all-branches.parquet"
+    rows = [(1, f"http://{path}\nhttps://{path}", None, None), (2, "/data/" + path + "\n\\data/" + path, None, None)]
+    csv = "00417,2019-03-04,schmidt,hamburg,4711,paid,eur,129.90,card,completed"
+    rows += [(3, f"{csv}\n9{csv[1:]}", None, None), (4, "https://other.example.net/x\nhttps://third.example.com/y", None, None)]
+    rows += [(5, "ภาษาไทยไม่มีช่องว่างระหว่างคำในประโยคยาวๆ\nกภาษาไทยไม่มีช่องว่างระหว่างคำในประโยคยาวๆ", None, None)]
+    check_lines(spark, rows)
+
+
 def test_substring_dedup(messy, messy_rows):
     texts = [(i, (t or "").split() if len(t or "") > 20000 else words(t)) for i, t, *_ in messy_rows]
     seen = Counter(tuple(w[i : i + 35]) for _, w in texts for i in range(len(w) - 34))
