@@ -182,6 +182,17 @@ def test_lines_without_spaces_that_differ_at_their_start(spark):
     check_lines(spark, rows)
 
 
+def test_lines_of_few_words_with_one_character_edits(spark):
+    rng = random.Random(12)
+    rows = [(1, "download internationalisation1\ndownload internationalisation2", None, None)]
+    rows += [(2, "stteen erachtz.\nstteen erachtz!\nstteen erachtzen", None, None), (3, "aaaaaa\naaaaaaaa\nabcde\nabcdef", None, None)]
+    for i in range(150):
+        line = " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randrange(4, 24))) for _ in range(1 + i % 5))
+        at = rng.randrange(len(line))
+        rows.append((10 + i, f"{line}\n{line[:at]}#{line[at + rng.randrange(2) :]}", None, None))
+    check_lines(spark, rows)
+
+
 def test_substring_dedup(messy, messy_rows):
     texts = [(i, (t or "").split() if len(t or "") > 20000 else words(t)) for i, t, *_ in messy_rows]
     seen = Counter(tuple(w[i : i + 35]) for _, w in texts for i in range(len(w) - 34))
