@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -51,6 +52,8 @@ NAMED = r"(?i)licen|copyright|public domain|rights reserved|permission"
 COPIES = 60  # altered copies of every template
 EPOCHS = 200
 CONFIRM = 0.7  # share of a template's bigrams that a paragraph must hold
+SLICE = 1 << 20  # bytes
+COMMENT = re.compile(rb"(?i)^\s*(?:rem|dnl)\s")  # comment marks that are words; signs do not count anyway
 
 
 class Model(NamedTuple):
@@ -60,6 +63,7 @@ class Model(NamedTuple):
     bias: np.ndarray
     temperature: float
     templates: list[tuple[int, np.ndarray]]  # family, sorted bigram hashes
+    longest: int  # words of the longest template
 
 
 def paragraph_grams(paragraphs: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +147,8 @@ def train(negatives: list[str], templates: dict[str, list[str]] = TEMPLATES, epo
 
     heat = min((float(t) for t in np.geomspace(0.25, 8, 21)), key=loss)
     compared = [(i, _bigrams(t.encode())) for i, f in enumerate(families[1:], 1) for t in templates[f]]
-    return Model(families, slot, w.astype(np.float32), b, heat, compared)
+    longest = max((len(paragraph_grams([t.encode()], 1)[0]) for f in families[1:] for t in templates[f]), default=0)
+    return Model(families, slot, w.astype(np.float32), b, heat, compared, longest)
 
 
 def classify(model: Model, paragraphs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -169,25 +174,92 @@ def template_share(model: Model, paragraph: bytes, family: int) -> float:
     return max(float(np.isin(t, held).mean()) for i, t in model.templates if i == family)
 
 
-def _scanner(shared):
+def runs(model: Model, lines: list[bytes], doc: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and last line of every run of lines in which a wrapped template can lie: lines of one text
+    with words in each, as many as a template that starts in the first can reach, however it is wrapped.
+    Runs whose first or last line holds no word of a template are left out, as a shorter one says the same."""
+    hashes, owner = paragraph_grams(lines, 1)
+    words = np.bincount(owner, minlength=len(lines)).tolist()
+    some = np.zeros(len(lines), bool)
+    some[owner[model.slot[(hashes % np.uint64(FEATURES)).astype(np.int64)] > 0]] = True
+    some, doc = some.tolist(), doc.tolist()
+    for i in np.flatnonzero(some).tolist():
+        j, reached = i + 1, 0
+        while j < len(lines) and doc[j] == doc[i] and words[j] and reached < model.longest:
+            if some[j]:
+                yield i, j
+            reached += words[j]
+            j += 1
+
+
+def wrapped(
+    model: Model, lines: list[bytes], doc: np.ndarray, confirm: float, single: list[tuple[int, int, int, float, float]]
+) -> list[tuple[int, int, int, float, float]]:
+    """First and last line, family, probability and share: of the rows ``single`` (lines by themselves) and
+    of each confirmed grant that goes over several lines. Of overlapping runs of one family the best stays,
+    the shortest of equals, and none overlaps a line that is confirmed alone for its family. Lines and
+    runs inside one that holds more of its template are fragments of that and left out."""
+    found = []
+
+    def look(some: list[tuple[int, int]], texts: list[bytes]) -> None:
+        family, probability = classify(model, texts)
+        for k in np.flatnonzero(family).tolist():
+            share = template_share(model, texts[k], int(family[k]))
+            if share >= confirm:
+                found.append((*some[k], int(family[k]), float(probability[k]), share))
+
+    stripped = [COMMENT.sub(b"", x) for x in lines]
+    some, texts, held = [], [], 0
+    for i, j in runs(model, stripped, doc):
+        some.append((i, j))
+        texts.append(b" ".join(stripped[i : j + 1]))
+        held += len(texts[-1])
+        if held >= SLICE:
+            look(some, texts)
+            some, texts, held = [], [], 0
+    if some:
+        look(some, texts)
+    taken = {(r[0], r[2]) for r in single if r[4] >= confirm}
+    out, best = [], {}  # the runs that stay, and those at each line
+    for run in sorted(found, key=lambda r: (-r[4], r[1] - r[0], r[0])):
+        places = {(line, run[2]) for line in range(run[0], run[1] + 1)}
+        if not places & taken:
+            taken |= places
+            if not _inside(run, best):
+                out.append(run)
+                for line in range(run[0], run[1] + 1):
+                    best.setdefault(line, []).append(run)
+    return [r for r in single if not _inside(r, best)] + out
+
+
+def _inside(run: tuple, best: dict[int, list[tuple]]) -> bool:
+    """Whether a run that holds more of its template holds this one."""
+    return any(r[0] <= run[0] and run[1] <= r[1] and run[4] < r[4] for r in best.get(run[0], []))
+
+
+def _scanner(shared, confirm: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for batch in slices(batches, "_text", 1 << 20):
+        for batch in slices(batches, "_text", SLICE):
             texts = [(t or "").encode("utf-8", "surrogatepass").split(b"\n") for t in batch.column("_text").to_pylist()]
             doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
             number = np.concatenate([np.arange(len(t)) for t in texts])
-            paragraphs = [p for t in texts for p in t]
-            family, probability = classify(model, paragraphs)
-            at = np.flatnonzero(family)
-            shares = [template_share(model, paragraphs[i], int(family[i])) for i in at]
+            lines = [p for t in texts for p in t]
+            family, probability = classify(model, lines)
+            rows = []
+            for i in np.flatnonzero(family).tolist():
+                rows.append((i, i, int(family[i]), float(probability[i]), template_share(model, lines[i], int(family[i]))))
+            rows = wrapped(model, lines, doc, confirm, rows)
+            at = np.array([r[0] for r in rows], np.int64)
             yield pa.record_batch(
                 {
                     "_id": batch.column("_id").take(pa.array(doc[at])),
                     "paragraph": pa.array(number[at].astype(np.int32)),
-                    "family": pa.array([model.families[i] for i in family[at]], pa.string()),
-                    "probability": pa.array(probability[at].astype(np.float64)),
-                    "template_share": pa.array(shares, pa.float64()),
-                    "text": pa.array([paragraphs[i].decode("utf-8", "replace") for i in at], pa.string()),
+                    "lines": pa.array([r[1] - r[0] + 1 for r in rows], pa.int32()),
+                    "family": pa.array([model.families[r[2]] for r in rows], pa.string()),
+                    "probability": pa.array([r[3] for r in rows], pa.float64()),
+                    "template_share": pa.array([r[4] for r in rows], pa.float64()),
+                    "text": pa.array([b"\n".join(lines[r[0] : r[1] + 1]).decode("utf-8", "replace") for r in rows], pa.string()),
                 }
             )
 
@@ -211,22 +283,25 @@ def licence_scan(
     paragraphs: int = PARAGRAPHS,
     confirm: float = CONFIRM,
 ) -> DataFrame:
-    """Every paragraph (line) of every whole text that the classifier gives to a licence family.
+    """Every line of every whole text that the classifier gives to a licence family, and every confirmed
+    grant that is wrapped over several lines.
 
     The classifier learns from ``templates``, altered copies of them, and about ``paragraphs``
     paragraphs of the corpus that name no licence, which with scrambled templates make the unknown
     class. A prediction is confirmed if the paragraph holds at least ``confirm`` of the word pairs of
-    one of the family's templates. Null and blank texts have no paragraphs to report; repeated rows
+    one of the family's templates. Runs of neighbouring lines without a blank one between them are judged
+    by their joined words, and reported in place of their lines if confirmed as a whole where no line of
+    them is for that family. Null and blank texts have no paragraphs to report; repeated rows
     are reported as often as they occur; an empty table gives an empty result. Columns: ``id_col``,
-    paragraph (from 0), family, probability, template_share, confirmed, text.
+    paragraph (first line, from 0), lines (how many), family, probability, template_share, confirmed, text.
     """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(train(sample_paragraphs(docs, id_col, text_col, paragraphs), templates))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = dict(rows.dtypes)["_id"]
-    schema = f"_id {kind}, paragraph int, family string, probability double, template_share double, text string"
-    found = rows.mapInArrow(_scanner(model), schema)
+    schema = f"_id {kind}, paragraph int, lines int, family string, probability double, template_share double, text string"
+    found = rows.mapInArrow(_scanner(model, confirm), schema)
     return found.select(
-        F.col("_id").alias(id_col), "paragraph", "family", "probability", "template_share",
+        F.col("_id").alias(id_col), "paragraph", "lines", "family", "probability", "template_share",
         (F.col("template_share") >= confirm).alias("confirmed"), "text",
     )

@@ -1,6 +1,7 @@
 """Language, quality and licence models: held-out accuracy and defined results on odd input."""
 
 import random
+import textwrap
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -131,3 +132,21 @@ def test_licence_scan(spark, none):
     assert confirmed == want
     assert all(0 <= r["probability"] <= 1 and r["family"] in licences.TEMPLATES for r in out)
     assert licences.licence_scan(none).count() == 0
+
+
+def test_licence_wrapped_over_lines(spark):
+    rng = random.Random(7)
+    grants = {
+        "mit": licences.TEMPLATES["mit"][2], "gpl": licences.TEMPLATES["gpl"][2],
+        "bsd": licences.TEMPLATES["bsd"][2], "isc": licences.TEMPLATES["isc"][1],
+    }
+    rows, want = [], []
+    for k, (width, mark) in enumerate([(76, ""), (60, "# "), (40, " * "), (30, "REM ")]):
+        for i, (family, grant) in enumerate(grants.items()):
+            body = textwrap.wrap(grant, width)
+            text = [prose(rng, 12), "", *[mark + x for x in body], prose(rng, 12)]
+            rows.append((10 * k + i, "\n".join(text), None, None))
+            want.append((10 * k + i, 2, len(body), family))
+    rows += [(90 + i, f"{prose(rng, 12)}\n{prose(rng, 9)}", None, None) for i in range(20)]
+    out = [r for r in licences.licence_scan(frame(spark, rows)).collect() if r["confirmed"]]
+    assert sorted((r["doc_id"], r["paragraph"], r["lines"], r["family"]) for r in out) == want
