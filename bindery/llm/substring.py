@@ -1,11 +1,12 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an index of reference blocks.
+"""Substring dedup by content-defined blocks and exact window counts.
 
 Every text is parsed into blocks at content-defined places: a window of ``window`` words belongs to
 its anchor, the smallest hash among its k-grams, and a block is a run of windows with one anchor. The
-blocks of all documents are the reference. A document is factored greedily: blocks that the index
-holds elsewhere, one after another, grow into one factor. At the ends of factors, where a block is
-not held as a whole but shares its anchor, its windows are looked up one by one. Since equal windows
-have equal anchors, a window is found exactly when it starts anywhere else.
+blocks of all documents are joined by hash; where a block is not held elsewhere as a whole but shares
+its anchor, its windows are counted one by one, and the words that found windows cover are merged into
+spans. Since equal windows have equal anchors, a window is found exactly when it starts anywhere else.
+This stands in place of a relative Lempel-Ziv parse: no factors are grown along a reference document,
+the spans are the same, and a passage shared by very many texts costs no pairs.
 """
 
 from __future__ import annotations
