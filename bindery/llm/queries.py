@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bindery.llm.alignment import alignment_report
 from bindery.llm.exact import exact_dedup
 from bindery.llm.language import fit as fit_language
 from bindery.llm.language import identify
@@ -169,3 +170,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_licence_scan")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return licence_scan(table(spark, folder, "documents"))
+
+
+@query("op11_tokenizer_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    return alignment_report(table(spark, folder, "documents"), pieces=pieces, **vocabulary())
