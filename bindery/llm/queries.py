@@ -17,6 +17,7 @@ from bindery.llm.mixing import mix_sources
 from bindery.llm.neardup import near_duplicates
 from bindery.llm.packing import best_fit_pack
 from bindery.llm.quality import quality_scores
+from bindery.llm.simhash import simhash_near_duplicates
 from bindery.llm.substring import substring_dedup
 from bindery.llm.topk import top_k
 
@@ -178,3 +179,9 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 
     pieces = public_tokenizers.path("piece_bpe_32k.model")
     return alignment_report(table(spark, folder, "documents"), pieces=pieces, **vocabulary())
+
+
+@query("op12_simhash_dedup")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
