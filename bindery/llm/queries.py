@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery.llm.alignment import alignment_report
+from bindery.llm.audit import filter_audit
 from bindery.llm.exact import exact_dedup
 from bindery.llm.language import fit as fit_language
 from bindery.llm.language import identify
@@ -185,3 +186,37 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query(
+    "op13_filter_audit",
+    f"""
+    WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x,
+                      {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    f AS (SELECT doc_id, part,
+                 (len(w) < 50)::int + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::int
+                 + 4 * (100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * length(x))::int
+                 + 8 * regexp_matches(x, '[#$%&*|]')::int
+                 + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false)::int AS mask FROM t),
+    l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (l.good) AS good, count(*) FILTER (l.toxic) AS toxic
+          FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+    a AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM a p, a q, a r, a s, a t
+          WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+    k AS (SELECT *, unnest(range(1, 6))::int AS step FROM o),
+    b AS (SELECT *, list_transform(string_split(filter_order, ''), lambda y: 1 << (ascii(y) - 65)) AS bits FROM k),
+    s AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1 : step - 1]), 0)::int AS earlier FROM b)
+    SELECT part, filter_order, step,
+           coalesce(sum(n) FILTER (mask & (own | earlier) = 0), 0)::bigint AS kept,
+           coalesce(sum(n) FILTER (mask & own > 0 AND mask & earlier = 0), 0)::bigint AS removed,
+           coalesce(sum(n) FILTER (mask & own > 0 AND mask & earlier > 0), 0)::bigint AS redundant,
+           coalesce(sum(n) FILTER (mask = own), 0)::bigint AS unique_fails,
+           coalesce(sum(good) FILTER (mask & own > 0 AND mask & earlier = 0), 0)::bigint AS good_lost,
+           coalesce(sum(toxic) FILTER (mask & own > 0 AND mask & earlier = 0), 0)::bigint AS toxic_lost,
+           coalesce(sum(n * 120 // bit_count(mask)) FILTER (mask & own > 0), 0)::bigint AS shapley
+    FROM c CROSS JOIN s GROUP BY part, filter_order, step
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit(spark, f"{folder.rstrip('/')}/documents.parquet", table(spark, folder, "labels"))
