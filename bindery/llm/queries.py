@@ -214,7 +214,7 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
            coalesce(sum(n) FILTER (mask = own), 0)::bigint AS unique_fails,
            coalesce(sum(good) FILTER (mask & own > 0 AND mask & earlier = 0), 0)::bigint AS good_lost,
            coalesce(sum(toxic) FILTER (mask & own > 0 AND mask & earlier = 0), 0)::bigint AS toxic_lost,
-           coalesce(sum(n * 120 // bit_count(mask)) FILTER (mask & own > 0), 0)::bigint AS shapley
+           coalesce(sum(n * 120 // greatest(bit_count(mask), 1)) FILTER (mask & own > 0), 0)::bigint AS shapley
     FROM c CROSS JOIN s GROUP BY part, filter_order, step
     """,
 )
