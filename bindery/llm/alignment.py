@@ -44,7 +44,8 @@ def shared_cuts(
         low, high, a_at = low[found], high[found], a_at[found]
         a_cuts.append(a_at)
         b_cuts.append(b_at[found])
-        low, high = np.concatenate([low, a_at + 1]), np.concatenate([a_at, high])
+        # Halves stay in the order of the text, which keeps the bisection's reads close together.
+        low, high = (np.stack(x, axis=1).reshape(-1) for x in ((low, a_at + 1), (a_at, high)))
         inner = low < high
         low, high = low[inner], high[inner]
     a_cuts, b_cuts = np.concatenate(a_cuts), np.concatenate(b_cuts)
@@ -62,7 +63,7 @@ def _cut_near_middle(a_ends: np.ndarray, b_ends: np.ndarray, low: np.ndarray, hi
     reach, width = 0, 1
     while len(open_):
         steps = np.arange(reach, reach + width)
-        steps = np.stack([steps, -steps], axis=1).reshape(-1)
+        steps = np.stack([steps, -steps], axis=1).reshape(-1) if reach else steps
         place = middle[open_, None] + steps
         inside = (place >= low[open_, None]) & (place < high[open_, None])
         end = a_ends[np.where(inside, place, low[open_, None])]
@@ -137,9 +138,10 @@ def _aligner(vocabulary: str, pattern: str, pieces: str):
                 whole = " " + text
                 a_ids = pair.a.encode_to_numpy(whole, disallowed_special=()) if text else nothing
                 data = whole.encode()
+                # Tokens of A are runs of the text's own bytes, so no byte is missing if the sizes add up.
                 sound = (
                     text != ""
-                    and pair.a.decode_bytes(a_ids) == data
+                    and int(pair.a_sizes[a_ids].sum()) == len(data)
                     and b"".join([pair.b_bytes[i] for i in b_ids]) == data
                 )
                 a_parts.append(a_ids.astype(np.int64) if sound else nothing)
