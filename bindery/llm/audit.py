@@ -1,27 +1,24 @@
 """Filter interaction audit: a stream over the files that keeps part counters right by retraction.
 
 Every micro-batch computes each text's filter mask and folds equal texts before the shuffle. The
-state per text is the smallest id seen and the counts that its rows hold as "not a repeat". When a smaller
-id arrives, those counts are retracted and counted again as repeats. The sum of all changes is one table of
-counters per part and mask, from which every order of the filters is read off.
+state, a table keyed by the text's digest, holds the smallest id seen and the counts of its rows. When a
+smaller id arrives, those counts are retracted and counted again as repeats. The sum of all changes is one
+table of counters per part and mask, from which every order of the filters is read off.
 """
 
 from __future__ import annotations
 
 import hashlib
-import json
 from collections import Counter
 from collections.abc import Iterator
 from itertools import permutations
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from bindery.llm.stages import keep, slices
-from bindery.session import scratch_path
+from bindery.session import discard, scratch_path
 
 FILTERS = "ABCDE"
 REPEAT = 16  # the bit of filter E
@@ -29,8 +26,7 @@ MIN_WORDS, DISTINCT_PERCENT, CAPITALS_PERCENT = 50, 65, 5
 SIGNS = [bytes([c]) for c in b"#$%&*|"]
 CAPITALS = bytes(range(65, 91))
 MICRO_BATCHES = 16  # at most about so many, of MICRO_BATCH_BYTES at least
-MICRO_BATCH_BYTES = 64 << 20
-STATE_BYTES = 256 << 20  # input per partition of the state
+MICRO_BATCH_BYTES = 128 << 20
 HELD = 100_000  # texts folded at once in a task
 
 CELL = "_part string, _mask int, _good boolean, _toxic boolean, _n long"
@@ -119,69 +115,72 @@ def _folder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- state ----------------------------------------------------------------------------------------
 
 
-def changes(rows: list[tuple], held: tuple[int, list] | None) -> tuple[list[tuple], tuple[int, list] | None]:
-    """Changes of the counters that a micro-batch makes for one text, and the text's new state.
+def judged(running: DataFrame, held: DataFrame) -> DataFrame:
+    """The rows of a micro-batch that are in the running, and the state's rows of their texts, per text.
 
-    ``rows`` are (id or None, part, mask, good, toxic, n); the state is the smallest id and its
-    counts [part, mask, good, toxic, n]. Returns [(part, mask, good, toxic, n)], n < 0 to retract.
+    Both have ``FOLDED``'s columns. Adds _old, _least (smallest id now) and _was (smallest id before).
+    Folding has left a few rows per task and text, so no text is a large group here.
     """
-    out = [row[1:] for row in rows if row[0] is None]
-    running = [row for row in rows if row[0] is not None]
-    if not running:
-        return out, held
-    least = min(row[0] for row in running)
-    if held and held[0] < least:
-        least = held[0]
-    cells: list = []
-    if held and held[0] == least:
-        cells = held[1]
-    elif held:  # a smaller id has come: its earlier rows turn out to be repeats
-        for part, mask, good, toxic, n in held[1]:
-            out += [(part, mask, good, toxic, -n), (part, mask | REPEAT, good, toxic, n)]
-    for row_id, part, mask, good, toxic, n in running:
-        out.append((part, mask if row_id == least else mask | REPEAT, good, toxic, n))
-        if row_id == least:
-            cells = [*cells, [part, mask, good, toxic, n]]
-    return out, (least, _merged(cells))
-
-
-def _merged(cells: list) -> list:
-    if len(cells) < 2:
-        return cells
-    sums = Counter()
-    for *cell, n in cells:
-        sums[tuple(cell)] += n
-    return [[*cell, n] for cell, n in sorted(sums.items())]
-
-
-def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = []
-    for frame in frames:
-        ids = frame["_id"]
-        known = ids.notna().tolist()
-        values = [frame[c].tolist() for c in ("_part", "_mask", "_good", "_toxic", "_n")]
-        rows += [(int(i) if k else None, *v) for i, k, *v in zip(ids.tolist(), known, *values)]
-    held = None
-    if state.exists:
-        least, cells = state.get
-        held = (least, json.loads(cells))
-    out, new = changes(rows, held)
-    if new is not None and new is not held:
-        state.update((new[0], json.dumps(new[1])))
-    yield pd.DataFrame(out, columns=["_part", "_mask", "_good", "_toxic", "_n"])
-
-
-def _summer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The changes of one task, added up per counter."""
-    sums = Counter()
-    for batch in batches:
-        for *cell, n in zip(*(batch.column(c).to_pylist() for c in ("_part", "_mask", "_good", "_toxic", "_n"))):
-            sums[tuple(cell)] += n
-    rows = [(*cell, n) for cell, n in sums.items() if n]
-    if rows:
-        kinds = [pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64()]
-        names = ["_part", "_mask", "_good", "_toxic", "_n"]
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    of_batch = held.join(running.select("_key").distinct(), "_key", "left_semi")
+    rows = running.withColumn("_old", F.lit(False)).unionByName(of_batch.withColumn("_old", F.lit(True)))
+    text = Window.partitionBy("_key")
+    was = F.min(F.when(F.col("_old"), F.col("_id"))).over(text)
+    return rows.withColumn("_least", F.min("_id").over(text)).withColumn("_was", was)
+
+
+def changes(rows: DataFrame) -> DataFrame:
+    """Changes of the counters, n < 0 to retract, from :func:`judged` rows.
+
+    A new row counts as a repeat unless it has the smallest id. Where a smaller id has come, the
+    rows that held it before are retracted and counted again as repeats.
+    """
+    repeat, n = F.col("_mask").bitwiseOR(F.lit(REPEAT)), F.col("_n")
+
+    def change(mask, number):
+        return F.struct(mask.alias("_mask"), number.alias("_n"))
+
+    new = F.array(change(F.when(F.col("_id") == F.col("_least"), F.col("_mask")).otherwise(repeat), n))
+    fell = F.col("_old") & (F.col("_id") == F.col("_was")) & (F.col("_least") < F.col("_was"))
+    told = F.when(~F.col("_old"), new).when(fell, F.array(change(F.col("_mask"), -n), change(repeat, n)))
+    return rows.select("_part", "_good", "_toxic", F.explode(told).alias("_c")).select(
+        "_part", "_c._mask", "_good", "_toxic", "_c._n"
+    )
+
+
+def _counted(changed: DataFrame) -> DataFrame:
+    return changed.groupBy("_part", "_mask", "_good", "_toxic").agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+
+
+def _batch_writer(flags: DataFrame, folder: str):
+    """Writes the changes and the state rows of one micro-batch under its number.
+
+    A batch that is run again, after a failure, reads the state of the batches before it only and
+    replaces what it wrote, so nothing is counted twice.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        masked = keep(batch, "masked")
+        # Rows without an id find no label; they are spread over the join.
+        lane = F.when(F.col("_id").isNull(), 1 + F.pmod(F.xxhash64("_key", "_part"), F.lit(4096))).otherwise(0)
+        masked_ = masked.withColumn("_slot", lane.cast("int"))
+        known = (F.coalesce("_id", F.lit(0)) == F.col("_of")) & (F.col("_slot") == F.col("_lane"))
+        labelled = masked_.join(flags, known, "left").select(
+            "_key", "_mask", "_id", "_part",
+            F.coalesce("_is_good", F.lit(False)).alias("_good"), F.coalesce("_is_toxic", F.lit(False)).alias("_toxic"),
+        )
+        folded = keep(labelled.mapInArrow(_folder, FOLDED), "folded")
+        earlier = [f"{folder}/state/batch={i}" for i in range(number) if _place(spark, f"{folder}/state/batch={i}")[2]]
+        held = spark.read.schema(FOLDED).parquet(*earlier) if earlier else spark.createDataFrame([], FOLDED)
+        rows = keep(judged(folded.filter("_id is not null"), held), "judged")
+        first = rows.filter("not _old and _id = _least").select(*folded.columns)
+        first.write.mode("overwrite").parquet(f"{folder}/state/batch={number}")
+        sure = folded.filter("_id is null").select("_part", "_mask", "_good", "_toxic", "_n")
+        changed = _counted(sure.unionByName(changes(rows)))
+        changed.write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
+        discard(masked, folded, rows)
+
+    return write
 
 
 def count_masks(
@@ -193,19 +192,17 @@ def count_masks(
     Returns the counters over all files seen so far: part, mask, good, toxic, n. ``folder`` holds the
     stream's checkpoint, state and changes; a later run with the same folder, after a failure or after more
     files have come, goes on where it stopped and counts nothing twice. Without ``files_per_batch``
-    the input is cut into at most about ``MICRO_BATCHES`` batches. Where the state outgrows the executors'
-    memory, set the session's state store to the one on disk.
+    the input is cut into at most about ``MICRO_BATCHES`` batches. The state is a log of some 40 bytes per
+    text; a batch reads the part of it that its own texts need.
     """
     source = spark.read.parquet(path)
-    size = _bytes(spark, path)
     limit = ("maxFilesPerTrigger", files_per_batch) if files_per_batch else (
-        "maxBytesPerTrigger", max(size // MICRO_BATCHES, MICRO_BATCH_BYTES)
+        "maxBytesPerTrigger", max(_bytes(spark, path) // MICRO_BATCHES, MICRO_BATCH_BYTES)
     )
     flags = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_of")).agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("_is_good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("_is_toxic"),
     )
-    # Rows without an id find no label; they are spread over the join.
     flags = keep(flags.filter("_is_good or _is_toxic").withColumn("_lane", F.lit(0)), "label-flags")
     stream = spark.readStream.schema(source.schema).option(*limit).parquet(_listed(spark, path)).select(
         F.col(id_col).cast("long").alias("_id"),
@@ -213,50 +210,29 @@ def count_masks(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"),
     )
     masked = stream.mapInArrow(_masker, "_key binary, _mask int, _id long, _part string")
-    lane = F.when(F.col("_id").isNull(), 1 + F.pmod(F.xxhash64("_key", "_part"), F.lit(4096))).otherwise(0)
-    masked = masked.withColumn("_slot", lane.cast("int"))
-    known = (F.coalesce("_id", F.lit(0)) == F.col("_of")) & (F.col("_slot") == F.col("_lane"))
-    labelled = masked.join(flags, known, "left").select(
-        "_key", "_mask", "_id", "_part",
-        F.coalesce("_is_good", F.lit(False)).alias("_good"), F.coalesce("_is_toxic", F.lit(False)).alias("_toxic"),
-    )
-    changed = (
-        labelled.mapInArrow(_folder, FOLDED)
-        .groupBy("_key")
-        .applyInPandasWithState(_update, CELL, "least long, cells string", "append", GroupStateTimeout.NoTimeout)
-        .mapInArrow(_summer, CELL)
-    )
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    # The state's partitions are fixed at the first run, so they follow the input and not the session.
-    spark.conf.set(setting, str(max(spark.sparkContext.defaultParallelism, min(size // STATE_BYTES, 20000))))
-    try:
-        writer = changed.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
-        query = writer.trigger(availableNow=True).outputMode("append").start(f"{folder}/changes")
-    finally:
-        spark.conf.set(setting, before)
-    query.awaitTermination()
-    if not _bytes(spark, f"{folder}/changes"):
+    writer = masked.writeStream.foreachBatch(_batch_writer(flags, folder)).trigger(availableNow=True)
+    writer.option("checkpointLocation", f"{folder}/checkpoint").start().awaitTermination()
+    if not _place(spark, f"{folder}/changes")[2]:
         return spark.createDataFrame([], CELL).toDF("part", "mask", "good", "toxic", "n")
-    seen = spark.read.schema(CELL).parquet(f"{folder}/changes")
-    sums = seen.groupBy("_part", "_mask", "_good", "_toxic").agg(F.sum("_n").alias("_n")).filter("_n <> 0")
-    return sums.toDF("part", "mask", "good", "toxic", "n")
+    seen = spark.read.schema(CELL).option("recursiveFileLookup", True).parquet(f"{folder}/changes")
+    return _counted(seen).toDF("part", "mask", "good", "toxic", "n")
 
 
 def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return place, files, files.exists(place)
 
 
 def _bytes(spark: SparkSession, path: str) -> int:
-    place, files = _place(spark, path)
+    place, files, _ = _place(spark, path)
     return sum(files.getContentSummary(f.getPath()).getLength() for f in files.globStatus(place) or [])
 
 
 def _listed(spark: SparkSession, path: str) -> str:
     """A stream reads a folder or a pattern; a single file is given as the pattern that only it matches."""
-    place, files = _place(spark, path)
-    return f"{path[:-1]}[{path[-1]}]" if files.exists(place) and files.getFileStatus(place).isFile() else path
+    place, files, there = _place(spark, path)
+    return f"{path[:-1]}[{path[-1]}]" if there and files.getFileStatus(place).isFile() else path
 
 
 # --- report ---------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from itertools import permutations
 
 import pytest
 
-from bindery.llm.audit import changes, count_masks, filter_audit, order_report
+from bindery.llm.audit import FOLDED, changes, count_masks, filter_audit, judged, order_report
 
 from .conftest import SCHEMA, frame
 
@@ -128,15 +128,21 @@ def test_empty_table(spark, none, tmp_path, files):
     assert SCHEMA  # the table has columns of clashing names
 
 
-def test_changes_of_one_text():
-    cell = ("a", 3, True, False)
-    out, held = changes([(7, *cell, 2)], None)
-    assert (out, held) == ([(*cell, 2)], (7, [[*cell, 2]]))
-    out, held = changes([(9, "b", 3, False, False, 1), (None, "b", 19, False, False, 4)], held)
-    assert out == [("b", 19, False, False, 4), ("b", 19, False, False, 1)] and held[0] == 7
-    out, held = changes([(7, *cell, 1), (8, *cell, 1)], held)
-    assert out == [(*cell, 1), ("a", 19, True, False, 1)] and held == (7, [[*cell, 3]])
-    out, held = changes([(2, "c", 3, False, True, 1)], held)
-    assert sorted(out) == sorted([(*cell, -3), ("a", 19, True, False, 3), ("c", 3, False, True, 1)])
-    assert held == (2, [["c", 3, False, True, 1]])
-    assert changes([(None, *cell, 1)], held) == ([(*cell, 1)], held)
+def test_changes_of_a_text(spark):
+    """A smaller id retracts, an equal one adds up, a larger one is a repeat; other texts' state is left alone."""
+
+    def rows(*values):
+        return spark.createDataFrame([(bytes([k]), *v) for k, *v in values], FOLDED)
+
+    held = rows((1, 7, "a", 3, True, False, 2), (1, 9, "a", 3, False, False, 1), (2, 1, "z", 0, False, False, 1))
+    for new, want in (
+        ((1, 8, "b", 3, False, True, 1), [("b", 19, False, True, 1)]),
+        ((1, 7, "b", 3, False, True, 1), [("b", 3, False, True, 1)]),
+        (
+            (1, 2, "b", 3, False, True, 1),
+            [("b", 3, False, True, 1), ("a", 3, True, False, -2), ("a", 19, True, False, 2)],
+        ),
+        ((3, 2, "b", 3, False, True, 5), [("b", 3, False, True, 5)]),
+    ):
+        got = [tuple(r) for r in changes(judged(rows(new), held)).collect()]
+        assert sorted(got) == sorted(want)
