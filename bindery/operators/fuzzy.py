@@ -307,12 +307,16 @@ def adaptation_fuzzy_join(
     threshold: float = 0.90,
     tolerance: int = 5,
     authors: tuple[Column, Column] | None = None,
+    identifiers: tuple[Column, Column] | None = None,
 ) -> DataFrame:
-    """Add ``adapted_to_screen`` (0/1) and ``adaptation_title`` to every book.
-
-    A match has the same normalised title or a Jaro-Winkler similarity of at least ``threshold``,
-    and years within the tolerance where both are known. With ``authors`` (normalised keys of both
-    sides) they must be equal too. The best score wins, then the lowest adaptation id.
+    """Add ``adapted_to_screen`` (0/1), ``adaptation_title`` and ``match_method`` to every book.
+
+    With ``identifiers`` (normalised keys of both sides, null where there is none) books whose key an
+    adaptation has are matched by it first, to the lowest adaptation id, and take no part in the
+    second stage. There a match has the same normalised title or a Jaro-Winkler similarity of at least
+    ``threshold``, and years within the tolerance where both are known. With ``authors``
+    (normalised keys of both sides) they must be equal too. The best score wins, then the lowest
+    adaptation id. Methods: identifier, title (equal), similar_title, unmatched.
     """
     none = F.lit("")
     b = books.withColumns(
@@ -324,33 +328,48 @@ def adaptation_fuzzy_join(
         norm_title_nfkd(F.col(adaptation_title)).alias("title"),
         F.col(adaptation_year).alias("year"),
         (authors[1] if authors else none).alias("author"),
+        (identifiers[1] if identifiers else F.lit(None)).cast("string").alias("_key"),
     )
-    left = b.select(F.col("_t").alias("title"), F.col("_y").alias("year"), F.col("_a").alias("author"))
+    by_key = F.lit(False)
+    if identifiers:
+        first = F.min(F.struct("_id", "adaptation_title"))["adaptation_title"].alias("_known_title")
+        known = m.filter("_key is not null").groupBy("_key").agg(first, F.lit(True).alias("_known"))
+        b = b.withColumn("_key", identifiers[0].cast("string"))
+        b = lookup_join(b, materialize(known, "identifiers"), ["_key"], row_id=[book_id]).drop("_key")
+        b = materialize(b.withColumn("_known", F.coalesce("_known", F.lit(False))), "books-by-identifier")
+        by_key = F.col("_known")
+    left = b.filter(~by_key).select(F.col("_t").alias("title"), F.col("_y").alias("year"), F.col("_a").alias("author"))
     left = left.filter("title <> ''").distinct()
     right = m.filter("title <> ''").groupBy("title", "year", "author").agg(F.min("_id").alias("_id"))
     pairs = _jaro_winkler_pairs(materialize(left, "books"), materialize(right, "adaptations"), threshold, tolerance)
     best = keep_best_per_key(
-        pairs.select(
-            F.col("l_title").alias("_t"), F.col("l_year").alias("_y"), F.col("l_author").alias("_a"), "score", F.col("r__id").alias("_id")
-        ),
+        pairs.select(F.col("title").alias("_t"), F.col("year").alias("_y"), F.col("author").alias("_a"), "score", "_id"),
         ["_t", "_y", "_a"],
         [F.desc("score"), F.asc("_id")],
     )
     # A null year is a value of its own here; the lookup needs keys without nulls.
     unknown = F.coalesce("_y", F.lit(-(2**31)))
-    best = best.withColumn("_y", unknown).drop("score")
-    best = best.join(m.select("_id", "adaptation_title"), "_id").select("_t", "_y", "_a", "adaptation_title")
+    method = F.when(F.col("score") == 1, "title").otherwise("similar_title").alias("match_method")
+    best = best.withColumn("_y", unknown).join(m.select("_id", "adaptation_title"), "_id")
+    best = best.select("_t", "_y", "_a", "adaptation_title", method)
     found = lookup_join(
         b.withColumn("_y", unknown), materialize(best, "best-adaptations"), ["_t", "_y", "_a"], row_id=[book_id]
     )
-    flag = F.col("adaptation_title").isNotNull().cast("int")
-    return found.withColumn("adapted_to_screen", flag).drop("_t", "_y", "_a")
+    if identifiers:
+        title = F.when(by_key, F.col("_known_title")).otherwise(F.col("adaptation_title"))
+        found = found.withColumns(
+            {"adaptation_title": title, "match_method": F.when(by_key, "identifier").otherwise(F.col("match_method"))}
+        ).drop("_known", "_known_title")
+    flag = F.col("match_method").isNotNull().cast("int")
+    method = F.coalesce("match_method", F.lit("unmatched"))
+    return found.withColumns({"adapted_to_screen": flag, "match_method": method}).drop("_t", "_y", "_a")
 
 
 def _jaro_winkler_pairs(left: DataFrame, right: DataFrame, threshold: float, tolerance: int) -> DataFrame:
-    """Pairs (title, year, author) that reach the threshold within the year tolerance.
+    """Rows (title, year, author) of the left side with the ``_id`` and ``score`` of every right row that
+    reaches the threshold within the year tolerance.
 
-    A common prefix of p <= 4 characters lifts Jaro j to j + 0.1 p (1 - j). With c matching
+    Titles are compared once per pair and author, whatever number of years they come with. A common prefix of p <= 4 characters lifts Jaro j to j + 0.1 p (1 - j). With c matching
     characters of lengths m and n, 3 j - 1 <= c / m + c / n. Pairs that agree in the first two
     characters meet on these; all others have p <= 1, so j is high enough for a prefix filter on
     their rarest letters.
@@ -371,7 +390,6 @@ def _jaro_winkler_pairs(left: DataFrame, right: DataFrame, threshold: float, tol
         return materialize(side.join(ranked, "title").withColumn("rarest", rarest), "letters")
 
     ranked_l, ranked_r = _rank_tokens(titles_l, titles_r)
-    l, r = prepared(left, ranked_l), prepared(right, ranked_r)
 
     # Years within the tolerance fall into one of two neighbouring bands; unknown years meet all.
     width = 2 * tolerance
@@ -386,11 +404,12 @@ def _jaro_winkler_pairs(left: DataFrame, right: DataFrame, threshold: float, tol
         F.array_distinct(F.array(band(year - tolerance), band(year + tolerance), unknown))
     )
 
-    def postings(side: DataFrame, bands: Column) -> DataFrame:
+    def postings(side: DataFrame, bands: Column, ranked: DataFrame) -> DataFrame:
+        side = prepared(side.select("title", "author", F.explode(bands).alias("_band")).distinct(), ranked)
         start = F.when(F.length("title") >= 2, F.array(F.concat(F.lit("2:"), F.substring("title", 1, 2))))
         rare = F.transform("rarest", lambda t: F.concat(F.lit("r:"), t))
         blocks = F.concat(F.coalesce(start, F.array().cast("array<string>")), rare)
-        out = side.withColumn("_block", F.explode(blocks)).withColumn("_band", F.explode(bands))
+        out = side.withColumn("_block", F.explode(blocks))
         return out.withColumn("key", F.concat_ws("\u0004", "author", "_band", "_block")).drop("_band")
 
     same_start = F.coalesce(
@@ -405,7 +424,13 @@ def _jaro_winkler_pairs(left: DataFrame, right: DataFrame, threshold: float, tol
         & (F.col("l__block") == F.concat(F.lit("r:"), _first_shared()))
         & (reach >= need_low)
     )
-    near = F.col("l_year").isNull() | F.col("r_year").isNull() | (F.abs(F.col("l_year") - F.col("r_year")) <= tolerance)
-    pairs = _tiled_join(postings(l, left_bands), postings(r, right_bands), near & (by_start | by_letter))
-    scored = pairs.withColumn("score", jaro_winkler_score("l_title", "r_title"))
-    return scored.filter(F.col("score") >= threshold)
+    met = _tiled_join(postings(left, left_bands, ranked_l), postings(right, right_bands, ranked_r), by_start | by_letter)
+    met = met.select("l_title", "r_title", F.col("l_author").alias("author")).distinct()
+    met = materialize(met.repartition(_parts(left), "l_title", "r_title"), "title-pairs")
+    scored = met.withColumn("score", jaro_winkler_score("l_title", "r_title")).filter(F.col("score") >= threshold)
+    scored = materialize(scored, "similar-titles")
+    books = left.select(F.col("title").alias("l_title"), "author", "year")
+    films = right.select(F.col("title").alias("r_title"), "author", F.col("year").alias("_year"), "_id")
+    near = F.col("year").isNull() | F.col("_year").isNull() | (F.abs(F.col("year") - F.col("_year")) <= tolerance)
+    rows = scored.join(books, ["l_title", "author"]).join(films, ["r_title", "author"]).filter(near)
+    return rows.select(F.col("l_title").alias("title"), "year", "author", "score", "_id")

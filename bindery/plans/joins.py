@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindery.functions.isbn import norm_isbn10_loose
+from bindery.functions.isbn import norm_isbn10_loose, norm_isbn13_loose
 from bindery.functions.text import norm_author, norm_text_ascii, norm_title
 from bindery.operators import fuzzy, keyed, linkage, projection
 from bindery.operators.history import author_cells, rank_features
@@ -409,28 +409,35 @@ def _(t):
 
 
 _MOVIE = """case when p_size % 3 = 0 then 'The ' || p_name || 's' when p_size % 3 = 1 then upper(p_name) else substr(p_name, 1, length(p_name) - 1) end"""
-_MOVIES = f"SELECT p_partkey AS movie_id, {_MOVIE} AS movie, CASE WHEN p_partkey % 6 <> 0 THEN 1950 + p_size END AS my FROM part WHERE p_size > 35"
+# Every ninth film has the ISBN of another book, with hyphens; every fourth book has lost its own.
+_MOVIE_ISBN = f"case when p_partkey % 9 = 0 then '978-' || lpad(cast(p_partkey * 7 % 1000 as string), 9, '0') || '-7' end"
+_BOOK_ISBN = "case when p_partkey % 4 <> 0 then '978' || lpad(cast(p_partkey % 1000 as string), 9, '0') || '7.0' end"
+_MOVIES = f"SELECT p_partkey AS movie_id, {_MOVIE} AS movie, CASE WHEN p_partkey % 6 <> 0 THEN 1950 + p_size END AS my, replace({_MOVIE_ISBN}, '-', '') AS isbn FROM part WHERE p_size > 35"
 
 
 @query(
     "adaptation_fuzzy_join",
     f"""WITH m AS (SELECT *, regexp_replace(lower(movie), '^the ', '') AS mt FROM ({_MOVIES})),
- b AS (SELECT p_partkey, p_name AS t, CASE WHEN p_partkey % 7 <> 0 THEN 1990 + p_size % 20 END AS y FROM part),
+ b AS (SELECT p_partkey, p_name AS t, CASE WHEN p_partkey % 7 <> 0 THEN 1990 + p_size % 20 END AS y, replace({_BOOK_ISBN}, '.0', '') AS isbn FROM part),
+ k AS (SELECT isbn, arg_min(movie, movie_id) AS movie FROM m WHERE isbn IS NOT NULL GROUP BY isbn),
  s AS (SELECT t, mt, jaro_winkler_similarity(t, mt) AS s FROM (SELECT DISTINCT t FROM b) CROSS JOIN (SELECT DISTINCT mt FROM m)),
- c AS (SELECT p_partkey, movie, row_number() OVER (PARTITION BY p_partkey ORDER BY s DESC, movie_id) AS rn FROM b JOIN s USING (t) JOIN m USING (mt)
+ c AS (SELECT p_partkey, movie, s, row_number() OVER (PARTITION BY p_partkey ORDER BY s DESC, movie_id) AS rn FROM b JOIN s USING (t) JOIN m USING (mt)
  WHERE s >= 0.9 AND (y IS NULL OR my IS NULL OR abs(y - my) <= 5))
- SELECT b.p_partkey, movie AS adaptation_title, CAST(CASE WHEN movie IS NULL THEN 0 ELSE 1 END AS INT) AS adapted_to_screen
- FROM b LEFT JOIN (SELECT * FROM c WHERE rn = 1) c ON c.p_partkey = b.p_partkey""",
+ SELECT b.p_partkey, coalesce(k.movie, c.movie) AS adaptation_title, CAST(CASE WHEN k.movie IS NULL AND c.movie IS NULL THEN 0 ELSE 1 END AS INT) AS adapted_to_screen,
+ CASE WHEN k.movie IS NOT NULL THEN 'identifier' WHEN c.s = 1 THEN 'title' WHEN c.s < 1 THEN 'similar_title' ELSE 'unmatched' END AS match_method
+ FROM b LEFT JOIN k ON k.isbn = b.isbn LEFT JOIN (SELECT * FROM c WHERE rn = 1) c ON c.p_partkey = b.p_partkey""",
 )
 def _(t):
     year = F.when(F.col("p_partkey") % 7 != 0, F.lit(1990) + F.col("p_size") % 20)
-    b = t.part.select("p_partkey", "p_name", year.alias("y"))
+    b = t.part.select("p_partkey", "p_name", year.alias("y"), F.expr(_BOOK_ISBN).alias("isbn"))
     movies = t.part.filter("p_size > 35").select(
         F.col("p_partkey").alias("movie_id"), F.expr(_MOVIE).alias("movie"),
         F.when(F.col("p_partkey") % 6 != 0, F.lit(1950) + F.col("p_size")).alias("my"),
+        F.expr(_MOVIE_ISBN).alias("film_isbn"),
     )
     out = fuzzy.adaptation_fuzzy_join(
         b, movies, book_id="p_partkey", book_title="p_name", book_year="y",
         adaptation_id="movie_id", adaptation_title="movie", adaptation_year="my",
+        identifiers=(norm_isbn13_loose(F.col("isbn")), norm_isbn13_loose(F.col("film_isbn"))),
     )
-    return out.select("p_partkey", "adaptation_title", "adapted_to_screen")
+    return out.select("p_partkey", "adaptation_title", "adapted_to_screen", "match_method")

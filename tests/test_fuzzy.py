@@ -156,6 +156,50 @@ def test_adaptations_with_authors(spark):
     assert {r["id"]: r["adapted_to_screen"] for r in out.collect()} == {1: 0, 2: 1}
 
 
+def test_adaptations_by_identifier_first(spark):
+    """An identifier beats a better title, ends the search for its book only, and null identifiers match nothing."""
+    books = spark.createDataFrame(
+        [(1, "Dune", 1965, "978A"), (2, "Dune", 1965, None), (3, "Emma", None, "978B"), (4, "Emna", 1815, "978C"), (5, "Zed", 1, None)],
+        "id long, t string, y int, isbn string",
+    )
+    films = spark.createDataFrame(
+        [(7, "Dune", 1966, None), (8, "Sand", 1984, "978A"), (9, "Sand II", 1985, "978A"), (6, "Emma", 1817, None), (5, None, None, "978B")],
+        "fid long, ft string, fy int, fisbn string",
+    )
+    out = fuzzy.adaptation_fuzzy_join(
+        books, films, book_id="id", book_title="t", book_year="y", adaptation_id="fid", adaptation_title="ft",
+        adaptation_year="fy", threshold=0.85, identifiers=(F.col("isbn"), F.col("fisbn")),
+    )
+    assert out.columns == ["id", "t", "y", "isbn", "adaptation_title", "match_method", "adapted_to_screen"]
+    assert {r["id"]: (r["match_method"], r["adaptation_title"], r["adapted_to_screen"]) for r in out.collect()} == {
+        1: ("identifier", "Sand", 1), 2: ("title", "Dune", 1), 3: ("identifier", None, 1),
+        4: ("similar_title", "Emma", 1), 5: ("unmatched", None, 0),
+    }
+
+
+def test_titles_are_compared_once_whatever_their_years(spark, monkeypatch):
+    """Pairs that reach the scorer don't grow with the number of years per title."""
+    sizes = []
+    write = fuzzy.materialize
+
+    def counted(df, name="stage", **options):
+        out = write(df, name, **options)
+        if name == "title-pairs":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(fuzzy, "materialize", counted)
+    for years in (1, 12):
+        films = [(100 * i + y, t, 1950 + y) for i, t in enumerate(("dark tower", "red dragon", "blue moon")) for y in range(years)]
+        books = [(100 * i + y, t, 1950 + y) for i, t in enumerate(("dark towers", "red dragons", "dark river")) for y in range(years)]
+        out = fuzzy.adaptation_fuzzy_join(
+            spark.createDataFrame(books, "id long, t string, y int"), spark.createDataFrame(films, "f long, ft string, fy int"),
+            book_id="id", book_title="t", book_year="y", adaptation_id="f", adaptation_title="ft", adaptation_year="fy",
+        )
+        assert out.filter("adapted_to_screen = 1").count() == 2 * years
+    assert sizes[0] == sizes[1] <= 9
+
+
 def test_lcs_of_long_and_empty_texts():
     rnd = random.Random(3)
     sizes = [0, 1, 5, 63, 64, 65, 128, 200]
