@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from bindery.functions.isbn import norm_isbn10_loose, norm_isbn13_loose
@@ -9,6 +10,7 @@ from bindery.functions.text import norm_author, norm_text_ascii, norm_title
 from bindery.operators import fuzzy, keyed, linkage, projection
 from bindery.operators.history import author_cells, rank_features
 from bindery.plans.registry import BOOKS, MESSY_SQL, books, messy_isbn, query, r6
+from bindery.session import scratch_path
 
 _LOOSE = "regexp_replace(upper(split_part(trim({c}), '.', 1)), '[^0-9X]', '', 'g')"
 
@@ -329,17 +331,40 @@ def _(t):
     """WITH w AS (SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id % 2 = 0 AND event_type = 'signup' AND value > 120)),
  a AS (SELECT user_id, CAST(max(event_id) AS VARCHAR) AS v FROM events WHERE event_type = 'error' AND value > 120 GROUP BY 1),
  b AS (SELECT user_id, CAST(min(event_id) AS VARCHAR) AS v FROM events WHERE event_type = 'click' AND value > 100 GROUP BY 1)
- SELECT w.user_id, coalesce(a.v, b.v) AS publisher, CASE WHEN a.v IS NOT NULL THEN 'first' WHEN b.v IS NOT NULL THEN 'second' ELSE 'missing' END AS publisher_source
+ SELECT w.user_id, coalesce(a.v, b.v) AS publisher, CASE WHEN a.v IS NOT NULL THEN 'first' WHEN b.v IS NOT NULL THEN 'second' ELSE 'missing' END AS publisher_source, CAST(1 AS BIGINT) AS times
  FROM w LEFT JOIN a USING (user_id) LEFT JOIN b USING (user_id)""",
 )
 def _(t):
-    from bindery.streaming.incremental import incremental_cache
+    """Keys that come in two deliveries; the run over the second one breaks off once, before its first commit."""
+    from bindery.streaming.incremental import grow_cache
 
     e = t.events
     cache = e.filter("event_id % 2 = 0 and event_type = 'signup' and value > 120").select("user_id").distinct()
     first = e.filter("event_type = 'error' and value > 120").groupBy("user_id").agg(F.max("event_id").cast("string").alias("publisher"))
     second = e.filter("event_type = 'click' and value > 100").groupBy("user_id").agg(F.min("event_id").cast("string").alias("publisher"))
-    return incremental_cache(e, cache, "user_id", "publisher", [("first", first), ("second", second)])
+    wanted, folder = scratch_path(t.spark, "wanted"), scratch_path(t.spark, "cache")
+
+    def deliver(rest: int) -> None:
+        e.filter(F.col("event_id") % 2 == rest).select("user_id").repartition(2).write.mode("append").parquet(wanted)
+
+    def run(flushed=None):
+        sources = [("first", first), ("second", second)]
+        return grow_cache(
+            t.spark, wanted, folder, "user_id", "publisher", sources, known=cache, files_per_batch=2, flushed=flushed
+        )
+
+    def lost(number: int) -> None:
+        raise ConnectionError(f"lost after batch {number} was written")
+
+    deliver(0)
+    run()
+    deliver(1)
+    try:
+        run(lost)
+    except StreamingQueryException:
+        pass
+    rows = run().groupBy("user_id", "publisher", "publisher_source").agg(F.count("*").alias("times"))
+    return rows
 
 
 # --- fuzzy joins -------------------------------------------------------------------------------

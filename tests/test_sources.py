@@ -2,10 +2,12 @@
 
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
 
 from bindery import schemas
 from bindery.sources import files, sinks
-from bindery.streaming.incremental import append_to_cache, incremental_cache
+from bindery.streaming.incremental import append_to_cache, grow_cache, incremental_cache
 
 
 def test_keyed_maps_and_their_keys(spark, tmp_path):
@@ -81,3 +83,38 @@ def test_cache_grows_by_new_keys_only(spark, tmp_path):
         append_to_cache(fresh, path)
     rows = sorted(tuple(r) for r in spark.read.parquet(path).select(*schema.replace(" string", "").split(", ")).fillna("-").collect())
     assert rows == [("1", "old", "first"), ("2", "two", "second"), ("3", "-", "missing")]
+
+
+def test_cache_grows_over_failed_runs(spark, tmp_path):
+    """Broken off before and after a batch is written, and run again: every key once, values as of its batch."""
+    wanted, folder = str(tmp_path / "wanted"), str(tmp_path / "cache")
+    source = spark.createDataFrame([(k, f"v{k}") for k in range(0, 40, 2)], "k long, v string")
+    known = spark.createDataFrame([(3,), (4,)], "k long")
+
+    def deliver(keys):
+        spark.createDataFrame([(k,) for k in keys], "k long").coalesce(1).write.mode("append").parquet(wanted)
+
+    def run(flushed=None):
+        return grow_cache(spark, wanted, folder, "k", "v", [("s", source)], known=known, files_per_batch=1, flushed=flushed)
+
+    def broken(number):
+        raise RuntimeError("lost")
+
+    deliver([1, 2, 2, None])
+    deliver([2, 3, 4, 5])
+    got = run()
+    assert {(r["k"], r["v"], r["v_source"]) for r in got.collect()} == {(1, None, "missing"), (2, "v2", "s"), (5, None, "missing")}
+    deliver([5, 6])
+    for _ in range(2):  # written both times, committed neither time
+        with pytest.raises(StreamingQueryException):
+            run(broken)
+    deliver([6, 7])
+    rows = [(r["k"], r["v"]) for r in run().orderBy("k").collect()]
+    assert rows == [(1, None), (2, "v2"), (5, None), (6, "v6"), (7, None)]
+    # A batch that was written but whose commit was lost is run again and replaced.
+    last = max((tmp_path / "cache/checkpoint/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    again = run()
+    assert [(r["k"], r["v"]) for r in again.orderBy("k").collect()] == rows
+    assert run().count() == len(rows)
