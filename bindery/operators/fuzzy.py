@@ -176,22 +176,27 @@ def similar_titles(left: DataFrame, right: DataFrame, lowest: int) -> DataFrame:
 
     With L the common subsequence of lengths m and n, the score asks for L >= h (m + n), where
     h = (lowest - 0.5) / 200. Every inserted character breaks at most one bigram and every deleted
-    one at most two, so with end marks the strings share at least 3 L - (m + n) + 1 bigrams.
+    one at most two, so with end marks the strings share at least 3 L - (m + n) + 1 bigrams. Scores of
+    67 or less guarantee none; there the postings are letters, of which L are shared.
     """
     h = (lowest - 0.5) / 200
-    if 3 * h <= 1:
-        raise ValueError("a title score this low guarantees no shared bigram")
-    slope = (3 * h - 1) / (1 - h)  # fewest shared bigrams per character, over all fitting lengths
+    if h <= 0:
+        raise ValueError("a title score of 0 asks for nothing in common")
+    by_letter = 3 * h <= 1
+    # Fewest shared tokens per character, over all fitting lengths: n is at least m h / (1 - h).
+    slope = (h if by_letter else 3 * h - 1) / (1 - h)
 
     def titles(df: DataFrame) -> DataFrame:
         distinct = materialize(df.select("title").filter("title <> ''").distinct(), "distinct-titles")
-        return distinct.withColumn("tokens", bigram_tokens(F.col("title")))
+        tokens = letter_tokens if by_letter else bigram_tokens
+        return distinct.withColumn("tokens", tokens(F.col("title")))
 
     def with_prefix(df: DataFrame) -> DataFrame:
         m = F.length("title")
-        shared = F.ceil(m * slope + 1 - 1e-9)
-        rarest = F.slice(F.col("tokens"), F.lit(1), (m + 2 - shared).cast("int"))
-        bits = _bitmap(F.col("tokens"), "bigram") | _bitmap(letter_tokens(F.col("title")), "letter")
+        shared = F.ceil(m * slope + (0 if by_letter else 1) - 1e-9)
+        rarest = F.slice(F.col("tokens"), F.lit(1), (F.size("tokens") + 1 - shared).cast("int"))
+        title = F.col("title")
+        bits = _bitmap(bigram_tokens(title), "bigram") | _bitmap(letter_tokens(title), "letter")
         kept = [rarest.alias("rarest"), m.alias("len"), *[c.alias(k) for k, c in bits.items()]]
         return materialize(df.select("title", *kept), "titles")
 
@@ -374,18 +379,19 @@ def _jaro_winkler_pairs(left: DataFrame, right: DataFrame, threshold: float, tol
     characters meet on these; all others have p <= 1, so j is high enough for a prefix filter on
     their rarest letters.
     """
-    jaro_any = max((threshold - 0.4) / 0.6, 0.0)
-    jaro_low = (threshold - 0.1) / 0.9
+    if threshold <= 0:
+        raise ValueError("a similarity of 0 asks for nothing in common")
+    # Only a Jaro similarity above 0.7 is lifted, so up to there the threshold holds for it as it is.
+    jaro_any, jaro_low = (max(0.7, (threshold - x) / (1 - x)) if threshold > 0.7 else threshold for x in (0.4, 0.1))
     need_any, need_low = 3 * jaro_any - 1, 3 * jaro_low - 1
-    if need_low <= 1:
-        raise ValueError("a similarity this low guarantees no shared letters")
     titles_l, titles_r = (
         side.select("title").distinct().withColumn("tokens", letter_tokens(F.col("title"))) for side in (left, right)
     )
 
     def prepared(side: DataFrame, ranked: DataFrame) -> DataFrame:
         m = F.length("title")
-        fewest = F.ceil(m * (need_low - 1) - 1e-9)  # over all lengths that can reach the threshold
+        # Over all lengths that can reach the threshold; any similarity takes one letter.
+        fewest = F.greatest(F.ceil(m * (need_low - 1) - 1e-9), F.lit(1))
         rarest = F.slice(F.col("tokens"), F.lit(1), (m + 1 - fewest).cast("int"))
         return materialize(side.join(ranked, "title").withColumn("rarest", rarest), "letters")
 

@@ -106,11 +106,39 @@ def test_pairs_down_to_the_loosest_threshold(spark):
     """Every pair of short strings, where a guaranteed shared bigram is hardest."""
     texts = sorted({a + b + c + d for a in ["", "a", "b"] for b in ["", "b"] for c in ["a", "c"] for d in ["", "a", "cc"]})
     df = spark.createDataFrame([(x,) for x in texts], "title string")
-    for lowest in (68, 79, 95):
+    for lowest in (1, 35, 50, 60, 67, 68, 78, 79, 95):
         got = {(r[0], r[1]) for r in fuzzy.similar_titles(df, df, lowest).select("l_title", "r_title").collect()}
         assert got == {(x, y) for x in texts for y in texts if round(ratio(x, y)) >= lowest}
     with pytest.raises(ValueError):
-        fuzzy.similar_titles(df, df, 60)
+        fuzzy.similar_titles(df, df, 0)
+
+
+def test_pairs_of_mixed_titles_at_loose_thresholds(spark):
+    texts = sorted({t for _, t, _ in rows(90, 8) if t})
+    df = spark.createDataFrame([(x,) for x in texts], "title string")
+    for lowest in (50, 64, 72):
+        got = {(r[0], r[1]) for r in fuzzy.similar_titles(df, df, lowest).select("l_title", "r_title").collect()}
+        assert got == {(x, y) for x in texts for y in texts if round(ratio(x, y)) >= lowest}
+
+
+def test_adaptations_down_to_any_similarity(spark):
+    rnd = random.Random(21)
+    names = sorted({"".join(rnd.choices("abcde ", k=rnd.randint(1, 9))).strip() for _ in range(60)} - {"", "a", "an"})
+    names = [n for n in names if not n.startswith(("a ", "an ")) and "  " not in n]
+    books, films = names[::2], names[1::2]
+    b = spark.createDataFrame([(i, t, None) for i, t in enumerate(books)], "id long, t string, y int")
+    f = spark.createDataFrame([(i, t, None) for i, t in enumerate(films)], "f long, ft string, fy int")
+    for threshold in (0.2, 0.45, 0.7, 0.71, 0.8):
+        out = fuzzy.adaptation_fuzzy_join(
+            b, f, book_id="id", book_title="t", book_year="y", adaptation_id="f", adaptation_title="ft",
+            adaptation_year="fy", threshold=threshold,
+        )
+        want = {}
+        for i, t in enumerate(books):
+            scores = jaro_winkler([t] * len(films), films)
+            k = int(scores.argmax())
+            want[i] = films[k] if scores[k] >= threshold else None
+        assert {r["id"]: r["adaptation_title"] for r in out.collect()} == want
 
 
 @pytest.mark.parametrize("tile", [2000, 15])
