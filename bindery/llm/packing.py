@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -140,24 +140,27 @@ def places(bins: list[tuple[np.ndarray, int]], lengths: int) -> dict[str, list[n
 # --- documents to pieces ----------------------------------------------------------------------
 
 
-def load_encoder(vocabulary: str, pattern: str):
-    """The byte-level BPE vocabulary as ranks. Special tokens are ordinary text."""
+def load_encoder(vocabulary: str, pattern: str, specials: Mapping[str, int] | None = None):
+    """The byte-level BPE vocabulary as ranks, with the special tokens that texts may hold."""
     import tiktoken
 
     with open(vocabulary, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(specials or {}))
 
 
-def _cutter(vocabulary: str, pattern: str, capacity: int, end_id: int):
+def _cutter(vocabulary: str, pattern: str, capacity: int, end_id: int, specials: Mapping[str, int]):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        encoder = load_encoder(vocabulary, pattern)
+        encoder = load_encoder(vocabulary, pattern, specials)
         for batch in slices(batches, "_text"):
             out = {"_row": [], "_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
             for row, key, text in zip(*(batch.column(c).to_pylist() for c in ("_row", "_id", "_text"))):
-                ids = np.array([*encoder.encode_ordinary(text or ""), end_id], "<u4")
+                text = text or ""
+                marked = any(s in text for s in specials)
+                ids = encoder.encode(text, allowed_special="all") if marked else encoder.encode_ordinary(text)
+                ids = np.array([*ids, end_id], "<u4")
                 first = len(ids) % capacity or capacity
                 for piece, end in enumerate(range(first, len(ids) + 1, capacity)):
                     part = ids[max(0, end - capacity) if piece else 0 : end]
@@ -190,14 +193,14 @@ def _placer(runs: dict[str, list[np.ndarray]]):
 
 def cut_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, row: str | None = None,
-    vocabulary: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID,
+    vocabulary: str, pattern: str, specials: Mapping[str, int] | None = None, capacity: int = CAPACITY, end_id: int = END_ID,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids: _row, _id, piece, start, length, ids_crc32."""
     texts = docs.select(
         row_number(row).alias("_row"), F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")
     )
     schema = "_row long, _id long, piece int, start long, length long, ids_crc32 long"
-    return texts.mapInArrow(_cutter(vocabulary, pattern, capacity, end_id), schema)
+    return texts.mapInArrow(_cutter(vocabulary, pattern, capacity, end_id, dict(specials or {})), schema)
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -223,18 +226,22 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def best_fit_pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, row: str | None = None,
-    vocabulary: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID,
+    vocabulary: str, pattern: str, specials: Mapping[str, int] | None = None, capacity: int = CAPACITY, end_id: int = END_ID,
 ) -> DataFrame:
     """Pack all documents into as few sequences of at most ``capacity`` ids as the program finds.
 
     A document is its ids and ``end_id``; null text counts as empty, so every row has at least one id.
+    The ``specials`` (text to id) are single ids wherever a text holds them; all else is ordinary text.
     Only longer documents are cut, into full pieces after a first piece that may be shorter. Pieces of
     a sequence lie without gaps from 0. Repeated rows are packed as often as they occur; an empty table
     gives an empty result. Columns: ``id_col``, piece, start, length, ids_crc32, sequence_id, offset,
     and ``row`` where given.
     """
     pieces = keep(
-        cut_documents(docs, id_col, text_col, row=row, vocabulary=vocabulary, pattern=pattern, capacity=capacity, end_id=end_id),
+        cut_documents(
+            docs, id_col, text_col, row=row, vocabulary=vocabulary, pattern=pattern, specials=specials,
+            capacity=capacity, end_id=end_id,
+        ),
         "pieces",
     )
     packed = pack_pieces(pieces, capacity)

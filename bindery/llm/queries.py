@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,9 +120,17 @@ def vocabulary() -> dict[str, str]:
     return {"vocabulary": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
+def special_tokens() -> dict[str, int]:
+    """The special tokens that the tokenizer finds in texts, whether or not it adds its own."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 @query("op1_best_fit_packing")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    return best_fit_pack(table(spark, folder, "documents"), **vocabulary())
+    return best_fit_pack(table(spark, folder, "documents"), **vocabulary(), specials=special_tokens())
 
 
 @query(

@@ -15,7 +15,7 @@ from bindery.llm.mixing import mix_sources
 from bindery.llm.neardup import near_duplicates
 from bindery.llm.packing import best_fit_pack
 from bindery.llm.quality import quality_scores
-from bindery.llm.queries import table, vocabulary
+from bindery.llm.queries import special_tokens, table, vocabulary
 from bindery.llm.stages import WORD, keep
 
 
@@ -75,7 +75,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 1024 tokens."""
-    return best_fit_pack(docs, **vocabulary())
+    return best_fit_pack(docs, **vocabulary(), specials=special_tokens())
 
 
 STAGES = [

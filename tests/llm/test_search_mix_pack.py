@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from bindery.llm import packing
 from bindery.llm.mixing import mix_sources, permuted, source_targets
-from bindery.llm.queries import QUERIES, vocabulary
+from bindery.llm.queries import QUERIES, special_tokens, vocabulary
 from bindery.llm.topk import top_k
 
 from .conftest import frame
@@ -150,7 +150,6 @@ def encoded(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
 
 
@@ -175,8 +174,11 @@ def check_packing(out, texts):
 
 
 def test_packing(spark, messy_rows, none):
-    rows = [(k, t, None, None) for k, (_, t, *_) in enumerate(messy_rows)] + [(900, "<|endoftext|> x", None, None)]
-    out = packing.best_fit_pack(frame(spark, rows), **vocabulary()).collect()
+    marked = ["<|endoftext|> x", "a <|endoftext|> b", "in<|endoftext|>side", "x\n<|endoftext|>", "<|endoftext|>" * 3, "<|endoftext|", "é<|endoftext|>1 2"]
+    rows = [(k, t, None, None) for k, (_, t, *_) in enumerate(messy_rows)]
+    rows += [(900 + k, t, None, None) for k, t in enumerate(marked)]
+    assert 50256 in encoded(marked[2]) and 50256 not in encoded(marked[5])
+    out = packing.best_fit_pack(frame(spark, rows), **vocabulary(), specials=special_tokens()).collect()
     check_packing(out, {i: t for i, t, *_ in rows})
     total = sum(r["length"] for r in out)
     assert len({r["sequence_id"] for r in out}) <= -(-total // 1024) + 2
