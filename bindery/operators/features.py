@@ -185,3 +185,44 @@ def fit_text_vectors(df: DataFrame, text: str, size: int = 4096) -> TextVectors:
     counts = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_words", outputCol="_tf")
     counted = counts.transform(df.select(_words(F.col(text)).alias("_words")))
     return TextVectors(text, counts, IDF(inputCol="_tf", outputCol="vector").fit(counted))
+
+
+PLACES = 4  # columns that one word adds to
+_DIGITS = 8  # hexadecimal digits of a word's digest per place
+
+
+def projected_vectors(df: DataFrame, key: str, text: str, size: int = 384) -> DataFrame:
+    """Dense vectors from the texts themselves: ``key`` and ``vector``, an array of ``size`` whole numbers.
+
+    A sparse random projection of the term weights (count x inverse document frequency, in thousandths):
+    every word adds its weight, with a sign of its own, to ``PLACES`` columns that its digest names. So no
+    vocabulary is kept and no word is left out, and inner products are those of the term weights up to
+    the noise of the projection. ``key`` is unique and not null. Accolades are removed first. Null
+    and blank texts get the zero vector.
+
+    The words of a text are counted before they meet the table of frequencies, and meet it through
+    :func:`lookup_join`, so a word of every text is spread over the tasks.
+    """
+    counted = df.select(key, F.explode(_words(F.col(text))).alias("word")).groupBy(key, "word")
+    counted = materialize(counted.agg(F.count("*").alias("_n")), "word-counts")
+    texts = F.lit(df.count() + 1)
+    held = counted.groupBy("word").agg(F.count("*").alias("_df"))
+    rarity = held.select("word", F.ln(texts / (F.col("_df") + 1)).alias("_rarity"))
+    found = lookup_join(counted, materialize(rarity, "word-rarity"), ["word"], row_id=[key, "word"])
+    weight = F.round(F.lit(1000.0) * F.col("_n") * F.col("_rarity")).cast("long")
+
+    def place(i: int) -> Column:
+        number = F.conv(F.substring("_digest", 1 + _DIGITS * i, _DIGITS), 16, 10).cast("long")
+        sign = F.when(number >= 1 << 4 * _DIGITS - 1, F.lit(1)).otherwise(F.lit(-1))
+        return F.struct((number % size).cast("int").alias("at"), sign.alias("sign"))
+
+    spread = found.select(key, weight.alias("_w"), F.md5(F.col("word").cast("binary")).alias("_digest"))
+    spread = spread.filter("_w <> 0").select(key, "_w", F.explode(F.array(*[place(i) for i in range(PLACES)])).alias("_p"))
+    sums = spread.groupBy(key, F.col("_p.at").alias("at")).agg(F.sum(F.col("_w") * F.col("_p.sign")).alias("v"))
+    cells = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("_cells"))
+    filled = F.transform(
+        F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("_cells", i), F.lit(0).cast("long"))
+    )
+    zero = F.array_repeat(F.lit(0).cast("long"), size)
+    joined = df.select(key).join(cells, key, "left")
+    return joined.select(key, F.when(F.col("_cells").isNull(), zero).otherwise(filled).alias("vector"))

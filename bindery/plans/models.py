@@ -88,18 +88,37 @@ def _(t):
     """WITH x AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\b(new york times|bestseller|best seller|award-winning|award winning|national bestseller)\\b', '', 'gi') AS t FROM documents),
  w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(t), '[^\\p{L}\\p{N}'']+'), lambda w: w <> '')) AS word FROM x),
  c AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY ALL),
- v AS (SELECT word, count(*) AS df FROM c GROUP BY 1 ORDER BY df DESC, word LIMIT 256)
+ v AS (SELECT word, count(*) AS df FROM c GROUP BY 1 ORDER BY df DESC, word LIMIT 4096)
  SELECT doc_id, word, round(n * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 4) AS weight FROM c JOIN v USING (word)
  WHERE df < (SELECT count(*) FROM documents)""",
 )
 def _(t):
-    model = features.fit_text_vectors(t.documents, "text", 256)
+    model = features.fit_text_vectors(t.documents, "text")
     out = model.transform(t.documents.select("doc_id", "text"))
-    names = F.array(*[F.lit(w) for w in model.vocabulary])
-    cells = out.select("doc_id", F.posexplode(vector_to_array("vector")).alias("at", "weight")).filter("weight <> 0")
+    names = F.split(F.lit("\n".join(model.vocabulary)), "\n")
+    entries = F.explode(F.arrays_zip(F.unwrap_udt("vector")["indices"], F.unwrap_udt("vector")["values"])).alias("e")
+    cells = out.select("doc_id", entries).select("doc_id", F.col("e.0").alias("at"), F.col("e.1").alias("weight"))
+    cells = cells.filter("weight <> 0")
     return rounded(cells.select("doc_id", F.get(names, F.col("at")).alias("word"), "weight"), "weight", digits=4)
 
 
+@query(
+    "text_vectors_projected",
+    """WITH x AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\b(new york times|bestseller|best seller|award-winning|award winning|national bestseller)\\b', '', 'gi') AS t FROM documents),
+ w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(t), '[^\\p{L}\\p{N}'']+'), lambda w: w <> '')) AS word FROM x),
+ c AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY ALL),
+ f AS (SELECT word, md5(word) AS h, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS rarity FROM c GROUP BY word),
+ p AS (SELECT doc_id, CAST(round(1000.0 * n * rarity) AS BIGINT) AS v, CAST('0x' || substr(h, 1 + 8 * i, 8) AS BIGINT) AS k FROM c JOIN f USING (word), range(4) r(i)),
+ s AS (SELECT doc_id, k % 384 AS c, CAST(sum(CASE WHEN k >= 2147483648 THEN v ELSE -v END) AS BIGINT) AS v FROM p GROUP BY ALL)
+ SELECT d.doc_id, """
+    + ", ".join(f"coalesce(max(v) FILTER (c = {i}), 0) AS desc_emb_{i}" for i in range(384))
+    + " FROM documents d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id",
+)
+def _(t):
+    out = features.projected_vectors(t.documents, "doc_id", "text")
+    return out.select("doc_id", *[F.get("vector", F.lit(i)).alias(f"desc_emb_{i}") for i in range(384)])
+
+
 @query(
     "build_all_features",
     f"""WITH st AS ({_STRUCTURAL}), se AS ({_SENTIMENT}) SELECT st.*, coalesce(desc_neg, 0) AS desc_neg, coalesce(desc_neu, 0) AS desc_neu, coalesce(desc_pos, 0) AS desc_pos,

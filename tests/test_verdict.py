@@ -74,3 +74,22 @@ def test_drop_correlated_on_the_training_rows_and_decimals(spark):
     )
     assert features.drop_correlated(rows, exclude=["id"]).columns == ["id", "a", "c"]
     assert features.drop_correlated(rows, exclude=["id"], fit_on=rows.filter("id < 50")).columns == ["id", "a"]
+
+
+def test_projected_vectors(spark):
+    """Zero for null and blank texts; whole for all others; like texts are nearer than unlike ones."""
+    texts = [
+        None, "", " \n", "a bestseller!", "red dragon of the north", "Red dragon, red dragon of the north", "seven blue moons over town",
+        "word " * 3 + "red", " ".join(f"w{i}" for i in range(3000)),
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string").withColumn("word", F.lit("clash"))
+    got = {r["k"]: r["vector"] for r in features.projected_vectors(df, "k", "t", 64).collect()}
+    assert sorted(got) == list(range(len(texts))) and all(len(v) == 64 for v in got.values())
+    assert all(not any(got[k]) for k in (0, 1, 2)) and all(any(got[k]) for k in (3, 4, 5, 6, 8))
+
+    def cosine(a, b):
+        dot = sum(x * y for x, y in zip(a, b))
+        return dot / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+
+    assert cosine(got[4], got[5]) > 0.8 > 0.5 > abs(cosine(got[4], got[6]))
+    assert features.projected_vectors(df.limit(0), "k", "t", 64).count() == 0
