@@ -1,13 +1,20 @@
-"""Data-quality checks. Each returns its violations; an empty result means the check holds."""
+"""Data-quality checks.
+
+The ``expect_`` functions return their violations; an empty result means the check holds. A
+:class:`WriteCheck` is judged by numbers that :func:`checked_write` gathers while it writes the table, so
+any number of them costs no pass of its own.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bindery.operators.keyed import keep_best_per_key
+from bindery.session import discard, materialize
 
 
 class CheckFailed(AssertionError):
@@ -63,3 +70,58 @@ def expect_debut_zero(df: DataFrame, author: str, year: str, prior: str, row_id:
     known = df.filter(F.col(author).isNotNull())
     first = keep_best_per_key(known, [author], [F.col(year).asc_nulls_last(), F.col(row_id).asc()])
     return first.filter(F.col(prior) > 0)
+
+
+# --- checks in the write itself ----------------------------------------------------------------
+
+
+class WriteCheck(NamedTuple):
+    """Aggregates over the rows written, and whether their values are as they should be."""
+
+    message: str
+    metrics: Mapping[str, Column]
+    holds: Callable[[Mapping[str, object]], bool]
+
+
+def _key_metrics(keys: Sequence[str]) -> dict[str, Column]:
+    """The number of rows, and sums of two hashes of their keys: equal for equal collections of keys."""
+    return {"n_rows": F.count(F.lit(1))} | {
+        f"keys_{i}": F.coalesce(F.sum(F.xxhash64(F.lit(i), *keys).cast("decimal(38,0)")), F.lit(0)) for i in (1, 2)
+    }
+
+
+def keeps_keys(before: DataFrame, keys: Sequence[str]) -> WriteCheck:
+    """Every key is written as often as ``before`` has it: no row lost, added or doubled.
+
+    Reads the key columns of ``before`` once; nothing is shuffled. Where its keys are unique, so are
+    the written ones. Differing collections pass with a probability of about 2 to the power of -128.
+    """
+    want = before.agg(*[c.alias(n) for n, c in _key_metrics(keys).items()]).first().asDict()
+    return WriteCheck(f"keys {list(keys)} are not those before", _key_metrics(keys), lambda m: all(m[k] == want[k] for k in want))
+
+
+def label_domain(label: str) -> WriteCheck:
+    bad = F.col(label).isNull() | ~F.col(label).isin(0, 1)
+    return WriteCheck(f"{label} must be 0 or 1", {"n_bad_labels": F.count_if(bad)}, lambda m: m["n_bad_labels"] == 0)
+
+
+def min_positives(label: str, minimum: int = 100) -> WriteCheck:
+    positives = {"n_positive": F.count_if(F.col(label) == 1)}
+    return WriteCheck(f"fewer than {minimum} positives", positives, lambda m: m["n_positive"] >= minimum)
+
+
+def checked_write(df: DataFrame, name: str, checks: Sequence[WriteCheck]) -> tuple[DataFrame, dict[str, object]]:
+    """Write ``df`` as a stage and judge the checks by what was written: (the stage, the numbers).
+
+    The numbers are gathered in the tasks that write, so each task counts once, whatever is run again.
+    If a check fails the stage is removed and :class:`CheckFailed` names all that failed.
+    """
+    metrics = {n: c for check in checks for n, c in check.metrics.items()} or {"n_rows": F.count(F.lit(1))}
+    seen = Observation()
+    out = materialize(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), name)
+    numbers = seen.get
+    failed = [check.message for check in checks if not check.holds(numbers)]
+    if failed:
+        discard(out)
+        raise CheckFailed(f"{'; '.join(failed)}: {numbers}")
+    return out, numbers

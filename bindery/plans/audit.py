@@ -542,3 +542,18 @@ def _(t):
     return quality.expect_debut_zero(rows, "o_custkey", "o_orderdate", "prior", "o_orderkey").drop("o_orderdate")
 
 
+
+
+@query(
+    "checked_write",
+    """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad_labels, count(*) FILTER (o_orderstatus = 'F') AS n_positive,
+ CAST(sum(o_totalprice) AS DECIMAL(38, 2)) AS written FROM orders""",
+)
+def _(t):
+    """Orders with their customers, labelled, written once; the checks' numbers come from that write."""
+    label = (F.col("o_orderstatus") == "F").cast("int")
+    rows = t.orders.withColumn("label", label).join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    checks = [quality.keeps_keys(t.orders, ["o_orderkey"]), quality.label_domain("label"), quality.min_positives("label", 10)]
+    out, numbers = quality.checked_write(rows.select("o_orderkey", "o_totalprice", "label"), "checked-orders", checks)
+    seen = [F.lit(numbers[n]).cast("long").alias(n) for n in ("n_rows", "n_bad_labels", "n_positive")]
+    return out.agg(F.sum(F.col("o_totalprice").cast("decimal(20,2)")).cast("decimal(38,2)").alias("written")).select(*seen, "written")

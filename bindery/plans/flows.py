@@ -25,7 +25,7 @@ from bindery.operators.fuzzy import FuzzyRule, fuzzy_title_author_join
 from bindery.operators.keyed import concat_columns, lookup_join
 from bindery.operators.history import agg_weekly_list, rank_features
 from bindery.operators.projection import coalesce_blank_aware, expand_vector, finalize_labels, is_match, map_dictionary
-from bindery.operators.quality import expect_label_domain, expect_row_count, expect_unique, require
+from bindery.operators.quality import checked_write, expect_row_count, expect_unique, keeps_keys, label_domain, require
 from bindery.plans import models
 from bindery.plans.registry import TITLE, messy_isbn, query
 from bindery.session import materialize, scratch_path
@@ -73,11 +73,10 @@ def label_catalogue(books: DataFrame, labels: DataFrame, rule: FuzzyRule = Fuzzy
         merged, found, "gb_id", ["label", "label_id", *DETAILS, "label_title", "label_author"], "label"
     )
     out = finalize_labels(patched, "label", ["weeks_on_list"], DETAILS[1:])
-    out = materialize(out.withColumn("is_match", is_match(F.col("match_method"))), "labelled")
-    require(expect_row_count(books, out), "the number of books changed")
-    require(expect_unique(out, ["gb_id"]), "a book appears twice")
-    require(expect_label_domain(out, "label"), "labels must be 0 or 1")
-    return out
+    out = out.withColumn("is_match", is_match(F.col("match_method")))
+    require(expect_unique(books, ["gb_id"]), "a book appears twice")
+    checks = [keeps_keys(books, ["gb_id"]), label_domain("label")]
+    return checked_write(out, "labelled", checks)[0]
 
 
 def scope_filters(labelled: DataFrame, first_year: int = 1931) -> DataFrame:

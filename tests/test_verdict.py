@@ -93,3 +93,39 @@ def test_projected_vectors(spark):
 
     assert cosine(got[4], got[5]) > 0.8 > 0.5 > abs(cosine(got[4], got[6]))
     assert features.projected_vectors(df.limit(0), "k", "t", 64).count() == 0
+
+
+def test_checks_in_the_write(spark):
+    """Lost, added and doubled keys, bad labels and too few positives fail, with no job beyond the write's."""
+    from bindery.operators import quality
+
+    base = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(None, 0)], "k long, label int")
+    checks = [quality.keeps_keys(base, ["k"]), quality.label_domain("label"), quality.min_positives("label", 20)]
+    out, numbers = quality.checked_write(base.repartition(3), "t", checks)
+    assert out.count() == 51 and (numbers["n_rows"], numbers["n_bad_labels"], numbers["n_positive"]) == (51, 0, 25)
+
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for group, run in (
+        ("plain", lambda: quality.materialize(base.repartition(3), "t")),
+        ("checked", lambda: quality.checked_write(base.repartition(3), "t", checks)),
+    ):
+        spark.sparkContext.setJobGroup(group, group)
+        run()
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+    bad = {
+        "keys": [
+            base.filter("k <> 7 or k is null"), base.union(base.filter("k = 7")), base.filter("k is not null"),
+            base.withColumn("k", F.when(F.col("k") == 7, 8).otherwise(F.col("k"))),
+        ],
+        "label must": [base.withColumn("label", F.when(F.col("k") != 3, F.col("label")).otherwise(2))],
+        "positives": [base.withColumn("label", F.lit(0))],
+    }
+    for message, tables in bad.items():
+        for df in tables:
+            with pytest.raises(quality.CheckFailed, match=message):
+                quality.checked_write(df, "t", checks)
+    empty = base.limit(0)
+    assert quality.checked_write(empty, "t", [quality.keeps_keys(empty, ["k"])])[0].count() == 0
