@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bindery.operators.keyed import append_rows
@@ -110,6 +110,36 @@ def roc_curve(df: DataFrame, label: str, score: str, group: Sequence[str] = ())
     )
 
 
+BLOCK = 4096  # points of a curve looked at in one window
+
+
+def thinned_roc_curve(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
+    """The points of :func:`roc_curve` where the curve bends, and its last one.
+
+    A point between two steps of one direction lies on the line of its neighbours and is left out, so
+    the curve and its area stay the same while runs of one class cost one point. Steps are compared as whole numbers. Points are numbered and dealt
+    in blocks, each with the first step of the next one, so no model is held in one task. Models
+    without positives or negatives have null rates and keep the points where the other rate bends.
+    """
+    group = list(group)
+    counts = _score_counts(df, label, score, group).filter("pos + neg > 0").withColumn("_one", F.lit(1).cast("long"))
+    ranked = running_totals(counts, [F.desc("_score")], ["pos", "neg", "_one"], group)
+    number = F.col("cum__one") - 1
+    block = F.floor(number / BLOCK).cast("long")
+    peeks = F.when((number % BLOCK == 0) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
+    dealt = ranked.withColumn("_at", number).withColumn("_block", F.explode(peeks))
+    ahead = Window.partitionBy(*group, "_block").orderBy("_at")
+    bends = F.col("pos") * F.lead("neg").over(ahead) != F.col("neg") * F.lead("pos").over(ahead)
+    kept = dealt.withColumn("_bends", bends).filter(F.floor(F.col("_at") / BLOCK) == F.col("_block"))
+    ends = F.col("cum__one") == F.col("tot__one")
+    return kept.filter(ends | F.col("_bends")).select(
+        *group,
+        F.col("_score").alias("threshold"),
+        F.try_divide("cum_neg", "tot_neg").alias("fpr"),
+        F.try_divide("cum_pos", "tot_pos").alias("tpr"),
+    )
+
+
 def naive_baselines(df: DataFrame, label: str) -> DataFrame:
     """The floors every model is shown against: always 0 and always 1."""
     rows = [

@@ -285,6 +285,20 @@ def _(t):
     return rounded(evaluate.roc_curve(rows.select("y", "m.*"), "y", "s", ["model"]), "fpr", "tpr")
 
 
+@query(
+    "roc_curve_thinned",
+    f"""WITH d AS (SELECT m AS model, CASE WHEN m = 'a' THEN s ELSE -s END AS s, y FROM {_SCORED}, (SELECT unnest(['a', 'b']) AS m)),
+ g AS (SELECT model, s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg FROM d GROUP BY 1, 2),
+ p AS (SELECT model, s AS threshold, round(sum(neg) OVER w / sum(neg) OVER (PARTITION BY model), 6) AS fpr, round(sum(pos) OVER w / sum(pos) OVER (PARTITION BY model), 6) AS tpr,
+ pos * lead(neg) OVER o IS DISTINCT FROM neg * lead(pos) OVER o OR lead(s) OVER o IS NULL AS kept
+ FROM g WINDOW w AS (PARTITION BY model ORDER BY s DESC ROWS UNBOUNDED PRECEDING), o AS (PARTITION BY model ORDER BY s DESC))
+ SELECT model, threshold, fpr, tpr FROM p WHERE kept""",
+)
+def _(t):
+    rows = _scored(t).select("y", F.explode(F.array(F.struct(F.lit("a").alias("model"), F.col("s").alias("s")), F.struct(F.lit("b").alias("model"), (-F.col("s")).alias("s")))).alias("m"))
+    return rounded(evaluate.thinned_roc_curve(rows.select("y", "m.*"), "y", "s", ["model"]), "fpr", "tpr")
+
+
 # --- training ------------------------------------------------------------------------------------
 
 INPUTS = ["n_words", "mean_word", "share_punct", "share_upper", "repeats", "known_words"]

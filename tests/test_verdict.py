@@ -129,3 +129,35 @@ def test_checks_in_the_write(spark):
                 quality.checked_write(df, "t", checks)
     empty = base.limit(0)
     assert quality.checked_write(empty, "t", [quality.keeps_keys(empty, ["k"])])[0].count() == 0
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_thinned_curve(spark, monkeypatch, block):
+    """Only bends are left, also where blocks meet; the area is that of all points."""
+    import random
+
+    from bindery.operators import evaluate
+
+    monkeypatch.setattr(evaluate, "BLOCK", block)
+    rng = random.Random(3)
+    rows = [("r", float(rng.randrange(60)), rng.randrange(2)) for _ in range(300)]  # ties
+    rows += [("s", float(i), int(i >= 50)) for i in range(100)] + [("one", float(i), 1) for i in range(9)] + [("r", None, 1)]
+    df = spark.createDataFrame(rows, "m string, s double, y int")
+    full, thin = (
+        {m: [] for m in ("r", "s", "one")} for _ in range(2)
+    )
+    for points, curve in ((full, evaluate.roc_curve), (thin, evaluate.thinned_roc_curve)):
+        for r in curve(df, "y", "s", ["m"]).collect():
+            points[r["m"]].append((r["threshold"], r["fpr"], r["tpr"]))
+
+    def area(points):
+        way = [(0.0, 0.0)] + [(x, y) for _, x, y in sorted(points, reverse=True)]
+        return sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(way, way[1:]))
+
+    assert [(x, y) for _, x, y in sorted(thin["s"], reverse=True)] == [(0.0, 1.0), (1.0, 1.0)]
+    assert thin["one"] == [(0.0, None, 1.0)]
+    assert set(thin["r"]) <= set(full["r"]) and abs(area(thin["r"]) - area(full["r"])) < 1e-12
+    way = [(0.0, 0.0)] + [(x, y) for _, x, y in sorted(thin["r"], reverse=True)]
+    for a, b, c in zip(way, way[1:], way[2:]):  # no point on the line of its neighbours
+        assert abs((b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0])) > 1e-12
+    assert evaluate.thinned_roc_curve(df.limit(0), "y", "s", ["m"]).count() == 0
