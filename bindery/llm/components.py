@@ -54,8 +54,10 @@ def linked_roots(
     """
     buckets = signed.select("_row", F.explode(F.array_distinct("_bands")).alias("_band"))
     sizes = buckets.groupBy("_band").agg(F.count("*").alias("_size"), F.min("_row").alias("_pivot"))
-    shared = sizes.filter("_size > 1").select("_band", "_pivot")
+    # Written on its own, so that the shuffles of all bands for the counts and for the join don't stand side by side.
+    shared = keep(sizes.filter("_size > 1").select("_band", "_pivot"), "shared-bands")
     met = keep(buckets.join(shared.hint("merge"), "_band").select("_band", "_row", "_pivot"), "buckets")
+    discard(shared)
     star = met.filter("_row <> _pivot").select(F.col("_pivot").alias("a"), F.col("_row").alias("b")).distinct()
     links = verified(star)
     roots = components(links)

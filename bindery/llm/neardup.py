@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from bindery.llm.components import linked_roots
 from bindery.llm.stages import keep, row_number, slices
 from bindery.llm.words import mix, shingle_sets, split_words, super_minhash
+from bindery.operators.keyed import lookup_join
 from bindery.session import discard
 
 BANDS, ROWS = 48, 6
@@ -20,16 +21,19 @@ SHINGLE = 5
 THRESHOLD = 80  # percent
 TILE = 512  # rows and members compared in one task
 
+# Sets of hashes of texts, one after another, with the first place of each.
+Sets = Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
 
-def _texts(batch: pa.RecordBatch | pa.Table, column: str = "_text") -> list[bytes]:
+
+def _lowered(texts: list[str | None]) -> list[bytes]:
     """UTF-8 texts with A-Z in lower case; null is empty."""
-    return [(t or "").encode("utf-8", "surrogatepass").lower() for t in batch.column(column).to_pylist()]
+    return [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
 
 
 def _signer(n: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            values, first = shingle_sets(split_words(_texts(batch)), n)
+            values, first = _word_sets(n)(batch.column("_text").to_pylist())
             signature = super_minhash(values, first, bands * rows).reshape(-1, bands, rows)
             keys = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), signature.shape[:2])
             for i in range(rows):
@@ -48,15 +52,20 @@ def _signer(n: int, bands: int, rows: int):
     return sign
 
 
-def _verifier(n: int, threshold: int):
+def _word_sets(n: int):
+    """Distinct ``n``-word shingles per text, sorted."""
+    return lambda texts: shingle_sets(split_words(_lowered(texts)), n)
+
+
+def _verifier(sets: Sets, threshold: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             # Rows come in the order of a, so the hub of many pairs is shingled once per batch.
             other = batch.column("_other").to_pylist()
             hubs = list(dict.fromkeys(other))
             place = {t: i for i, t in enumerate(hubs)}
-            right, at = shingle_sets(split_words([(t or "").encode("utf-8", "surrogatepass").lower() for t in hubs]), n)
-            left, first = shingle_sets(split_words(_texts(batch)), n)
+            right, at = sets(hubs)
+            left, first = sets(batch.column("_text").to_pylist())
             linked = []
             for i, t in enumerate(other):
                 x, y = left[first[i] : first[i + 1]], right[at[place[t]] : at[place[t] + 1]]
@@ -69,13 +78,13 @@ def _verifier(n: int, threshold: int):
     return verify
 
 
-def _linked_tile(n: int, threshold: int, connected: bool):
+def _linked_tile(sets: Sets, threshold: int, connected: bool):
     """Links between the rows and the members of one tile, by their full sets; one per row if the
     members are connected already."""
 
     def link(rows: pa.Table, members: pa.Table) -> pa.Table:
-        left, at = shingle_sets(split_words(_texts(rows, "_text_a")), n)
-        right, first = shingle_sets(split_words(_texts(members, "_text_b")), n)
+        left, at = sets(rows.column("_text_a").to_pylist())
+        right, first = sets(members.column("_text_b").to_pylist())
         sizes = np.diff(first)
         a, b = rows.column("a").to_numpy(), members.column("b").to_numpy()
         links = []
@@ -91,8 +100,8 @@ def _linked_tile(n: int, threshold: int, connected: bool):
     return link
 
 
-def _crossed(
-    rows: DataFrame, members: DataFrame, connected: bool, texts: DataFrame, n: int, threshold: int
+def crossed_links(
+    rows: DataFrame, members: DataFrame, connected: bool, texts: DataFrame, sets: Sets, threshold: int
 ) -> DataFrame:
     """Links between rows (a, _other) and the members (_other, b) of component _other, tile by tile."""
     sizes = rows.groupBy("_other").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_i")).join(
@@ -112,7 +121,7 @@ def _crossed(
 
     left = dealt(rows, "a", "_i", "_j", ["_component", "_ri", "_rj"])
     right = dealt(members, "b", "_j", "_i", ["_of", "_mi", "_mj"])
-    links = keep(left.cogroup(right).applyInArrow(_linked_tile(n, threshold, connected), "a long, b long"), "links")
+    links = keep(left.cogroup(right).applyInArrow(_linked_tile(sets, threshold, connected), "a long, b long"), "links")
     discard(some)
     return links
 
@@ -152,12 +161,14 @@ def near_duplicates(
     signed = keep(texts.select("_row", "_text").mapInArrow(_signer(n, bands, rows), schema), "signatures")
 
     stand = signed.filter("_n > 0").groupBy("_same").agg(F.min("_row").alias("_class"))
-    members = keep(signed.filter("_n > 0").join(stand, "_same").select("_row", "_class"), "classes")
+    named = lookup_join(signed.filter("_n > 0").select("_row", "_same"), stand, ["_same"], row_id=["_row"])
+    members = keep(named.select("_row", "_class"), "classes")
     standing = signed.join(members.filter("_row = _class"), "_row", "left_semi").select("_row", "_bands")
+    sets = _word_sets(n)
     roots = linked_roots(
         standing,
-        lambda pairs: _verified(pairs, signed.select("_row", "_n"), texts, n, threshold),
-        lambda a, b, connected: _crossed(a, b, connected, texts, n, threshold),
+        lambda pairs: verified_links(pairs, signed.select("_row", "_n"), texts, sets, threshold),
+        lambda a, b, connected: crossed_links(a, b, connected, texts, sets, threshold),
     )
 
     classed = signed.select("_row", "_n").join(members, "_row", "left")
@@ -167,7 +178,7 @@ def near_duplicates(
     out = keep(rooted.join(texts.select("_row", "_id"), "_row"), "rooted")
     least = F.min(F.struct(F.col("_id").isNull().alias("n"), "_id", "_row"))
     lowest = out.groupBy("_root").agg(least.alias("_least"))
-    return out.join(lowest, "_root").select(
+    return lookup_join(out, lowest, ["_root"], row_id=["_row"]).select(
         *([F.col("_row").alias(row)] if row else []),
         F.col("_id").alias(id_col),
         "n_shingles",
@@ -182,19 +193,27 @@ def _asked(texts: DataFrame, rows: DataFrame) -> DataFrame:
     return keep(texts.select("_row", "_text").join(rows.distinct().hint("merge"), "_row", "left_semi"), "asked-texts")
 
 
-def _verified(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, n: int, threshold: int) -> DataFrame:
+def verified_links(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, sets: Sets, threshold: int) -> DataFrame:
     """Pairs (a, b) of rows whose full shingle sets are similar enough.
 
-    The sizes of two sets alone rule out most pairs, before any text is moved.
+    The sizes of two sets alone rule out most pairs, before any text is moved. The text of a row with
+    many pairs is sent once per ``TILE`` pairs, so that they spread over tasks.
     """
     one = sizes.select(F.col("_row").alias("a"), F.col("_n").alias("_na"))
     two = sizes.select(F.col("_row").alias("b"), F.col("_n").alias("_nb"))
     fits = F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * threshold
-    pairs = keep(pairs.join(one, "a").join(two, "b").filter(fits).select("a", "b"), "pairs")
+    pairs = lookup_join(pairs.join(two, "b"), one, ["a"], row_id=["b"])
+    pairs = keep(pairs.filter(fits).select("a", "b"), "pairs")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_parts"))
+    hubs = keep(parts.filter("_parts > 1"), "hubs")
     some = _asked(texts, pairs.select(F.explode(F.array("a", "b")).alias("_row")))
-    first = some.select(F.col("_row").alias("a"), F.col("_text").alias("_other"))
+    part = F.pmod(F.xxhash64("b"), F.coalesce("_parts", F.lit(1))).cast("int").alias("_part")
+    dealt = lookup_join(pairs, hubs, ["a"], row_id=["b"]).select("a", "b", part)
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part")
+    first = some.select(F.col("_row").alias("a"), F.col("_text").alias("_other")).join(hubs, "a", "left")
     second = some.select(F.col("_row").alias("b"), "_text")
-    both = pairs.join(second, "b").join(first, "a").select("a", "b", "_text", "_other")
-    links = keep(both.mapInArrow(_verifier(n, threshold), "a long, b long"), "links")
-    discard(pairs, some)
+    both = dealt.join(second, "b").join(first.select("a", copies, "_other"), ["a", "_part"])
+    both = both.select("a", "b", "_text", "_other")
+    links = keep(both.mapInArrow(_verifier(sets, threshold), "a long, b long"), "links")
+    discard(pairs, some, hubs)
     return links
