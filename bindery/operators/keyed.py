@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bindery.operators import bloom
+
 HOT_SHARE = 0.001  # a key above this share of the rows is hot; so at most 1 / HOT_SHARE keys are
 SPREAD = 4096
 
@@ -105,8 +107,8 @@ def key_difference(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def filter_in_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Membership in a distributed key set."""
-    return df.join(keys.select(*on).distinct(), list(on), "left_semi")
+    """Membership in a distributed key set; a Bloom filter of it keeps other rows out of the shuffle."""
+    return bloom.semi_join(df, keys, on)
 
 
 def append_rows(*tables: DataFrame) -> DataFrame:

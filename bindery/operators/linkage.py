@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bindery.functions.isbn import norm_isbn10_loose, norm_isbn13_loose
 from bindery.functions.text import first_author_key, norm_author, norm_title, strip
+from bindery.operators.bloom import anti_join
 from bindery.operators.keyed import hot_keys, keep_best_per_key, lookup_join
 from bindery.operators.projection import coalesce_blank_aware
 from bindery.session import materialize
@@ -132,9 +133,8 @@ def exact_key_merge(
 def anti_consumed_labels(labels: DataFrame, merged: DataFrame, key: str) -> DataFrame:
     """Label rows whose key the exact pass did not use; rows without a key stay."""
     used = merged.filter(F.col("match_method") == "exact_isbn").select(key).distinct()
-    # Rows without a key take no part in the join, where they would all meet in one task.
-    keyed = labels.filter(F.col(key).isNotNull()).join(used, key, "left_anti")
-    return keyed.unionByName(labels.filter(F.col(key).isNull()))
+    # Rows without a key, or ruled out by the filter, take no part in the join's shuffle.
+    return anti_join(labels, materialize(used, "used-keys"), [key])
 
 
 def apply_match_patch(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bindery.functions.text import parse_str_list, strip
-from bindery.operators.keyed import keep_best_per_key
+from bindery.operators.keyed import filter_in_keys, keep_best_per_key
 from bindery.operators.projection import standardize_names
 
 KEYED_MAP_SUFFIX = "_com_norm.json"
@@ -94,7 +94,7 @@ def scan_jsonl_semi(
     schema = T.StructType([T.StructField(f, T.StringType()) for f in [key, *fields]])
     df = spark.read.schema(schema).json(path)
     df = df.select(*[strip(F.coalesce(c, F.lit(""))).alias(c) for c in [key, *fields]])
-    df = df.filter(F.col(key) != "").join(keys.select(key).distinct(), key, "left_semi")
+    df = filter_in_keys(df.filter(F.col(key) != ""), keys, [key])
     order = [F.desc(F.length(longest)), *[F.asc(f) for f in fields]]
     return keep_best_per_key(df, [key], order)
 
