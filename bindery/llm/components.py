@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindery.llm.stages import keep
+from bindery.operators.bloom import bloom_filter
 from bindery.session import discard
 
 
@@ -53,11 +54,17 @@ def linked_roots(
     checked or connected already, and a bucket of copies costs pairs in proportion to its size.
     """
     buckets = signed.select("_row", F.explode(F.array_distinct("_bands")).alias("_band"))
-    sizes = buckets.groupBy("_band").agg(F.count("*").alias("_size"), F.min("_row").alias("_pivot"))
-    # Written on its own, so that the shuffles of all bands for the counts and for the join don't stand side by side.
-    shared = keep(sizes.filter("_size > 1").select("_band", "_pivot"), "shared-bands")
-    met = keep(buckets.join(shared.hint("merge"), "_band").select("_band", "_row", "_pivot"), "buckets")
-    discard(shared)
+    # Most bands are held by one row. A count of 48 bits of each names a superset of the others, and a
+    # filter of those keeps the rest out of every later shuffle.
+    cell = F.shiftright("_band", 16).alias("_cell")
+    cells = buckets.groupBy(cell).agg(F.count("*").alias("_n")).filter("_n > 1").select("_cell")
+    cells = keep(cells, "shared-cells")
+    likely = bloom_filter(cells, ["_cell"]).possible(buckets.withColumn("_cell", cell), ["_cell"])
+    likely = keep(likely.select("_band", "_row"), "likely-buckets")
+    sizes = likely.groupBy("_band").agg(F.count("*").alias("_size"), F.min("_row").alias("_pivot"))
+    shared = sizes.filter("_size > 1").select("_band", "_pivot")
+    met = keep(likely.join(shared.hint("merge"), "_band").select("_band", "_row", "_pivot"), "buckets")
+    discard(likely, cells)
     star = met.filter("_row <> _pivot").select(F.col("_pivot").alias("a"), F.col("_row").alias("b")).distinct()
     links = verified(star)
     roots = components(links)
@@ -75,13 +82,15 @@ def linked_roots(
     crowds = sizes.filter(F.col("_n") > CROWD).select("_band")
     crowd = alone.join(crowds, "_band")
     few = sizes.filter(F.col("_n") <= CROWD).select("_band")
-    # Half of each key tells the first shared band, at half the bytes.
-    halves = signed.select("_row", F.transform("_bands", lambda x: F.shiftright(x, 32).cast("int")).alias("_bands"))
-    alone = keep(alone.join(few.hint("merge"), "_band", "left_semi").join(halves.hint("merge"), "_row"), "alone")
-    left = alone.select("_band", F.col("_row").alias("a"), F.col("_bands").alias("_x"))
-    right = alone.select(F.col("_band").alias("_same"), F.col("_row").alias("b"), F.col("_bands").alias("_y"))
+    alone = keep(alone.join(few.hint("merge"), "_band", "left_semi"), "alone")
+    # Half of each key tells the first band two rows meet in, at half the bytes.
+    half = F.shiftright("_band", 32).cast("int")
+    halves = alone.groupBy("_row").agg(F.collect_list(half).alias("_bands"))
+    met_alone = alone.join(halves.hint("merge"), "_row")
+    left = met_alone.select("_band", F.col("_row").alias("a"), F.col("_bands").alias("_x"))
+    right = met_alone.select(F.col("_band").alias("_same"), F.col("_row").alias("b"), F.col("_bands").alias("_y"))
     first = F.get(F.array_intersect("_x", "_y"), 0)
-    once = (F.col("a") < F.col("b")) & (first == F.shiftright("_band", 32).cast("int"))
+    once = (F.col("a") < F.col("b")) & (first == half)
     single = left.join(right, (F.col("_band") == F.col("_same")) & once).select("a", "b")
 
     holders = rooted.select("_band", "_root", "_linked").distinct()

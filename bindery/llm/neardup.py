@@ -193,17 +193,20 @@ def _asked(texts: DataFrame, rows: DataFrame) -> DataFrame:
     return keep(texts.select("_row", "_text").join(rows.distinct().hint("merge"), "_row", "left_semi"), "asked-texts")
 
 
-def verified_links(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, sets: Sets, threshold: int) -> DataFrame:
+def verified_links(
+    pairs: DataFrame, sizes: DataFrame | None, texts: DataFrame, sets: Sets, threshold: int
+) -> DataFrame:
     """Pairs (a, b) of rows whose full shingle sets are similar enough.
 
-    The sizes of two sets alone rule out most pairs, before any text is moved. The text of a row with
+    The sizes of two sets (_row, _n), where given, rule out most pairs before any text is moved. The text of a row with
     many pairs is sent once per ``TILE`` pairs, so that they spread over tasks.
     """
-    one = sizes.select(F.col("_row").alias("a"), F.col("_n").alias("_na"))
-    two = sizes.select(F.col("_row").alias("b"), F.col("_n").alias("_nb"))
-    fits = F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * threshold
-    pairs = lookup_join(pairs.join(two, "b"), one, ["a"], row_id=["b"])
-    pairs = keep(pairs.filter(fits).select("a", "b"), "pairs")
+    if sizes is not None:
+        one = sizes.select(F.col("_row").alias("a"), F.col("_n").alias("_na"))
+        two = sizes.select(F.col("_row").alias("b"), F.col("_n").alias("_nb"))
+        fits = F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * threshold
+        pairs = lookup_join(pairs.join(two, "b"), one, ["a"], row_id=["b"]).filter(fits)
+    pairs = keep(pairs.select("a", "b"), "pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_parts"))
     hubs = keep(parts.filter("_parts > 1"), "hubs")
     some = _asked(texts, pairs.select(F.explode(F.array("a", "b")).alias("_row")))

@@ -104,8 +104,11 @@ def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
         values.append(grams(own, len(own), len(own)))
         owner.append(np.array([i]))
     values, owner = np.concatenate(values), np.concatenate(owner)
-    order = np.lexsort((values, owner))
+    order = np.argsort(owner, kind="stable")
     values, owner = values[order], owner[order]
+    at = np.searchsorted(owner, np.arange(len(counts) + 1))
+    for a, b in zip(at[:-1], at[1:]):
+        values[a:b].sort()
     fresh = np.ones(len(values), bool)
     fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
     return values[fresh], np.searchsorted(owner[fresh], np.arange(len(counts) + 1))
