@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from bindery.llm.components import linked_roots
 from bindery.llm.stages import keep, row_number, slices
 from bindery.llm.words import mix, shingle_sets, split_words, super_minhash
+from bindery.operators.bloom import semi_join
 from bindery.operators.keyed import lookup_join
 from bindery.session import discard
 
@@ -189,8 +190,8 @@ def near_duplicates(
 
 
 def _asked(texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """The texts of the given rows, written once: later joins move these few only."""
-    return keep(texts.select("_row", "_text").join(rows.distinct().hint("merge"), "_row", "left_semi"), "asked-texts")
+    """The texts of the given rows, written once. A filter of the rows keeps all other texts where they are."""
+    return keep(semi_join(texts.select("_row", "_text"), keep(rows.distinct(), "asked"), ["_row"]), "asked-texts")
 
 
 def verified_links(
