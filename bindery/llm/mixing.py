@@ -1,17 +1,17 @@
 """Mixing sources to target weights, in DataFrame functions only.
 
-The words of a source form one stream, cut into blocks of fixed length. A permutation of all output
-slots deals the slots to the sources, so that the counts per output shard are multinomial counts
-conditioned on the sources' totals: an unconditioned draw would miss a small target by the root of
-its size. The draws of a source run through its own permutation of block indexes, pass by pass, and
-blocks are joined by index.
+The words of a source form one stream, cut into blocks of fixed length. Every slot of an output shard
+draws a source, which gives multinomial counts per shard. A source's draws are numbered along the
+shards; numbers beyond its planned draws, all in the last shards that hold it, go to the sources that
+were drawn too seldom, as plain draws would miss a small target by the root of its size. Numbers run
+through the source's own permutation of block indexes, pass by pass, and blocks are joined by index.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bindery.llm.stages import keep, n_words, row_number
@@ -23,14 +23,17 @@ REPEATS = 3
 BLOCK = 64
 SHARD = 1024
 ROUNDS = 4
-EXPLODE = 4096
+CELLS = 4096  # parts of the range a slot draws from, to look its source up by
+TASK_SLOTS = 1 << 18
+FEW_SOURCES = 100_000  # up to so many, the ranges of the sources are broadcast: some 4 MB
 
 
 def permuted(index: Column, size: Column, seed: Column) -> Column:
     """A pseudorandom permutation of 0..size-1, as an expression.
 
     A Feistel network with addition on a x b cells, the smallest near-square with at least ``size``
-    cells; an index that leaves the range walks on along its cycle, which comes back to it.
+    cells; an index that leaves the range walks on along its cycle, which comes back to it after at
+    most all cells out of range. Those are fewer than the root of ``size``, so few indexes walk.
     """
     a = F.greatest(F.ceil(F.sqrt(size.cast("double"))), F.lit(1)).cast("long")
     b = F.ceil(size / a).cast("long")
@@ -45,7 +48,8 @@ def permuted(index: Column, size: Column, seed: Column) -> Column:
         return left * b + right
 
     first = once(index)
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(64)), first, lambda x, _: F.when(x < size, x).otherwise(once(x)))
+    steps = F.sequence(F.lit(1).cast("long"), F.greatest(a * b - size, F.lit(1).cast("long")))
+    walk = F.aggregate(steps, first, lambda x, _: F.when(x < size, x).otherwise(once(x)))
     return F.when(first < size, first).otherwise(walk)
 
 
@@ -157,19 +161,77 @@ def mix_sources(
 
 def _slots(dealt: DataFrame, seed: int, shard: int) -> DataFrame:
     """One row per output slot: its source, the pass and the block it holds."""
-    ranges = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_draws") - 1, F.lit(EXPLODE).cast("long")))
-    spread = (
-        dealt.filter("_draws > 0")
-        .withColumns({"_from": F.col("cum__draws") - F.col("_draws"), "_first": ranges})
-        .repartition(F.xxhash64("source_no", "_first"))
+    spark = dealt.sparkSession
+    dealt = keep(dealt.withColumn("_from", F.col("cum__draws") - F.col("_draws")).filter("_draws > 0"), "dealt")
+    total, n_sources = dealt.agg(F.coalesce(F.sum("_draws"), F.lit(0)), F.count("*")).first()
+    tasks = max(spark.sparkContext.defaultParallelism, total // TASK_SLOTS)
+    ranges = keep(_settled(_drawn(dealt, seed, shard, total, n_sources, tasks), dealt), "shard-ranges")
+    filled = ranges.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    if filled != total:
+        raise RuntimeError(f"{filled} slots are filled, not {total}")
+    # A shard has at most ``shard`` ranges, and a few short rows make many slots: dealt to a number of tasks.
+    before = Window.partitionBy("shard").orderBy("source_no", "_first").rowsBetween(Window.unboundedPreceding, -1)
+    each = (
+        ranges.repartition(tasks, "shard")
+        .withColumn("_place", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")))
+        .withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+        .withColumn("_draw", F.col("_first") + F.col("_i"))
     )
-    until = F.least(F.col("_first") + EXPLODE, F.col("_draws")) - 1
-    each = spread.withColumn("_draw", F.explode(F.sequence("_first", until)))
-    slot = permuted(F.col("_from") + F.col("_draw"), F.col("tot__draws"), F.lit(seed))
-    turn = F.floor(F.col("_draw") / F.col("_blocks")).cast("long")
+    start = F.col("shard") * shard
+    here = F.least(F.lit(shard).cast("long"), F.lit(total).cast("long") - start)
+    slot = start + permuted(F.col("_place") + F.col("_i"), here, F.xxhash64(F.lit(seed), "shard"))
+    turn = F.expr("_draw div _blocks")
     block = permuted(F.pmod("_draw", "_blocks"), F.col("_blocks"), F.xxhash64(F.lit(seed), "source_no", "pass"))
     return (
         each.withColumns({"slot": slot, "pass": turn})
-        .withColumns({"shard": F.floor(F.col("slot") / shard).cast("long"), "block": block})
+        .withColumn("block", block)
         .select("source_no", "shard", "slot", "pass", "block")
     )
+
+
+def _drawn(dealt: DataFrame, seed: int, shard: int, total: int, n_sources: int, tasks: int) -> DataFrame:
+    """(shard, source_no, _n): every slot draws one of ``total`` places, of which a source has its draws."""
+    width = max(1, -(-total // CELLS))
+    cells = F.sequence(F.expr(f"_from div {width}"), F.expr(f"(cum__draws - 1) div {width}"))
+    guide = dealt.select("source_no", "_from", F.col("cum__draws").alias("_until"), F.explode(cells).alias("_cell"))
+    if n_sources <= FEW_SOURCES:
+        guide = F.broadcast(guide)
+    last = F.least((F.col("id") + 1) * shard, F.lit(total).cast("long")) - 1
+    slots = dealt.sparkSession.range(0, -(-total // shard), 1, tasks).select(
+        F.col("id").alias("shard"), F.explode(F.sequence(F.col("id") * shard, last)).alias("_slot")
+    )
+    place = F.pmod(F.xxhash64(F.lit(seed), "_slot"), F.lit(max(total, 1)).cast("long"))
+    met = slots.select("shard", place.alias("_at")).withColumn("_in", F.expr(f"_at div {width}"))
+    drawn = met.join(guide, (F.col("_in") == F.col("_cell")) & (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_until")))
+    return drawn.groupBy("shard", "source_no").agg(F.count("*").alias("_n"))
+
+
+def _settled(drawn: DataFrame, dealt: DataFrame) -> DataFrame:
+    """(shard, source_no, _blocks, _first, _n): draws ``_first`` and on of a source, each draw in one shard.
+
+    What a source was drawn too often, in its last shards, goes to sources drawn too seldom: about the root
+    of all slots, unit by unit.
+    """
+    placed = running_totals(drawn, [F.col("shard")], ["_n"], ["source_no"])
+    placed = placed.join(dealt.select("source_no", "_draws", "_blocks"), "source_no")
+    first = F.col("cum__n") - F.col("_n")
+    fits = F.greatest(F.least("cum__n", "_draws") - first, F.lit(0).cast("long"))
+    placed = keep(placed.withColumns({"_first": first, "_fits": fits}), "drawn")
+    own = placed.filter("_fits > 0").select("shard", "source_no", "_blocks", "_first", F.col("_fits").alias("_n"))
+
+    units = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n") - F.col("_fits")))
+    over = placed.filter("_n > _fits").select("shard", "source_no", units.alias("_unit"))
+    over = assign_row_id(over, [F.col("shard"), F.col("source_no"), F.col("_unit")], "_number").select("shard", "_number")
+    totals = placed.groupBy("source_no").agg(F.max("tot__n").alias("_had"))
+    had = F.coalesce("_had", F.lit(0).cast("long"))
+    seldom = dealt.select("source_no", "_draws", "_blocks").join(totals, "source_no", "left").withColumn("_had", had)
+    seldom = seldom.withColumn("_lack", F.col("_draws") - F.col("_had")).filter("_lack > 0")
+    seldom = running_totals(seldom, [F.col("source_no")], ["_lack"])
+    lacking = seldom.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_lack") - 1))).select(
+        "source_no",
+        "_blocks",
+        (F.col("_had") + F.col("_i")).alias("_first"),
+        (F.col("cum__lack") - F.col("_lack") + F.col("_i")).alias("_number"),
+    )
+    given = over.join(lacking.hint("merge"), "_number").withColumn("_n", F.lit(1).cast("long"))
+    return own.unionByName(given.select(*own.columns))

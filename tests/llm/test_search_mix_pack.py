@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bindery.llm import packing
+from bindery.llm import mixing, packing
 from bindery.llm.mixing import mix_sources, permuted, source_targets
 from bindery.llm.queries import QUERIES, special_tokens, vocabulary
 from bindery.llm.topk import top_k
+from bindery.operators.ordered import running_totals
 
 from .conftest import frame
 from .test_dedup import words
@@ -115,6 +116,40 @@ def test_mix(messy, messy_rows):
     assert sorted(map(key, again)) == sorted(map(key, rows))
 
 
+def test_shards_draw_multinomial_counts(spark):
+    """Counts per shard are those of one draw per slot; only surplus draws of the last shards change source."""
+    draws, shard, seed = {0: 700, 1: 3, 2: 0, 3: 297}, 64, 5
+    rows = [(s, 10_000, d) for s, d in draws.items()]
+    dealt = spark.createDataFrame(rows, "source_no long, _blocks long, _draws long")
+    dealt = running_totals(dealt, [F.col("source_no")], ["_draws"])
+    slots = mixing._slots(dealt, seed, shard).collect()
+    assert sorted(r["slot"] for r in slots) == list(range(1000))
+    assert all(r["shard"] == r["slot"] // shard for r in slots)
+    assert Counter(r["source_no"] for r in slots) == Counter({s: d for s, d in draws.items() if d})
+    place = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1000).cast("long"))
+    places = spark.range(1000).select("id", place.alias("u")).collect()
+    drawn = Counter((r["id"] // shard, 0 if r["u"] < 700 else 1 if r["u"] < 703 else 3) for r in places)
+    sums = Counter()
+    for (_, s), n in drawn.items():
+        sums[s] += n
+    surplus = sum(max(sums[s] - draws[s], 0) for s in draws)
+    got = Counter((r["shard"], r["source_no"]) for r in slots)
+    assert surplus > 0 and sum((drawn - got).values()) <= surplus
+    assert len({n for (_, s), n in got.items() if s == 0}) > 4  # no fixed quota per shard
+    kept = {s: 0 for s in draws}
+    for (at, s), n in sorted(drawn.items()):  # a source keeps its draws shard by shard until it has all
+        kept[s] += n
+        assert got[at, s] >= n or kept[s] > draws[s]
+
+
+def test_slots_come_from_many_tasks(spark):
+    dealt = spark.createDataFrame([(0, 1000, 2500), (1, 1000, 700)], "source_no long, _blocks long, _draws long")
+    slots = mixing._slots(running_totals(dealt, [F.col("source_no")], ["_draws"]), 0, 64)
+    sizes = slots.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 3200 / 2
+    assert slots.select("source_no", "pass", "block").distinct().count() == 3200
+
+
 # --- packing -----------------------------------------------------------------------------------
 
 
