@@ -11,9 +11,9 @@ from bindery.operators.keyed import append_rows
 from bindery.operators.ordered import running_totals
 
 
-def _counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def _counts(df: DataFrame, label: str, prediction: str, group: Sequence[str] = ()) -> DataFrame:
     y, p = F.col(label) == 1, F.col(prediction) == 1
-    return df.agg(
+    return df.groupBy(*group).agg(
         F.count_if(y & p).alias("tp"),
         F.count_if(~y & p).alias("fp"),
         F.count_if(y & ~p).alias("fn"),
@@ -43,14 +43,23 @@ def evaluate_predictions(
     df: DataFrame, model: str, label: str, prediction: str, score: str | None = None
 ) -> DataFrame:
     """One row: macro F1, precision and recall of class 1, and ROC-AUC where there is a score."""
-    out = _counts(df, label, prediction).select(
-        F.lit(model).alias("model"),
+    out = _counts(df, label, prediction).select(F.lit(model).alias("model"), *_rates())
+    auc = roc_auc(df, label, score).select("roc_auc").scalar() if score else F.lit(None).cast("double")
+    return out.withColumn("roc_auc", auc)
+
+
+def _rates() -> list[Column]:
+    return [
         ((_f1("tp") + _f1("tn")) / 2).alias("f1_macro"),
         _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         _ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
-    )
-    auc = roc_auc(df, label, score).select("roc_auc").scalar() if score else F.lit(None).cast("double")
-    return out.withColumn("roc_auc", auc)
+    ]
+
+
+def evaluate_by(df: DataFrame, group: Sequence[str], label: str, prediction: str, score: str) -> DataFrame:
+    """The metrics of :func:`evaluate_predictions` per group, such as all models of a search at once."""
+    areas = roc_auc(df, label, score, group)
+    return _counts(df, label, prediction, group).select(*group, *_rates()).join(areas, list(group), "left")
 
 
 def classification_report(df: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions.text import is_boxset
-from bindery.operators.ordered import exact_quantiles
+from bindery.operators.ordered import bracketed_quantiles
 
 
 def filter_min_year_nullsafe(df: DataFrame, year: str, minimum: int = 1931) -> DataFrame:
@@ -35,7 +35,7 @@ def filter_between(df: DataFrame, c: str, low, high, closed: bool = True) -> Dat
 
 def quantile_limit(df: DataFrame, value: str, q: float) -> Column:
     """An exact quantile as a scalar subquery."""
-    return exact_quantiles(df, value, [q]).select("q_0").scalar()
+    return bracketed_quantiles(df, value, [q]).select("q_0").scalar()
 
 
 def cap_at_quantile(df: DataFrame, value: str, reference: DataFrame, q: float = 0.99) -> DataFrame:

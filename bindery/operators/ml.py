@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -11,8 +12,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bindery.operators.evaluate import compare_models, evaluate_predictions
-from bindery.operators.ordered import exact_quantiles
+from bindery.operators.evaluate import compare_models, evaluate_by, evaluate_predictions
+from bindery.operators.keyed import append_rows
+from bindery.operators.ordered import bracketed_quantiles
+from bindery.session import discard, materialize
 
 SEED = 42
 
@@ -31,7 +34,7 @@ def column_medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]
     """Exact medians (one number per column); a column without any value is an error."""
     wide = train.select(*[F.col(c).cast("double").alias(c) for c in columns])
     long = wide.unpivot([], list(columns), "column", "value")
-    found = {r["column"]: r["q_0"] for r in exact_quantiles(long, "value", [0.5], ["column"]).collect()}
+    found = {r["column"]: r["q_0"] for r in bracketed_quantiles(long, "value", [0.5], ["column"]).collect()}
     empty = [c for c in columns if c not in found]
     if empty:
         raise ValueError(f"feature columns without any value: {empty}")
@@ -77,15 +80,22 @@ def _impute_stage(features: Sequence[str], medians: dict[str, float], moments=No
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def _fit(train: DataFrame, features: Sequence[str], label: str, estimator, scale: bool) -> PipelineModel:
+def _prepared(train: DataFrame, features: Sequence[str], label: str, scale: bool) -> tuple[PipelineModel, DataFrame]:
+    """The learned stages before the classifier, and what it is fitted on: features, label and weight."""
     medians = column_medians(train, features)
     moments = column_moments(median_impute(train, medians), features) if scale else None
     impute = _impute_stage(features, medians, moments)
     assemble = VectorAssembler(inputCols=[f"in_{c}" for c in features], outputCol="features")
-    ready = balanced_weights(assemble.transform(impute.transform(train)), label).select("features", label, "weight")
-    ready = ready.withColumn(label, F.col(label).cast("double")).persist()
+    before = PipelineModel([impute, assemble])
+    ready = balanced_weights(before.transform(train), label).select("features", label, "weight")
+    return before, ready.withColumn(label, F.col(label).cast("double"))
+
+
+def _fit(train: DataFrame, features: Sequence[str], label: str, estimator, scale: bool) -> PipelineModel:
+    before, ready = _prepared(train, features, label, scale)
+    ready = ready.persist()
     try:
-        return PipelineModel([impute, assemble, estimator(ready).fit(ready)])
+        return PipelineModel([*before.stages, estimator(ready).fit(ready)])
     finally:
         ready.unpersist()
 
@@ -136,15 +146,16 @@ def random_forest(
     return _fit(train, features, label, estimator, scale=False)
 
 
+def _boosting(label: str, rounds: int, depth: int = 3, rate: float = 0.1) -> GBTClassifier:
+    return GBTClassifier(
+        labelCol=label, weightCol="weight", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED
+    )
+
+
 def gradient_boosting(
     train: DataFrame, features: Sequence[str], label: str, rounds: int = 100, depth: int = 3, rate: float = 0.1
 ) -> PipelineModel:
-    def estimator(_: DataFrame) -> GBTClassifier:
-        return GBTClassifier(
-            labelCol=label, weightCol="weight", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED
-        )
-
-    return _fit(train, features, label, estimator, scale=False)
+    return _fit(train, features, label, lambda _: _boosting(label, rounds, depth, rate), scale=False)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -169,19 +180,39 @@ def temporal_grid_search(
     depths: Sequence[int] = (2, 3, 4),
     rates: Sequence[float] = (0.05, 0.1, 0.2),
     rounds: int = 100,
+    parallelism: int = 3,
 ) -> tuple[PipelineModel, DataFrame]:
     """Boosting parameters chosen on later years of the training rows, then refitted on all of them.
 
-    Returns the model and the table of tried parameters, best macro F1 first.
+    Both parts are prepared and written once; the fits share them, ``parallelism`` at a time. Predictions
+    of all fits are written as one table and evaluated together. Returns the model and the table of tried
+    parameters, best macro F1 first.
     """
     fit_rows, check_rows = year_split(train, year, tune_cutoff)
-    tried = []
-    for depth in depths:
-        for rate in rates:
-            model = gradient_boosting(fit_rows, features, label, rounds, depth, rate)
-            metrics = evaluate_model(model, check_rows, f"depth={depth},rate={rate}", label)
-            tried.append(metrics.withColumns({"depth": F.lit(depth), "rate": F.lit(float(rate))}))
-    table = compare_models(*tried)
+    before, ready = _prepared(fit_rows, features, label, scale=False)
+    ready = materialize(ready, "grid-fit")
+    check = materialize(before.transform(check_rows).select("features", F.col(label).alias("_label")), "grid-check")
+    grid = [(depth, float(rate)) for depth in depths for rate in rates]
+    boosting = _boosting(label, rounds)
+    maps = [{boosting.maxDepth: depth, boosting.stepSize: rate} for depth, rate in grid]
+    fits = boosting.fitMultiple(ready, maps)
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = dict(pool.map(lambda _: next(fits), maps))
+    scored = [
+        score(models[at], check).select(
+            F.lit(f"depth={depth},rate={rate}").alias("model"),
+            F.lit(depth).alias("depth"),
+            F.lit(rate).alias("rate"),
+            "_label",
+            "prediction",
+            "p_positive",
+        )
+        for at, (depth, rate) in enumerate(grid)
+    ]
+    scored = materialize(append_rows(*scored), "grid-predictions")
+    metrics = materialize(evaluate_by(scored, ["model", "depth", "rate"], "_label", "prediction", "p_positive"), "grid")
+    table = compare_models(metrics.select("model", "f1_macro", "precision", "recall", "roc_auc", "depth", "rate"))
+    discard(ready, check, scored)
     best = table.first()
     return gradient_boosting(train, features, label, rounds, best["depth"], best["rate"]), table
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from bindery.functions.text import strip
 from bindery.operators.keyed import lookup_join
-from bindery.operators.ordered import cumulative_share, exact_quantiles
+from bindery.operators.ordered import bracketed_quantiles, cumulative_share
 
 PROBS = (0.25, 0.5, 0.75)
 FAN_IN = 32
@@ -193,7 +193,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], group: Sequence[str]
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(long, "value", PROBS, keys).withColumnsRenamed(
+    quartiles = bracketed_quantiles(long, "value", PROBS, keys).withColumnsRenamed(
         {"q_0": "p25", "q_1": "p50", "q_2": "p75"}
     )
     return moments.join(quartiles, keys, "left")
@@ -204,7 +204,7 @@ def describe_by_group(df: DataFrame, value: str, group: str) -> DataFrame:
 
 
 def median_by_group(df: DataFrame, value: str, group: str) -> DataFrame:
-    return exact_quantiles(df, value, [0.5], [group]).withColumnRenamed("q_0", "median")
+    return bracketed_quantiles(df, value, [0.5], [group]).withColumnRenamed("q_0", "median")
 
 
 def describe_all(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
@@ -365,7 +365,7 @@ def histogram_bins(
 def boxplot_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """Quartiles and the most extreme values within 1.5 IQR per class (outliers hidden)."""
     known = df.filter(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("_v"))
-    quartiles = exact_quantiles(known, "_v", PROBS, [group]).withColumnsRenamed(
+    quartiles = bracketed_quantiles(known, "_v", PROBS, [group]).withColumnsRenamed(
         {"q_0": "q1", "q_1": "med", "q_2": "q3"}
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5

@@ -53,6 +53,27 @@ def test_grid_and_gate(rows, tmp_path):
         ml.retrain_and_compare(fit, train, test, "y", f1 + 0.1, str(tmp_path / "n"))
 
 
+def test_grid_equals_fits_one_by_one(rows, monkeypatch):
+    """One preparation and one table of predictions give the metrics of separate fits."""
+    train, _ = ml.year_split(rows, "year", 2003)
+    prepared = []
+    plain = ml.column_medians
+    monkeypatch.setattr(ml, "column_medians", lambda *a: prepared.append(1) or plain(*a))
+    model, table = ml.temporal_grid_search(train, INPUTS, "y", "year", 1999, depths=(1, 3), rates=(0.1, 0.3), rounds=3)
+    got = {(r["depth"], r["rate"]): r for r in table.collect()}
+    assert len(prepared) == 2  # the search and the last fit
+    assert len(got) == 4
+    fit_rows, check_rows = ml.year_split(train, "year", 1999)
+    for depth, rate in ((1, 0.3), (3, 0.1)):
+        one = ml.gradient_boosting(fit_rows, INPUTS, "y", 3, depth, rate)
+        want = ml.evaluate_model(one, check_rows, "m", "y").first()
+        for c in ("f1_macro", "precision", "recall", "roc_auc"):
+            assert got[depth, rate][c] == pytest.approx(want[c])
+    best = table.first()
+    assert best["f1_macro"] == max(r["f1_macro"] for r in got.values())
+    assert model.stages[-1].getMaxDepth() == best["depth"]
+
+
 def test_importances_find_the_signal(rows):
     train, _ = ml.year_split(rows, "year", 2003)
     forest = ml.random_forest(train, INPUTS, "y", trees=10, depth=5)

@@ -29,6 +29,45 @@ def test_lookup_join_keeps_every_row_once(spark, skewed):
     assert keyed.hot_keys(skewed, ["k"], 0.1).collect()[0]["k"] == 7
 
 
+def _quantiles(df, group):
+    return {tuple(r[g] for g in group): tuple(str(r[f"q_{i}"]) for i in range(4)) for r in df.collect()}
+
+
+@pytest.mark.parametrize("group", [[], ["g"], ["g", "h"]])
+def test_bracketed_quantiles_are_exact(spark, group):
+    """Skewed groups, ties, null groups and values, NaN, infinities and one-row groups."""
+    g = F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("s"), F.col("id") % 5))
+    g = F.when(F.col("id") == 1, "one").when(F.col("id").isin(2, 4), "nan").otherwise(g)
+    x = F.pmod(F.xxhash64("id"), F.lit(9973)) / 7
+    x = F.when(F.col("id") % 11 == 0, None).when(F.col("id").isin(2, 4, 8), float("nan")).when(F.col("id") % 1000 == 5, float("inf")).otherwise(x)
+    x = F.when(F.col("id") % 4 == 0, 3.5).otherwise(x)
+    df = spark.range(0, 20_000, 1, 12).select(g.alias("g"), (F.col("id") % 2).alias("h"), x.alias("x"))
+    probs = [0.0, 0.25, 0.5, 0.99]
+    want = _quantiles(ordered.exact_quantiles(df, "x", probs, group), group)
+    assert _quantiles(ordered.bracketed_quantiles(df, "x", probs, group, size=256), group) == want
+
+
+def test_bracketed_quantiles_of_no_rows_and_of_many_groups(spark, monkeypatch):
+    df = spark.range(900).select((F.col("id") % 30).alias("g"), F.col("id").alias("x"))
+    probs = [0.0, 0.25, 0.5, 0.99]
+    assert ordered.bracketed_quantiles(df.limit(0), "x", probs, ["g"]).count() == 0
+    assert [tuple(r) for r in ordered.bracketed_quantiles(df.limit(0), "x", probs).collect()] == [(None,) * 4]
+    want = _quantiles(ordered.exact_quantiles(df, "x", probs, ["g"]), ["g"])
+    monkeypatch.setattr(ordered, "SKETCH_GROUPS", 10)
+    assert _quantiles(ordered.bracketed_quantiles(df, "x", probs, ["g"]), ["g"]) == want
+
+
+def test_bracketed_quantiles_rank_few_values(spark, monkeypatch):
+    """Of distinct values, only those inside the brackets are ranked: under 5 % of the rows."""
+    ranked = []
+    plain = ordered.running_totals
+    monkeypatch.setattr(ordered, "running_totals", lambda df, *a: ranked.append(df.count()) or plain(df, *a))
+    df = spark.range(0, 400_000, 1, 8).select((F.col("id") % 3).alias("g"), F.xxhash64("id").alias("x"))
+    out = ordered.bracketed_quantiles(df, "x", [0.25, 0.5, 0.75], ["g"])
+    assert out.count() == 3 and len(ranked) == 1
+    assert ranked[0] < 0.05 * 400_000
+
+
 @contextmanager
 def settings(spark, **conf):
     old = {k: spark.conf.get(k) for k in conf}
