@@ -1,6 +1,7 @@
 """Features, splits, training and evaluation."""
 
 import itertools
+import math
 import random
 
 import pytest
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from bindery import schemas
 from bindery.operators import evaluate, features, ml, profile
 from bindery.operators.linkage import join_title_author
+from bindery.plans import load_all
+from bindery.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -153,3 +156,13 @@ def test_blank_keys_match_each_other(spark):
     right = spark.createDataFrame([("!", "", 9)], "rt string, ra string, v int")
     got = join_title_author(base, right, "t", "a", "rt", "ra", ["v"], [F.asc("v")], row_id=["id"])
     assert {r["id"]: r["v"] for r in got.collect()} == {1: 9, 2: None}
+
+
+def test_tfidf_rows_of_any_text(spark, tmp_path):
+    """One row per word of a text that not every text holds; null and blank texts have none."""
+    load_all()
+    texts = [(1, "red red gear"), (2, "gear, Bolt!"), (3, None), (4, " "), (5, "bestseller")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["word"]): r["weight"] for r in QUERIES["text_vectors_tfidf"](spark, str(tmp_path)).collect()}
+    want = {(1, "red"): 2 * math.log(6 / 2), (1, "gear"): math.log(6 / 3), (2, "gear"): math.log(6 / 3), (2, "bolt"): math.log(6 / 2)}
+    assert got == pytest.approx(want, abs=1e-4)
