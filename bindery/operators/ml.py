@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bindery.operators.evaluate import compare_models, evaluate_by, evaluate_predictions
 from bindery.operators.keyed import append_rows
 from bindery.operators.ordered import bracketed_quantiles
-from bindery.session import discard, materialize
+from bindery.session import discard, materialize, scratch_path
 
 SEED = 42
 
@@ -91,11 +91,29 @@ def _prepared(train: DataFrame, features: Sequence[str], label: str, scale: bool
     return before, ready.withColumn(label, F.col(label).cast("double"))
 
 
+def _without_summary(model, df: DataFrame):
+    """The fitted model alone.
+
+    The summary of its training holds the session, which tasks are sent with the model, and a session
+    that has observed a write can't be sent. A copy leaves the summary behind, or a stored model does.
+    """
+    if not getattr(model, "hasSummary", False):
+        return model
+    iterations = getattr(model.summary, "totalIterations", None)
+    alone = model.copy()
+    if alone.hasSummary:
+        path = scratch_path(df.sparkSession, "fitted")
+        model.write().save(path)
+        alone = type(model).load(path)
+    alone.iterations = iterations
+    return alone
+
+
 def _fit(train: DataFrame, features: Sequence[str], label: str, estimator, scale: bool) -> PipelineModel:
     before, ready = _prepared(train, features, label, scale)
     ready = ready.persist()
     try:
-        return PipelineModel([*before.stages, estimator(ready).fit(ready)])
+        return PipelineModel([*before.stages, _without_summary(estimator(ready).fit(ready), ready)])
     finally:
         ready.unpersist()
 
@@ -114,7 +132,7 @@ def logistic_baseline(train: DataFrame, features: Sequence[str], label: str) ->
 
 def convergence(model: PipelineModel, max_iter: int = 1000) -> tuple[int, bool]:
     """Iterations used and whether the fit stopped before the limit."""
-    used = model.stages[-1].summary.totalIterations
+    used = model.stages[-1].iterations
     return used, used < max_iter
 
 

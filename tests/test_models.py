@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bindery import schemas
-from bindery.operators import evaluate, features, ml, profile
+from bindery.operators import evaluate, features, ml, profile, quality
 from bindery.operators.linkage import join_title_author
 from bindery.plans import load_all
 from bindery.plans.registry import QUERIES
@@ -38,6 +38,17 @@ def test_models_beat_the_naive_floor(rows):
         assert m["roc_auc"] > 0.8
 
 
+def test_models_score_after_an_observed_write(rows):
+    """A write with checks leaves the session unfit for sending; a fitted model must not carry it."""
+    quality.checked_write(rows, "observed", [quality.label_domain("y")])
+    train, test = ml.year_split(rows, "year", 2003)
+    logistic = ml.logistic_baseline(train, INPUTS, "y")
+    used, converged = ml.convergence(logistic)
+    assert used > 0 and converged
+    for model in (logistic, ml.random_forest(train, INPUTS, "y", trees=3, depth=3)):
+        assert ml.score(model, test).filter("p_positive between 0 and 1").count() == test.count()
+
+
 def test_grid_and_gate(rows, tmp_path):
     train, test = ml.year_split(rows, "year", 2003)
     model, table = ml.temporal_grid_search(train, INPUTS, "y", "year", 1999, depths=(2,), rates=(0.1, 0.2), rounds=3)
