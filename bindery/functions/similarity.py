@@ -7,9 +7,11 @@ of the batch by one character.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
@@ -18,40 +20,56 @@ from pyspark.sql.types import DoubleType, IntegerType
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _CELLS = 4_000_000  # mask words held at a time, bounds memory for long texts
+_CACHED = 1 << 16  # mask words that stay in the cache
+_FEWEST = 512  # pairs at a time, where _CELLS allows, so that a numpy operation is worth its call
 
 
 def _codes(texts: list[str]) -> np.ndarray:
     """One row of code points per text, padded with 0."""
-    codes = np.zeros((len(texts), max(map(len, texts), default=0)), dtype=np.uint32)
-    for i, t in enumerate(texts):
-        codes[i, : len(t)] = np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    codes = np.zeros((len(texts), int(sizes.max(initial=0))), dtype=np.uint32)
+    codes[np.arange(codes.shape[1]) < sizes[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     return codes
 
 
+def _letters(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Texts as rows of letter numbers, padded with 0, and how many numbers there are."""
+    a, b = _codes(left), _codes(right)
+    used = np.zeros(int(max(a.max(initial=0), b.max(initial=0))) + 1, dtype=bool)
+    used[0] = used[a] = used[b] = True
+    number = np.cumsum(used) - 1
+    return number[a], number[b], int(number[-1]) + 1
+
+
 def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
     """Length of the longest common subsequence of each pair."""
-    letters = len(set().union(*left, *right)) + 1
-    words = max(map(len, left), default=0) // 64 + 1
-    step = max(_CELLS // (letters * words), 1)
-    blocks = [_lcs_block(left[i : i + step], right[i : i + step]) for i in range(0, len(left), step)]
+    a, b, letters = _letters(left, right)
+    cells = letters * (a.shape[1] // 64 + 1)
+    step = max(_CACHED // cells, min(_FEWEST, _CELLS // cells), 1)
+    blocks = [_lcs_block(a[i : i + step], b[i : i + step], letters) for i in range(0, len(left), step)]
     return np.concatenate(blocks) if blocks else np.zeros(0, dtype=np.int64)
 
 
-def _lcs_block(left: list[str], right: list[str]) -> np.ndarray:
+def _lcs_block(a: np.ndarray, b: np.ndarray, letters: int) -> np.ndarray:
     """Bit-parallel: bit i of a row falls once letter i of the left text is used in the best match."""
-    a, b = _codes(left), _codes(right)
-    _, compact = np.unique(np.concatenate([[0], a.ravel(), b.ravel()]), return_inverse=True)
-    a, b = compact[1 : 1 + a.size].reshape(a.shape), compact[1 + a.size :].reshape(b.shape)
     words = a.shape[1] // 64 + 1
-    rows = np.arange(len(left))
-    at = np.zeros((len(left), int(compact.max()) + 1, words), dtype=np.uint64)
+    rows = np.arange(len(a))
+    at = np.zeros((len(a), letters, words), dtype=np.uint64)
     for i in range(a.shape[1]):
         at[rows, a[:, i], i // 64] |= np.uint64(1 << (i % 64))
     at[:, 0, :] = 0  # padding matches nothing
-    free = np.full((len(left), words), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for j in range(b.shape[1]):
-        here = at[rows, b[:, j]]
-        carry = np.zeros(len(left), dtype=np.uint64)
+    return _matched((at[rows, b[:, j]] for j in range(b.shape[1])), len(a), words)
+
+
+def _matched(places: Iterator[np.ndarray], rows: int, words: int) -> np.ndarray:
+    """LCS lengths from the masks of the left texts' places that hold each letter of the right ones."""
+    free = np.full((rows, words), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for here in places:
+        if words == 1:
+            used = free & here
+            free = (free + used) | (free & ~here)
+            continue
+        carry = np.zeros(rows, dtype=np.uint64)
         for w in range(words):
             used = free[:, w] & here[:, w]
             low = free[:, w] + used
@@ -73,6 +91,59 @@ def indel_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(np.rint(_indel_percent(lcs_lengths(left, right), total)).astype("int32"))
 
 
+def _histograms(codes: np.ndarray, letters: int) -> np.ndarray:
+    """How often each letter (row) is in each text (column); padding is no letter."""
+    out = np.zeros((letters, len(codes)), dtype=np.int32)
+    texts = np.arange(len(codes))
+    for column in codes.T:
+        out[column, texts] += 1
+    out[0] = 0
+    return out
+
+
+def similar_cross(left: list[str], right: list[str], lowest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and :func:`indel_score` of all pairs of a left and a right text that score ``lowest`` or more.
+
+    The letters in common bound each score; what is left is matched a left text at a time, so that one
+    small table of masks serves all its pairs.
+    """
+    a, b, letters = _letters(left, right)
+    mine, theirs = _histograms(a, letters), _histograms(b, letters)
+    m, n = mine.sum(axis=0), theirs.sum(axis=0)
+    words = a.shape[1] // 64 + 1
+    columns = np.ascontiguousarray(b.T)
+    found = []
+    for i in range(len(left)):
+        total = m[i] + n
+        own = np.flatnonzero(mine[:, i])
+        bound = np.minimum(theirs[own], mine[own, i, None]).sum(axis=0)
+        some = np.flatnonzero(np.rint(_indel_percent(bound, total)) >= lowest)
+        if not len(some):
+            continue
+        masks = np.zeros((letters, words), dtype=np.uint64)
+        for k, c in enumerate(a[i, : m[i]]):
+            masks[c, k // 64] |= np.uint64(1 << (k % 64))
+        near = columns[: n[some].max(), some]
+        score = np.rint(_indel_percent(_matched((masks[c] for c in near), len(some), words), total[some]))
+        best = score >= lowest
+        found.append((np.full(int(best.sum()), i), some[best], score[best].astype(np.int32)))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def similar_tile(lowest: int):
+    """:func:`similar_cross` of the ``title`` columns of two groups."""
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        one, two = left.column("title").to_pylist(), right.column("title").to_pylist()
+        i, j, scores = similar_cross(one, two, lowest)
+        texts = {"l_title": pa.array([one[k] for k in i], pa.string()), "r_title": pa.array([two[k] for k in j], pa.string())}
+        return pa.table(texts | {"t_score": pa.array(scores, pa.int32())})
+
+    return score
+
+
 @F.pandas_udf(IntegerType())
 def partial_score(a: pd.Series, b: pd.Series) -> pd.Series:
     """Best ``indel_score`` of the shorter text against a part of the longer one.

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions.binding import bound
-from bindery.functions.similarity import indel_score, jaro_winkler_score, partial_score
+from bindery.functions.similarity import indel_score, jaro_winkler_score, partial_score, similar_tile
 from bindery.functions.text import norm_title_nfkd
 from bindery.operators.keyed import above_share, keep_best_per_key, lookup_join
 from bindery.session import materialize
@@ -195,6 +195,8 @@ def similar_titles(left: DataFrame, right: DataFrame, lowest: int) -> DataFrame:
         m = F.length("title")
         shared = F.ceil(m * slope + (0 if by_letter else 1) - 1e-9)
         rarest = F.slice(F.col("tokens"), F.lit(1), (F.size("tokens") + 1 - shared).cast("int"))
+        # Tokens of one hash count as one, here as at the join, so a pair has a first shared one in any case.
+        rarest = F.array_distinct(F.transform(rarest, lambda t: F.hash(t)))
         title = F.col("title")
         bits = _bitmap(bigram_tokens(title), "bigram") | _bitmap(letter_tokens(title), "letter")
         kept = [rarest.alias("rarest"), m.alias("len"), *[c.alias(k) for k, c in bits.items()]]
@@ -211,16 +213,46 @@ def similar_titles(left: DataFrame, right: DataFrame, lowest: int) -> DataFrame:
         & (_missing("l_", "r_", "bigram") <= m + 1 - bigrams)
         & (_missing("r_", "l_", "bigram") <= n + 1 - bigrams)
     )
-    # A pair may meet at several tokens; most copies are combined before the shuffle.
-    met = _tiled_join(_postings(l), _postings(r), condition).select("l_title", "r_title")
-    # Written out, since Catalyst would else move the scoring below the distinct.
-    pairs = materialize(met.distinct().repartition(_parts(left), "l_title"), "title-pairs")
-    scored = pairs.withColumn("t_score", indel_score("l_title", "r_title"))
-    return scored.filter(F.col("t_score") >= lowest)
+    if _meets_more_than_all(l, r):
+        return materialize(_all_similar(l.select("title"), r.select("title"), lowest), "similar-titles")
+    # A pair is scored where it meets first: no pair is shuffled, and only similar ones are written.
+    met = _tiled_join(_postings(l), _postings(r), condition & (F.col("l__token") == _first_shared()))
+    scored = met.select("l_title", "r_title", indel_score("l_title", "r_title").alias("t_score"))
+    return materialize(scored.filter(F.col("t_score") >= lowest), "similar-titles")
+
+
+def _all_similar(left: DataFrame, right: DataFrame, lowest: int) -> DataFrame:
+    """Every pair of titles scored once, in tiles of some ``TILE`` titles of either side."""
+    rows, columns = (-(-side.count() // TILE) for side in (left, right))
+    place = F.xxhash64("title")
+
+    def dealt(side: DataFrame, mine: Column, other: int, mark: str, first: bool):
+        every = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
+        cell = (mine.alias(f"_{mark}i"), every.alias(f"_{mark}j")) if first else (every.alias(f"_{mark}i"), mine.alias(f"_{mark}j"))
+        # A fixed number of partitions, as in :func:`_tiled_join`.
+        return side.select("title", *cell).repartition(_parts(side), f"_{mark}i", f"_{mark}j").groupBy(f"_{mark}i", f"_{mark}j")
+
+    l = dealt(left, F.pmod(place, F.lit(rows)).cast("int"), columns, "l", True)
+    r = dealt(right, F.pmod(place, F.lit(columns)).cast("int"), rows, "r", False)
+    return l.cogroup(r).applyInArrow(similar_tile(lowest), "l_title string, r_title string, t_score int")
+
+
+def _meets_more_than_all(left: DataFrame, right: DataFrame) -> bool:
+    """Whether pairs would meet at their tokens more often than there are pairs.
+
+    Long titles of a low threshold have most of their tokens among the rarest, and each pair that meets
+    does so many times. Then every pair is looked at once, by :func:`_all_similar`.
+    """
+    counts = [
+        side.select(F.explode("rarest").alias("key")).groupBy("key").agg(F.count("*").cast("double").alias(n))
+        for side, n in ((left, "_l"), (right, "_r"))
+    ]
+    met = counts[0].join(counts[1], "key").agg(F.sum(F.col("_l") * F.col("_r"))).first()[0]
+    return met is not None and met > float(left.count()) * right.count()
 
 
 def _postings(titles: DataFrame) -> DataFrame:
-    return titles.withColumn("key", F.explode("rarest")).drop("rarest")
+    return titles.withColumn("key", F.explode("rarest")).withColumn("_token", F.col("key"))
 
 
 def fuzzy_title_author_join(

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bindery.functions.similarity import indel_score, jaro_winkler, lcs_lengths, partial_score
+from bindery.functions.similarity import indel_score, jaro_winkler, lcs_lengths, partial_score, similar_cross
 from bindery.operators import fuzzy
 
 WORDS = "the a of red blue gear bolt king night day house of leaves stone river ab b moon cat dark tower zed".split()
@@ -268,3 +268,29 @@ def test_one_to_one(spark):
     one = fuzzy.fuzzy_title_author_join(base, labels, **names, one_to_one=True).collect()
     assert sorted((r["i"], r["l"]) for r in many) == [(1, 7), (2, 7)]
     assert [(r["i"], r["l"]) for r in one] == [(1, 7)]
+
+
+@pytest.mark.parametrize("at_once", [True, False])
+def test_similar_titles_either_way(spark, monkeypatch, at_once):
+    """All pairs at once or by their rarest tokens: the same pairs, each once, and none of them shuffled."""
+    monkeypatch.setattr(fuzzy, "TILE", 7)
+    monkeypatch.setattr(fuzzy, "_meets_more_than_all", lambda l, r: at_once)
+    named = []
+    plain = fuzzy.materialize
+    monkeypatch.setattr(fuzzy, "materialize", lambda df, name="stage", **o: named.append(name) or plain(df, name, **o))
+    left, right = ({t for _, t, _ in rows(60, seed) if t} for seed in (1, 2))
+    sides = [spark.createDataFrame([(t,) for t in sorted(side)], "title string") for side in (left, right)]
+    for lowest in (60, 79):
+        got = [(r["l_title"], r["r_title"], r["t_score"]) for r in fuzzy.similar_titles(*sides, lowest).collect()]
+        want = [(a, b, round(ratio(a, b))) for a in left for b in right if round(ratio(a, b)) >= lowest]
+        assert sorted(got) == sorted(want)
+    assert "title-pairs" not in named
+
+
+def test_cross_of_long_texts():
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("abé \U0001f600") for _ in range(rnd.randint(0, 150))) for _ in range(30)]
+    i, j, score = similar_cross(texts, texts[::-1], 60)
+    want = {(x, y): round(ratio(s, t)) for x, s in enumerate(texts) for y, t in enumerate(texts[::-1]) if round(ratio(s, t)) >= 60}
+    assert {(x, y): z for x, y, z in zip(i.tolist(), j.tolist(), score.tolist())} == want
+    assert [len(x) for x in similar_cross(["a"], ["b"], 60)] == [0, 0, 0]
