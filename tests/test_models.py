@@ -1,5 +1,6 @@
 """Features, splits, training and evaluation."""
 
+import datetime
 import itertools
 import math
 import random
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from bindery import schemas
 from bindery.operators import evaluate, features, ml, profile, quality
 from bindery.operators.linkage import join_title_author
-from bindery.plans import load_all
-from bindery.plans.registry import QUERIES
+from bindery.plans import load_all, models
+from bindery.plans.registry import QUERIES, Tables
 
 
 @pytest.fixture(scope="module")
@@ -177,3 +178,18 @@ def test_tfidf_rows_of_any_text(spark, tmp_path):
     got = {(r["doc_id"], r["word"]): r["weight"] for r in QUERIES["text_vectors_tfidf"](spark, str(tmp_path)).collect()}
     want = {(1, "red"): 2 * math.log(6 / 2), (1, "gear"): math.log(6 / 3), (2, "gear"): math.log(6 / 3), (2, "bolt"): math.log(6 / 2)}
     assert got == pytest.approx(want, abs=1e-4)
+
+
+def test_training_rows_are_made_once(spark, tmp_path):
+    """Fits and evaluations read stored rows, not the texts and joins they come from."""
+    texts = [(i, f"The word {i}, and more.") for i in range(1, 21)]
+    labels = [(i, i % 2) for i in range(1, 21)]
+    orders = [(i, datetime.datetime(1995 + i % 7, 1, 2)) for i in range(1, 21)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    train, test = models._train_test(Tables(spark, str(tmp_path)))
+    assert sorted(r["doc_id"] for r in train.collect()) == [i for i in range(1, 21) if i % 7 < 5]
+    assert sorted(r["doc_id"] for r in test.collect()) == [i for i in range(1, 21) if i % 7 >= 5]
+    for part in (train, test):
+        assert part.inputFiles() and all("training-rows" in f for f in part.inputFiles())
