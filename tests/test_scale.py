@@ -1,5 +1,7 @@
 """Skew, repartitioning and plan shape."""
 
+import glob
+import time
 from contextlib import contextmanager
 
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from bindery.operators import history, keyed, ordered, quality
+from bindery.session import materialize
 
 
 def plan(df):
@@ -161,3 +164,17 @@ def test_checks_raise(spark):
     with pytest.raises(quality.CheckFailed):
         quality.require(quality.expect_unique(df, ["k"]), "key not unique")
     quality.require(quality.expect_exact_count(df, 2), "two rows")
+
+
+def test_a_written_stage_leaves_no_shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def held():
+        return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+
+    before = held()
+    materialize(spark.range(1000).repartition(3, "id"))
+    end = time.monotonic() + 10
+    while held() - before and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not held() - before
