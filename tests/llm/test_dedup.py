@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from bindery.llm import linededup, neardup
 from bindery.llm.components import components
 from bindery.llm.exact import exact_dedup
 from bindery.llm.linededup import fuzzy_line_dedup
@@ -127,6 +129,36 @@ def test_near_duplicates_in_a_group_of_copies_that_are_not_all_alike(spark, monk
     assert got == near_brute(rows, 2)
 
 
+def optimized(spy, name):
+    return [df._jdf.queryExecution().optimizedPlan().toString() for df, n in spy if n == name]
+
+
+def test_pairs_have_the_sizes_of_their_sets_without_a_join(spark, monkeypatch):
+    written, write = [], neardup.keep
+    monkeypatch.setattr(neardup, "keep", lambda df, name: written.append((df, name)) or write(df, name))
+    rng = random.Random(12)
+    base = prose(rng, 60, 10**6)
+    rows = [(i, changed(rng, base, rng.randrange(0, 12)), None, None) for i in range(40)]
+    rows += [(40 + i, f"{base} {prose(rng, i, 10**6)}", None, None) for i in range(1, 30)]
+    out = near_duplicates(frame(spark, rows), n=2).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in out) == near_brute(rows, 2)
+    plans = optimized(written, "pairs")
+    assert plans and not any(re.search(r"Join Inner, \(b#", p) for p in plans)
+
+
+def test_lines_without_a_copy_are_not_moved_to_find_those_with_one(spark, monkeypatch):
+    written, write = [], linededup.keep
+    monkeypatch.setattr(linededup, "keep", lambda df, name: written.append((df, name)) or write(df, name))
+    rng = random.Random(13)
+    lines = [prose(rng, 8, 50) for _ in range(60)]
+    rows = [(i, "\n".join(rng.choice(lines) if i % 3 else f"{i} {k} {prose(rng, 8, 50)}" for k in range(9)), None, None) for i in range(30)]
+    rows.append((99, " \n\nONE line\none line\n one line ", None, None))
+    want, root, all_lines = line_brute(rows)
+    assert Counter((r["doc_id"], r["line_no"], r["kept"]) for r in fuzzy_line_dedup(frame(spark, rows)).collect()) == want
+    (plan,) = optimized(written, "class-lines")
+    assert "LeftSemi" not in plan and "Union" in plan  # one part moves nothing, the other what the filter lets through
+
+
 def line_brute(rows, n=5):
     lines = [(d, k, line) for d, (_, t, *_) in enumerate(rows) for k, line in enumerate((t or "").split("\n")) if t is not None]
     sets = []
