@@ -164,7 +164,7 @@ def near_duplicates(
     stand = signed.filter("_n > 0").groupBy("_same").agg(F.min("_row").alias("_class"))
     named = lookup_join(signed.filter("_n > 0").select("_row", "_same"), stand, ["_same"], row_id=["_row"])
     members = keep(named.select("_row", "_class"), "classes")
-    standing = signed.join(members.filter("_row = _class"), "_row", "left_semi").select("_row", "_bands")
+    standing = signed.join(members.filter("_row = _class"), "_row", "left_semi").select("_row", "_n", "_bands")
     sets = _word_sets(n)
     roots = linked_roots(
         standing,
@@ -199,14 +199,15 @@ def verified_links(
 ) -> DataFrame:
     """Pairs (a, b) of rows whose full shingle sets are similar enough.
 
-    The sizes of two sets (_row, _n), where given, rule out most pairs before any text is moved. The text of a row with
-    many pairs is sent once per ``TILE`` pairs, so that they spread over tasks.
+    The sizes of two sets, where given, rule out most pairs before any text is moved: pairs have that of b as ``_nb``, and
+    that of a as ``_na`` or from ``sizes`` (_row, _n). The text of a row with many pairs is sent once per ``TILE`` pairs,
+    so that they spread over tasks.
     """
-    if sizes is not None:
-        one = sizes.select(F.col("_row").alias("a"), F.col("_n").alias("_na"))
-        two = sizes.select(F.col("_row").alias("b"), F.col("_n").alias("_nb"))
-        fits = F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * threshold
-        pairs = lookup_join(pairs.join(two, "b"), one, ["a"], row_id=["b"]).filter(fits)
+    if sizes is not None and "_nb" in pairs.columns:
+        if "_na" not in pairs.columns:
+            one = sizes.select(F.col("_row").alias("a"), F.col("_n").alias("_na"))
+            pairs = lookup_join(pairs, one, ["a"], row_id=["b"])
+        pairs = pairs.filter(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * threshold)
     pairs = keep(pairs.select("a", "b"), "pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_parts"))
     hubs = keep(parts.filter("_parts > 1"), "hubs")
