@@ -1,9 +1,12 @@
 """Features, splits, training and evaluation."""
 
 import datetime
+import hashlib
 import itertools
 import math
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -193,3 +196,34 @@ def test_training_rows_are_made_once(spark, tmp_path):
     assert sorted(r["doc_id"] for r in test.collect()) == [i for i in range(1, 21) if i % 7 >= 5]
     for part in (train, test):
         assert part.inputFiles() and all("training-rows" in f for f in part.inputFiles())
+
+
+def _texts(spark, with_odd_keys):
+    """Texts of shared and own words, blank and null ones, one accolade; some keys twice or null."""
+    rows = [(i, " ".join([f"w{i * j % 13}" for j in range(i % 9)] + [f"own{i}", "Über", "award-winning", "the"])) for i in range(40)]
+    rows += [(100, None), (101, "  "), (102, "the " * 50 + "w1 w1")]
+    if with_odd_keys:
+        rows += [(3, "the w1 again"), (3, None), (None, "w2 w3"), (None, "w2 lost"), (104, "")]
+    return spark.createDataFrame(rows, "k long, t string")
+
+
+def test_words_are_counted_where_they_are_read(spark, monkeypatch):
+    """A task that counts the words of many texts in one hash table takes memory with the number of texts."""
+    plans, write = {}, features.materialize
+
+    def seen(df, name="stage", **options):
+        plans[name] = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+        return write(df, name, **options)
+
+    monkeypatch.setattr(features, "materialize", seen)
+    monkeypatch.setattr(features, "BATCH_WORDS", 20)
+    monkeypatch.setattr(features, "BATCH_ROWS", 7)
+    lexicon = spark.createDataFrame([("the", 2.0), ("w1", -1.0), ("über", 0.5)], "word string, valence double")
+    got = {r["k"]: tuple(r)[1:] for r in features.lexicon_sentiment(_texts(spark, True), "k", "t", lexicon).collect()}
+    assert "HashAggregate" not in plans["word-counts"] and "Exchange" not in plans["word-counts"]
+    assert got[100] == got[101] == got[104] == (0.0, 0.0, 0.0, 0.0)
+    # 51 words of value 2 or -1: 50 * 3 positive, 2 * 2 negative.
+    assert got[102][:3] == (round(4 / 154, 3), 0.0, round(150 / 154, 3))
+    # Both rows of key 3 are one text, and so are those without a key.
+    assert len(got) == 45 and got[None] == (0.0, 1.0, 0.0, 0.0)
+
