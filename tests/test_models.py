@@ -227,3 +227,35 @@ def test_words_are_counted_where_they_are_read(spark, monkeypatch):
     # Both rows of key 3 are one text, and so are those without a key.
     assert len(got) == 45 and got[None] == (0.0, 1.0, 0.0, 0.0)
 
+
+@pytest.mark.parametrize("odd", [False, True])
+@pytest.mark.parametrize("head", [1 << 17, 5])
+def test_projected_vectors_by_brute_force(spark, monkeypatch, head, odd):
+    """The words beyond the most frequent ones are added too; rows of one key are one text."""
+    monkeypatch.setattr(features, "HEAD", head)
+    monkeypatch.setattr(features, "BATCH_WORDS", 20)
+    df = _texts(spark, odd)
+    held, n = {}, df.count()
+    for r in df.collect():
+        words = re.split(r"[^\w']+|_", (r["t"] or "").replace("award-winning", "").lower())
+        held.setdefault(r["k"], Counter()).update(w for w in words if w)
+    texts = Counter(w for words in held.values() for w in words)
+    want = {}
+    for k, words in held.items():
+        want[k] = [0] * 16
+        for w, c in words.items():
+            weight = math.floor(1000.0 * c * math.log((n + 1) / (texts[w] + 1)) + 0.5)
+            digest = hashlib.md5(w.encode()).hexdigest()
+            for i in range(4):
+                number = int(digest[8 * i : 8 * i + 8], 16)
+                want[k][number % 16] += weight if number >= 1 << 31 else -weight
+    got = features.projected_vectors(df, "k", "t", 16).collect()
+    assert len(got) == n
+    assert all(r["vector"] == (want[r["k"]] if r["k"] is not None else [0] * 16) for r in got)
+
+
+def test_projected_vectors_spread_no_words_over_places(spark, monkeypatch):
+    """Words were multiplied by their places and sorted; now only rare ones leave their text, as one row."""
+    df = features.projected_vectors(_texts(spark, False), "k", "t", 16)
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    assert "Generate" not in plan and "MapInArrow" in plan
