@@ -81,13 +81,12 @@ def max_author_prior(
     single = df.select(
         row_id, F.explode_outer(authors).alias("_name"), F.col(year).alias("_year"), F.col(label).alias("_label")
     ).select(row_id, F.nullif(clean(F.col("_name")), F.lit("")).alias("_author"), "_year", "_label")
-    # Read three times below, so the exploding and cleaning is done once.
+    # Read several times below, so the exploding and cleaning is done once.
     single = materialize(single, "authors")
     cells = author_cells(single, "_author", "_year", "_label", row_id)
     hot = above_share(cells, "_n").select("_author", "_year")
-    counted = lookup_join(
-        single, cells.select("_author", "_year", "_prior"), ["_author", "_year"], hot=hot, row_id=[row_id]
-    )
+    prior = cells.select("_author", "_year", "_prior")
+    counted = lookup_join(single, prior, ["_author", "_year"], hot=hot, row_id=[row_id], rows=single.count())
     return counted.groupBy(row_id).agg(
         F.max(F.coalesce("_prior", F.lit(0))).cast("int").alias("max_author_prior_count")
     )

@@ -11,6 +11,7 @@ from bindery.operators import bloom
 
 HOT_SHARE = 0.001  # a key above this share of the rows is hot; so at most 1 / HOT_SHARE keys are
 SPREAD = 4096
+TASK_ROWS = 1 << 18  # rows that one task sorts where the caller counts them
 
 
 def keep_best_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
@@ -46,12 +47,15 @@ def lookup_join(
     *,
     hot: DataFrame | None = None,
     row_id: Sequence[str] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Left join to a side with **unique** keys; keeps every left row once.
 
     Rows of hot keys take their values from a broadcast of the (at most 1/HOT_SHARE) hot right
     rows, and they, like rows with a null key, are spread over the shuffle of the second join,
-    where they find no partner. No single key is shuffled into one task.
+    where they find no partner. No single key is shuffled into one task. Where ``rows``, the number of
+    left rows, is given, the join has a task per ``TASK_ROWS`` of them: adaptive coalescing, which goes
+    by compressed bytes and the number of cores, would give a task more narrow rows the more there are.
     """
     on = list(on)
     values = [c for c in right.columns if c not in on]
@@ -68,6 +72,8 @@ def lookup_join(
     # Always 0, but not a constant: Catalyst would drop a constant from the keys of the shuffle.
     zero = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int")
     cold = right.select(*on, zero.alias("_spread"), F.struct(*values).alias("_cold"))
+    if rows is not None:
+        step, cold = (side.repartition(-(-rows // TASK_ROWS) or 1, *on, "_spread") for side in (step, cold))
     joined = step.join(cold, [*on, "_spread"], "left")
     return joined.select(
         *[F.col(c) for c in left.columns],

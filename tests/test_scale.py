@@ -178,3 +178,17 @@ def test_a_written_stage_leaves_no_shuffle_files(spark):
     while held() - before and time.monotonic() < end:
         time.sleep(0.2)
     assert not held() - before
+
+
+def test_lookup_join_has_a_task_per_so_many_rows(spark, skewed, monkeypatch):
+    """Coalescing by bytes leaves few tasks, each of which sorts a share of the rows that grows with them."""
+    monkeypatch.setattr(keyed, "TASK_ROWS", 100)
+    right = spark.range(0, 300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    got = keyed.lookup_join(skewed, right.hint("merge"), ["k"], row_id=["id"], rows=6000)
+    assert got.rdd.getNumPartitions() >= 60
+    assert got.exceptAll(skewed.join(right, "k", "left").select("id", "k", "v", "w")).count() == 0
+    authors = skewed.select("id", F.array(F.col("k").cast("string")).alias("a"), (F.col("id") % 9).alias("y"), (F.col("v") % 2).alias("l"))
+    prior = history.max_author_prior(authors, "a", "y", "l", "id", lambda c: c)
+    assert "REPARTITION_BY_NUM" in plan(prior)
+    want = history.author_prior_count(authors.withColumn("k", F.get("a", 0)), "k", "y", "l", "id")
+    assert prior.exceptAll(want.select("id", F.col("author_prior_count").alias("max_author_prior_count"))).count() == 0
