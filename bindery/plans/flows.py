@@ -42,15 +42,18 @@ def label_catalogue(books: DataFrame, labels: DataFrame, rule: FuzzyRule = Fuzzy
     ``books``: gb_id, title, authors (array), isbn, isbn13, ... ; ``labels``: label_id, title,
     author, oclc_isbn and the outcome details. Every book stays exactly once.
     """
-    b = books.withColumns(
+    # Cleaning takes far more time than reading, and a compact file is read in few tasks; so the rows are dealt
+    # out first, and the cleaned ones are written, as the exact pass reads them more than once.
+    b = books.repartition("gb_id").withColumns(
         {
             "title_norm": norm_text_ascii(F.col("title")),
             "author_norm": norm_text_ascii(F.array_join("authors", " ")),
             "isbn13_key": build_isbn_key(F.col("isbn"), F.col("isbn13")),
         }
     )
+    b = materialize(b, "books")
     lab = materialize(
-        labels.select(
+        labels.repartition("label_id", "title").select(
             "label_id", *DETAILS, F.lit(1).alias("label"),
             F.col("title").alias("label_title"), F.col("author").alias("label_author"),
             norm_text_ascii(F.col("title")).alias("label_title_norm"),

@@ -1,5 +1,8 @@
 """The labelling job on a small catalogue with one book of every kind."""
 
+import pytest
+
+from bindery.plans import flows
 from bindery.plans.flows import label_catalogue, scope_filters
 
 
@@ -31,3 +34,35 @@ def test_label_catalogue(spark):
     assert got[6] == ("unmatched", 0, None, 0, None)
     assert got[2][:3] == got[3][:3] == ("fuzzy_title_author", 1, 12)
     assert sorted(r["gb_id"] for r in scope_filters(out).collect()) == [1, 2, 3, 6]
+
+
+class _Seen(Exception):
+    pass
+
+
+@pytest.mark.parametrize("job", ["label_catalogue"])
+def test_rows_are_dealt_out_before_they_are_cleaned(spark, monkeypatch, job):
+    """A compact file is read in few tasks, which cleaned all its rows, some of them several times."""
+    plans = {}
+    last = {"label_catalogue": "labels", "canonical_table": "shop"}[job]
+
+    def seen(df, name="stage", **options):
+        plans[name] = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+        if name == last:
+            raise _Seen
+        return df
+
+    monkeypatch.setattr(flows, "materialize", seen)
+    book = "title string, authors array<string>, isbn string, isbn13 string"
+    with pytest.raises(_Seen):
+        if job == "label_catalogue":
+            books = spark.createDataFrame([(1, "A", ["b"], None, None)], "gb_id long, " + book).coalesce(1)
+            labels = "label_id long, title string, author string, oclc_isbn string, weeks_on_list int, best_rank_achieved int, first_year int, debut_rank int"
+            flows.label_catalogue(books, spark.createDataFrame([(1, "A", "b", None, 1, 1, 1, 1)], labels).coalesce(1))
+        else:
+            books = spark.createDataFrame([(1, "A", ["b"], None, None)], "book_id long, " + book).coalesce(1)
+            values = "asin string, ISBN10 string, rating string, reviews_count string, final_price string, number_of_sellers string"
+            shop = spark.createDataFrame([("a", None, "1", "1", "1", "1")], values).coalesce(1)
+            flows.canonical_table(books, shop, *[None] * 5)
+    assert set(plans) == {"books", last}
+    assert all("REPARTITION_BY_COL" in p for p in plans.values())
