@@ -100,16 +100,19 @@ def canonical_table(
 ) -> DataFrame:
     """One row per book with shop values, best edition, rank summary, metadata, labels and adaptation flag."""
     ten = norm_isbn10_loose(F.col("isbn"))
-    base = books.withColumns(
+    # As in :func:`label_catalogue`, rows are dealt out before they are cleaned, and cleaned once.
+    base = books.repartition("book_id").withColumns(
         {"isbn10": ten, "isbn13": F.coalesce(norm_isbn13_loose(F.col("isbn13")), isbn10_to_13_loose(ten))}
     )
+    base = materialize(base, "books")
     keys = [norm_title(F.col("title")), first_author_key(F.col("authors"))]
 
     shop_values = {"rating": "shop_rating", "reviews_count": "shop_reviews", "final_price": "shop_price", "number_of_sellers": "shop_sellers"}
     s10, s13 = split_mixed_isbn(F.col("ISBN10"))
-    s = shop.select(
+    s = shop.repartition("asin", "ISBN10").select(
         "asin", s10.alias("_s10"), s13.alias("_s13"), *[coerce_double(F.col(a)).alias(b) for a, b in shop_values.items()]
     )
+    s = materialize(s, "shop")
     isbn_pass = partial(linkage.CascadePass, right=s)
     base = linkage.cascade_join(
         base,

@@ -40,7 +40,7 @@ class _Seen(Exception):
     pass
 
 
-@pytest.mark.parametrize("job", ["label_catalogue"])
+@pytest.mark.parametrize("job", ["label_catalogue", "canonical_table"])
 def test_rows_are_dealt_out_before_they_are_cleaned(spark, monkeypatch, job):
     """A compact file is read in few tasks, which cleaned all its rows, some of them several times."""
     plans = {}
