@@ -159,6 +159,31 @@ def test_lines_without_a_copy_are_not_moved_to_find_those_with_one(spark, monkey
     assert "LeftSemi" not in plan and "Union" in plan  # one part moves nothing, the other what the filter lets through
 
 
+def test_pairs_of_lines_that_cannot_be_linked_move_no_text(spark, monkeypatch):
+    written, write = [], neardup.keep
+    monkeypatch.setattr(neardup, "keep", lambda df, name: written.append((out := write(df, name), name, out.count())) or out)
+    rng = random.Random(14)
+    head = prose(rng, 12, 10**6)
+    rows = [(i, f"{head} {prose(rng, 14, 10**6)}", None, None) for i in range(60)]
+    rows += [(100 + i, changed(rng, rng.choice(rows[:20])[1], 1), None, None) for i in range(20)]
+    check_lines(spark, rows)
+    assert 0 < sum(n for _, name, n in written if name == "asked-texts") < 60
+
+
+@pytest.mark.parametrize("threshold", [50, 80, 95])
+def test_no_linked_pair_of_lines_is_ruled_out(spark, threshold):
+    rng = random.Random(15)
+    base = [prose(rng, rng.randrange(1, 60), 10**6) for _ in range(8)] + ["ab", "abcdef" * 500, prose(rng, 3000, 10**6)]
+    lines = base + [changed(rng, b, rng.randrange(1, 1 + max(1, len(b) // 40))) for b in base for _ in range(6)] + [b + "!" for b in base]
+    texts = spark.createDataFrame(list(enumerate(lines)), "_row long, _text string")
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines))]
+    left = linededup.possible_pairs(spark.createDataFrame(pairs, "a long, b long"), texts, 5, threshold).collect()
+    sets = [{s[k : k + 5] for k in range(max(len(s) - 4, 1))} for s in lines]
+    linked = {(i, j) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j])}
+    assert linked and linked <= {(r["a"], r["b"]) for r in left}
+    assert len(left) < len(pairs) / 2
+
+
 def line_brute(rows, n=5):
     lines = [(d, k, line) for d, (_, t, *_) in enumerate(rows) for k, line in enumerate((t or "").split("\n")) if t is not None]
     sets = []

@@ -45,3 +45,11 @@ def test_the_filter_comes_before_the_shuffle(spark):
     plan = bloom.semi_join(rows.hint("merge"), keys, ["k"])._jdf.queryExecution().toString()
     physical = plan[plan.index("Physical Plan") :]
     assert "BroadcastHashJoin" in physical
+
+
+def test_a_semi_join_moves_only_what_the_filter_lets_through(spark):
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    keys = spark.range(0, 1000, 10).select(F.col("id").alias("k"))
+    plan = bloom.semi_join(rows, keys, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join " in line]  # the last to run comes first
+    assert ["_segment" in line for line in joins] == [False, True]
