@@ -100,6 +100,16 @@ def test_importances_find_the_signal(rows):
     assert ml.coefficients(ml.logistic_baseline(train, INPUTS, "y"), train, INPUTS, stds, 1).first()["feature"] == "a"
 
 
+def test_the_forest_learns_from_every_row(spark):
+    """Its roots hold a draw, with replacement, of as many rows as there are: more than the 200,000 of an earlier limit."""
+    n = 300_000
+    x = (F.col("id") % 100).cast("double")
+    df = spark.range(n).select(x.alias("a"), (F.col("id") % 7).cast("double").alias("b"), (F.col("id") % 100 < 30).cast("int").alias("y"))
+    model = ml.random_forest(df, ["a", "b"], "y", trees=4, depth=2)
+    drawn = [t._java_obj.rootNode().impurityStats().rawCount() for t in model.stages[-1].trees]
+    assert len(drawn) == 4 and all(abs(d - n) < 10 * n**0.5 for d in drawn)
+
+
 def test_empty_feature_fails(rows):
     with pytest.raises(ValueError):
         ml.column_medians(rows.withColumn("z", F.lit(None).cast("double")), ["a", "z"])
