@@ -11,7 +11,7 @@ is left is scored in Arrow batches.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from bindery.functions.binding import bound
 from bindery.functions.similarity import indel_score, jaro_winkler_score, partial_score, similar_tile
 from bindery.functions.text import norm_title_nfkd
-from bindery.operators.keyed import above_share, keep_best_per_key, lookup_join
+from bindery.operators.keyed import above_share, append_rows, keep_best_per_key, lookup_join
 from bindery.session import materialize
 
 TILE = 2000  # postings of one token per join key and side; hotter tokens are split into tiles
+PASSES = (99.0, 97.0, 94.0, 90.0)  # scores above the threshold that are asked for first, see :func:`_best_labels`
+FEW = 1 << 24  # pairs of titles that need no stricter pass before
 
 
 @dataclass(frozen=True)
@@ -80,28 +82,30 @@ def letter_tokens(text: Column) -> Column:
     return _numbered(_pieces(text, 1))
 
 
-def _bitmap(tokens: Column, prefix: str) -> dict[str, Column]:
-    """256 bits in four columns, one bit per hashed token."""
+def _bitmap(tokens: Column, prefix: str) -> Column:
+    """256 bits in an array of four, one bit per hashed token."""
 
     none = F.lit(0).cast("long")
 
-    def word(w: int) -> Column:
-        def put(acc: Column, t: Column) -> Column:
-            h = F.xxhash64(t)
+    def word(hashes: Column, w: int) -> Column:
+        def put(acc: Column, h: Column) -> Column:
             at = F.pmod(F.shiftright(h, 2), F.lit(64)).cast("int")
             bit = F.call_function("shiftleft", F.lit(1).cast("long"), at)
             return acc.bitwiseOR(F.when(F.pmod(h, F.lit(4)) == w, bit).otherwise(none))
 
-        return bound(tokens, lambda ts: F.aggregate(ts, none, put))
+        return F.aggregate(hashes, none, put)
 
-    return {f"{prefix}{w}": word(w) for w in range(4)}
+    # One array of the four: the tokens and their hashes are made once.
+    hashed = F.transform(tokens, lambda t: F.xxhash64(t))
+    words = bound(hashed, lambda hs: F.array(*[word(hs, w) for w in range(4)]))
+    return words.alias(prefix)
 
 
 def _missing(a: str, b: str, prefix: str) -> Column:
     """At most this many tokens of side ``a`` are absent from side ``b`` (hash collisions lower it)."""
     total = F.lit(0)
     for w in range(4):
-        total = total + F.bit_count(F.col(f"{a}{prefix}{w}").bitwiseAND(F.bitwise_not(F.col(f"{b}{prefix}{w}"))))
+        total = total + F.bit_count(F.get(f"{a}{prefix}", F.lit(w)).bitwiseAND(F.bitwise_not(F.get(f"{b}{prefix}", F.lit(w)))))
     return total
 
 
@@ -179,30 +183,50 @@ def similar_titles(left: DataFrame, right: DataFrame, lowest: int) -> DataFrame:
     one at most two, so with end marks the strings share at least 3 L - (m + n) + 1 bigrams. Scores of
     67 or less guarantee none; there the postings are letters, of which L are shared.
     """
-    h = (lowest - 0.5) / 200
-    if h <= 0:
+    return _similar(*_prepared(left, right, _by_letter(lowest)), lowest)
+
+
+def _by_letter(lowest: int) -> bool:
+    """Whether the score guarantees no shared bigram, so that the postings are letters."""
+    if lowest < 1:
         raise ValueError("a title score of 0 asks for nothing in common")
-    by_letter = 3 * h <= 1
-    # Fewest shared tokens per character, over all fitting lengths: n is at least m h / (1 - h).
-    slope = (h if by_letter else 3 * h - 1) / (1 - h)
+    return 3 * (lowest - 0.5) / 200 <= 1
+
+
+def _prepared(left: DataFrame, right: DataFrame, by_letter: bool) -> tuple[DataFrame, DataFrame]:
+    """Distinct titles of both sides with what :func:`_similar` compares, which no score has a part in:
+    hashes of the tokens, rarest first, and bits of bigrams and letters."""
+    title = F.col("title")
 
     def titles(df: DataFrame) -> DataFrame:
-        distinct = materialize(df.select("title").filter("title <> ''").distinct(), "distinct-titles")
+        # Far more work than bytes, so titles are dealt out first.
+        distinct = df.select("title").filter("title <> ''").distinct().repartition(_parts(df), "title")
         tokens = letter_tokens if by_letter else bigram_tokens
-        return distinct.withColumn("tokens", tokens(F.col("title")))
+        return materialize(distinct, "distinct-titles").withColumn("tokens", tokens(title))
 
-    def with_prefix(df: DataFrame) -> DataFrame:
-        m = F.length("title")
-        shared = F.ceil(m * slope + (0 if by_letter else 1) - 1e-9)
-        rarest = F.slice(F.col("tokens"), F.lit(1), (F.size("tokens") + 1 - shared).cast("int"))
+    def ready(df: DataFrame) -> DataFrame:
         # Tokens of one hash count as one, here as at the join, so a pair has a first shared one in any case.
-        rarest = F.array_distinct(F.transform(rarest, lambda t: F.hash(t)))
-        title = F.col("title")
-        bits = _bitmap(bigram_tokens(title), "bigram") | _bitmap(letter_tokens(title), "letter")
-        kept = [rarest.alias("rarest"), m.alias("len"), *[c.alias(k) for k, c in bits.items()]]
-        return materialize(df.select("title", *kept), "titles")
+        hashes = F.transform("tokens", lambda t: F.hash(t)).alias("hashes")
+        bits = _bitmap(bigram_tokens(title), "bigram"), _bitmap(letter_tokens(title), "letter")
+        dealt = df.repartition(_parts(df), "title")
+        return materialize(dealt.select("title", F.length("title").alias("len"), hashes, *bits), "titles")
+
+    return tuple(ready(side) for side in _rank_tokens(titles(left), titles(right)))
+
+
+def _similar(left: DataFrame, right: DataFrame, lowest: int) -> DataFrame:
+    """:func:`similar_titles` of prepared sides."""
+    h = (lowest - 0.5) / 200
+    by_letter = _by_letter(lowest)
+    # Fewest shared tokens per character, over all fitting lengths: n is at least m h / (1 - h).
+    slope = (h if by_letter else 3 * h - 1) / (1 - h)
 
-    l, r = (with_prefix(side) for side in _rank_tokens(titles(left), titles(right)))
+    def with_prefix(df: DataFrame) -> DataFrame:
+        shared = F.ceil(F.col("len") * slope + (0 if by_letter else 1) - 1e-9)
+        rarest = F.slice(F.col("hashes"), F.lit(1), (F.size("hashes") + 1 - shared).cast("int"))
+        return df.select("title", F.array_distinct(rarest).alias("rarest"), "len", "bigram", "letter")
+
+    l, r = with_prefix(left), with_prefix(right)
     m, n = F.col("l_len"), F.col("r_len")
     needed = F.ceil((m + n) * h - 1e-9)
     bigrams = needed * 3 - (m + n) + 1
@@ -288,11 +312,50 @@ def fuzzy_title_author_join(
         .agg(F.min("_label").alias("_label")),
         "label-titles",
     )
-    titles = similar_titles(
-        distinct_base.select(F.col("l_title").alias("title")),
-        distinct_labels.select(F.col("r_title").alias("title")),
-        rule.lowest_title(),
-    )
+    best = _best_labels(distinct_base, distinct_labels, rule)
+    found = lookup_join(b, best, ["l_title", "l_author"], row_id=[base_id])
+    found = found.filter(F.col("_label").isNotNull())
+    if one_to_one:
+        found = keep_best_per_key(found, ["_label"], [F.desc("fuzzy_score"), F.asc(base_id)])
+    return found.select(base_id, F.col("_label").alias(label_id), "t_score", "a_score", "fuzzy_score")
+
+
+def _best_labels(base: DataFrame, labels: DataFrame, rule: FuzzyRule) -> DataFrame:
+    """Best label of each distinct (l_title, l_author) that has an accepted one, in passes of falling thresholds.
+
+    A stricter pass sees all labels that reach its score, so a row that finds one there has its best label, ties
+    included, and takes no part in later passes. High scores leave few candidates, and most rows have a good match; so
+    only the rest is compared at the rule's own threshold. A row without author is never looked up.
+    """
+    open_rows, n = base.filter("l_author is not null"), labels.count()
+    titles = open_rows.select(F.col("l_title").alias("title")), labels.select(F.col("r_title").alias("title"))
+    ready: dict[bool, tuple[DataFrame, DataFrame]] = {}
+
+    def labels_at(now: FuzzyRule) -> DataFrame:
+        lowest = now.lowest_title()
+        kind = _by_letter(lowest)
+        if kind not in ready:
+            ready[kind] = _prepared(*titles, kind)
+        left, right = ready[kind]
+        if found:
+            left = materialize(left.join(open_rows.select(F.col("l_title").alias("title")), "title", "left_semi"), "open-titles")
+        return _labels_at(open_rows, labels, _similar(left, right, lowest), now)
+
+    found: list[DataFrame] = []
+    for score in PASSES:
+        stricter = replace(rule, threshold=score)
+        if score <= rule.threshold or stricter.lowest_title() > 100:
+            continue
+        if open_rows.count() * n <= FEW:
+            break
+        found.append(labels_at(stricter))
+        done = found[-1].select("l_title", "l_author")
+        open_rows = materialize(open_rows.join(done, ["l_title", "l_author"], "left_anti"), "open-rows")
+    return append_rows(*found, labels_at(rule))
+
+
+def _labels_at(base: DataFrame, labels: DataFrame, titles: DataFrame, rule: FuzzyRule) -> DataFrame:
+    """Best label of each (l_title, l_author) among all that the rule accepts, given the similar titles."""
     # Upper bound of the author score from the letters in common, checked before exact scoring.
     lower_author = F.greatest(
         F.lit(float(rule.author_floor)),
@@ -303,11 +366,11 @@ def fuzzy_title_author_join(
     highest = F.when(F.greatest(F.length("l_author"), F.length("r_author")) == 0, 100.0).otherwise(
         F.coalesce(F.try_divide(common * 200.0, shorter + common), F.lit(0.0))
     )
-    left = titles.join(distinct_base, "l_title").select(
+    left = titles.join(base, "l_title").select(
         F.col("r_title").alias("key"), F.col("l_title").alias("title"), F.col("l_author").alias("author"),
         "t_score", letter_tokens(F.col("l_author")).alias("letters"),
     )
-    right = distinct_labels.select(
+    right = labels.select(
         F.col("r_title").alias("key"), F.col("r_author").alias("author"), "_label",
         letter_tokens(F.col("r_author")).alias("letters"),
     )
@@ -324,11 +387,7 @@ def fuzzy_title_author_join(
         .drop("r_author")
     )
     best = keep_best_per_key(accepted, ["l_title", "l_author"], [F.desc("fuzzy_score"), F.asc("_label")])
-    found = lookup_join(b, materialize(best, "best-labels"), ["l_title", "l_author"], row_id=[base_id])
-    found = found.filter(F.col("_label").isNotNull())
-    if one_to_one:
-        found = keep_best_per_key(found, ["_label"], [F.desc("fuzzy_score"), F.asc(base_id)])
-    return found.select(base_id, F.col("_label").alias(label_id), "t_score", "a_score", "fuzzy_score")
+    return materialize(best, "best-labels")
 
 
 def adaptation_fuzzy_join(

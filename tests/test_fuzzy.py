@@ -102,6 +102,33 @@ def test_title_author_join(spark, monkeypatch, tile):
     assert len(got) > 60
 
 
+@pytest.mark.parametrize("rule", [fuzzy.FuzzyRule(), fuzzy.FuzzyRule(threshold=60.0, title_floor=40)])
+def test_title_author_join_in_passes(spark, monkeypatch, rule):
+    """Rows with a good match are settled by stricter passes; only the others meet labels at the low threshold."""
+    monkeypatch.setattr(fuzzy, "FEW", 0)
+    monkeypatch.setattr(fuzzy, "PASSES", (99.0, 90.0))
+    asked, plain = [], fuzzy._similar
+    monkeypatch.setattr(fuzzy, "_similar", lambda l, r, lowest: asked.append((lowest, l.count())) or plain(l, r, lowest))
+    base, labels = rows(70, 3), rows(50, 4)
+    labels += [(500 + i, t, a) for i, t, a in base[::2]]
+    b = spark.createDataFrame([*base, (900, "dark tower", None)], "id long, t string, a string")
+    lab = spark.createDataFrame([*labels, (901, "dark tower", None)], "lid long, t string, a string")
+
+    def run():
+        out = fuzzy.fuzzy_title_author_join(
+            b, lab, base_id="id", base_title="t", base_author="a", label_id="lid", label_title="t", label_author="a", rule=rule
+        )
+        return sorted(tuple(r) for r in out.collect())
+
+    got, passes = run(), asked[:]
+    assert [lowest for lowest, _ in passes] == [99, 86, rule.lowest_title()]
+    assert passes[-1][1] < passes[0][1] * 0.75
+    if rule == fuzzy.FuzzyRule():
+        assert {(i, j, ts, s) for i, j, ts, s, _ in got} == brute_force(base, labels)
+    monkeypatch.setattr(fuzzy, "PASSES", ())
+    assert run() == got and len(got) > 30
+
+
 def test_pairs_down_to_the_loosest_threshold(spark):
     """Every pair of short strings, where a guaranteed shared bigram is hardest."""
     texts = sorted({a + b + c + d for a in ["", "a", "b"] for b in ["", "b"] for c in ["a", "c"] for d in ["", "a", "cc"]})
